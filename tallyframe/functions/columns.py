@@ -62,16 +62,32 @@ def same_name(name: str, names: Sequence[str]) -> bool:
     return name.lower() in {other.lower() for other in names}
 
 
+def balanced(operator, columns: Sequence[Column]) -> Column:
+    """Columns joined by an operator as a shallow tree, however many there are."""
+    if len(columns) == 1:
+        return columns[0]
+    half = len(columns) // 2
+    return operator(
+        balanced(operator, columns[:half]), balanced(operator, columns[half:])
+    )
+
+
 def trimmed_text(column: Column) -> Column:
     return F.trim(column.cast("string"))
 
 
+def is_native(source: DataFrame, target: DataFrame, name: str) -> bool:
+    """Whether a column has one type on both sides that needs no turning into text."""
+    left, right = find_field(source, name), find_field(target, name)
+    return left.dataType == right.dataType and isinstance(left.dataType, _TEXT_FAITHFUL)
+
+
 def shared_form(
     source: DataFrame, target: DataFrame, name: str
 ) -> tuple[Column, Column]:
     """Both sides of a column in one type, equal exactly when the trimmed texts are."""
     left, right = find_field(source, name), find_field(target, name)
-    if left.dataType == right.dataType and isinstance(left.dataType, _TEXT_FAITHFUL):
+    if is_native(source, target, name):
         return ref(left.name), ref(right.name)
     return trimmed_text(ref(left.name)), trimmed_text(ref(right.name))
 

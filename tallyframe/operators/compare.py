@@ -18,16 +18,17 @@ hence cannot be skewed.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.columns import (
     column_of,
     find_field,
+    is_native,
     ref,
     require_columns,
     same_name,
@@ -35,16 +36,20 @@ from tallyframe.functions.columns import (
     split_columns,
     trimmed_text,
 )
-from tallyframe.operators.keys import any_null, tally
-from tallyframe.results import DATA, Names, result_row, spread
+from tallyframe.operators.keys import key_rows, tally
+from tallyframe.results import DATA, Check, Names, spread
 from tallyframe.sources.scratch import ready_for_checkpoints
 
 Normalizer = Callable[[Column], Column]
 
+_CELL = ("c", "source_value", "target_value", "kind")
 _LARGEST = 2**63 - 1
 _DEFAULT_SCALE = 6
 # A broadcast key costs more than its own bytes once it sits in a hash table.
 _KEY_OVERHEAD = 64
+# Rows of one key that a task takes without trouble, and a bound on hot keys.
+_HOT_ROWS = 1_000_000
+_MOST_HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -55,16 +60,12 @@ class CompareOptions:
     normalizers  per column, a function applied to the trimmed text of both sides
     tolerance    per column, the largest difference that still counts as equal;
                  both values are read as decimals with ``scale`` fraction digits
-    unique_keys  True when no key is known to repeat on either side: saves the
-                 pass that looks for such keys. The figures stay right otherwise
-                 too, but repeated keys then cost as much as their pairs.
     """
 
     columns: str | Sequence[str] | None = None
     normalizers: Mapping[str, Normalizer] = field(default_factory=dict)
     tolerance: Mapping[str, float | str | Decimal] = field(default_factory=dict)
     scale: int = _DEFAULT_SCALE
-    unique_keys: bool = False
 
 
 def _by_name(mapping: Mapping, name: str):
@@ -74,16 +75,43 @@ def _by_name(mapping: Mapping, name: str):
     return None
 
 
-def _as_count(total: Column) -> Column:
-    """A decimal total as long. Pairs of a hot key can pass what a long holds."""
-    bounded = F.least(
-        F.greatest(total, F.lit(Decimal(-_LARGEST))), F.lit(Decimal(_LARGEST))
-    )
-    return bounded.cast("long")
+def _text(value: str) -> str:
+    """A string as SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _wide(count: Column) -> Column:
-    return count.cast("decimal(20,0)")
+def _as_count(total: str) -> str:
+    """A total as long. Pairs of a hot key can pass what a long holds."""
+    exact = _exact(total)
+    return f"cast(least(greatest({exact}, -{_LARGEST}), {_LARGEST}) as bigint)"
+
+
+def _wide(count: str) -> str:
+    """A count that can be multiplied by another one."""
+    return f"cast({count} as decimal(20,0))"
+
+
+def _exact(total: str) -> str:
+    return f"cast({total} as decimal(38,0))"
+
+
+def _inline(structs: Sequence[str]) -> str:
+    return f"inline(array({', '.join(structs)}))"
+
+
+@dataclass(frozen=True)
+class _RepeatedKeys:
+    """Stored keys with their rows ``m`` and ``n`` per side, and their measures."""
+
+    rows: DataFrame
+    size: int
+    rows_held: int
+    largest: int
+
+    @property
+    def hot_from(self) -> int:
+        """Rows from which a key is hot. At most ``_MOST_HOT_KEYS`` keys can be."""
+        return max(_HOT_ROWS, self.rows_held // _MOST_HOT_KEYS + 1)
 
 
 class Comparison:
@@ -108,6 +136,7 @@ class Comparison:
 
         key_forms = [shared_form(source, target, key) for key in self.keys]
         forms = [self._value_form(source, target, name) for name in self.columns]
+        self._keys_as_given = all(is_native(source, target, k) for k in self.keys)
 
         def side(df: DataFrame, position: int) -> DataFrame:
             return df.select(
@@ -148,79 +177,77 @@ class Comparison:
 
         return form(source), form(target)
 
-    def _equal(self, position: int, left: Column, right: Column) -> Column:
-        allowed = self._allowed[position]
+    def _equal(self, position: int) -> str:
+        slot, allowed = self._slots[position], self._allowed[position]
         if allowed is None:
-            verdict = left == right
-        else:
-            limit = Decimal(allowed).scaleb(-self.options.scale)
-            verdict = F.abs(left - right) <= F.lit(limit)
-        return F.coalesce(verdict, F.lit(False))
+            return f"coalesce(m_{slot} = n_{slot}, false)"
+        limit = Decimal(allowed).scaleb(-self.options.scale)
+        return f"coalesce(abs(m_{slot} - n_{slot}) <= {limit:f}BD, false)"
 
     # -- repeated keys ------------------------------------------------------
 
     @cached_property
-    def _repeated(self) -> DataFrame | None:
-        """Keys with several rows on a side, stored; None when there are none."""
-        if self.options.unique_keys:
-            return None
+    def _repeated(self) -> _RepeatedKeys | None:
+        """Keys with several rows on a side; None when there are none."""
         slots = [F.col(slot) for slot in self._key_slots]
         ready_for_checkpoints(self._session)
         repeated = (
             tally(self._source, self._target, slots, slots, self._key_slots)
-            .withColumnsRenamed({"__source_rows": "m", "__target_rows": "n"})
-            .filter((F.col("m") > 1) | (F.col("n") > 1))
-            .select(*slots, "m", "n")
+            .selectExpr(*self._key_slots, "__source_rows as m", "__target_rows as n")
+            .filter("m > 1 or n > 1")
             .checkpoint()
         )
-        return None if repeated.isEmpty() else repeated
-
-    @cached_property
-    def _repeated_fit_broadcast(self) -> bool:
-        """Whether the repeated keys, measured, are within the broadcast limit."""
-        limit = _broadcast_limit(self._session)
-        row_bytes = F.lit(_KEY_OVERHEAD)
-        for slot in self._key_slots:
-            row_bytes = row_bytes + F.coalesce(
-                F.octet_length(F.col(slot).cast("string")), F.lit(0)
-            )
-        measured = self._repeated.agg(F.sum(row_bytes).alias("bytes")).first()["bytes"]
-        return measured <= limit
+        key_bytes = [f"coalesce(octet_length(cast({s} as string)), 0)" for s in self._key_slots]
+        size = repeated.selectExpr(
+            f"sum({' + '.join([str(_KEY_OVERHEAD), *key_bytes])})", "sum(m + n)", "max(m + n)"
+        ).first()
+        return None if size[0] is None else _RepeatedKeys(repeated, *size)
 
     def _repeated_on(self, rows: str) -> DataFrame:
-        held = self._repeated.filter(F.col(rows) > 0).select(
-            *[F.col(slot).alias(f"r_{slot}") for slot in self._key_slots]
+        return self._repeated.rows.filter(f"{rows} > 0").selectExpr(
+            *[f"{slot} as r_{slot}" for slot in self._key_slots],
+            f"m + n >= {self._repeated.hot_from} as hot",
+        )
+
+    def _may_broadcast_repeated(self) -> bool:
+        return self._repeated.size <= _broadcast_limit(self._session)
+
+    def _rows_of_repeated(self, df: DataFrame, rows: str) -> DataFrame:
+        """The rows of one side whose keys repeat."""
+        wanted = self._repeated_on(rows)
+        if self._may_broadcast_repeated():
+            return df.join(F.broadcast(wanted), self._on_repeated(), "left_semi")
+        if self._repeated.largest < self._repeated.hot_from:
+            return df.join(wanted, self._on_repeated(), "left_semi")
+        # The keys have to be shuffled, but no row of a hot key: there are few of
+        # those keys, so they are broadcast, and their rows stay where they are.
+        hot = F.broadcast(wanted.filter("hot"))
+        others = df.join(hot, self._on_repeated(), "left_anti")
+        return df.join(hot, self._on_repeated(), "left_semi").unionByName(
+            others.join(wanted.filter("not hot"), self._on_repeated(), "left_semi")
         )
-        return F.broadcast(held) if self._repeated_fit_broadcast else held
 
-    def _on_repeated(self):
-        condition = F.lit(True)
-        for slot in self._key_slots:
-            condition = condition & F.col(slot).eqNullSafe(F.col(f"r_{slot}"))
-        return condition
+    def _on_repeated(self) -> Column:
+        return F.expr(" and ".join(f"{s} <=> r_{s}" for s in self._key_slots))
 
     # -- keys with at most one row on each side -----------------------------
 
     def _single_rows(self, df: DataFrame, rows: str) -> DataFrame:
         """One side without its repeated keys: keys, row count and values."""
-        keys = [F.col(slot) for slot in self._key_slots]
-        values = [F.col(slot).alias(f"{rows}_{slot}") for slot in self._slots]
-        if self._repeated is None:
-            return df.select(*keys, F.lit(1).alias(rows), *values)
-        if self._repeated_fit_broadcast:
-            singles = df.join(
-                self._repeated_on(rows), self._on_repeated(), "left_anti"
+        values = [f"{slot} as {rows}_{slot}" for slot in self._slots]
+        if self._repeated is not None and self._may_broadcast_repeated():
+            repeated = F.broadcast(self._repeated_on(rows))
+            df = df.join(repeated, self._on_repeated(), "left_anti")
+        elif self._repeated is not None:
+            # Too many to broadcast: collapse each key to one row before it travels.
+            # What a repeated key keeps is unused, as _singles leaves it out.
+            kept = f"any_value(struct({', '.join(['1 as one', *self._slots])}))"
+            return (
+                df.groupBy(*self._key_slots)
+                .agg(F.expr(f"count(1) as {rows}"), F.expr(f"{kept} as kept"))
+                .selectExpr(*self._key_slots, rows, *[f"kept.{v}" for v in values])
             )
-            return singles.select(*keys, F.lit(1).alias(rows), *values)
-        # Too many to broadcast: collapse each key to one row before it travels.
-        # What a repeated key keeps is unused, as _singles leaves it out.
-        collapsed = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias(rows),
-            F.any_value(F.struct(F.lit(1), *values)).alias("kept"),
-        )
-        return collapsed.select(
-            *keys, rows, *[F.col(f"kept.{rows}_{slot}") for slot in self._slots]
-        )
+        return df.selectExpr(*self._key_slots, f"1 as {rows}", *values)
 
     def _singles(self) -> DataFrame:
         met = self._single_rows(self._source, "m").join(
@@ -228,12 +255,7 @@ class Comparison:
         )
         if self._repeated is None:
             return met
-        return met.filter(
-            (F.coalesce("m", F.lit(1)) == 1) & (F.coalesce("n", F.lit(1)) == 1)
-        )
-
-    def _sides(self, slot: str) -> tuple[Column, Column]:
-        return F.col(f"m_{slot}"), F.col(f"n_{slot}")
+        return met.filter("coalesce(m, 1) = 1 and coalesce(n, 1) = 1")
 
     # -- repeated keys, counted by value ------------------------------------
 
@@ -243,39 +265,35 @@ class Comparison:
         ``s_hits`` is the number of target rows of the key whose value equals
         this one, ``t_hits`` the number of source rows.
         """
-        keys = [F.col(slot) for slot in self._key_slots]
-
-        def side(df: DataFrame, rows: str, from_source: bool) -> DataFrame:
-            held = df.join(self._repeated_on(rows), self._on_repeated(), "left_semi")
-            cells = [
-                F.struct(F.lit(i).alias("c"), F.col(slot).cast("string").alias("v"))
-                for i, slot in enumerate(self._slots)
-            ]
-            return held.select(
-                *keys,
-                F.when(any_null(keys), F.lit(from_source)).alias("lone"),
-                F.lit(int(from_source)).alias("s"),
-                F.lit(int(not from_source)).alias("t"),
-                F.inline(F.array(*cells)),
+        cells = [
+            f"struct({i} as c, cast({slot} as string) as v)"
+            for i, slot in enumerate(self._slots)
+        ]
+        incomplete = " or ".join(f"{slot} is null" for slot in self._key_slots)
+
+        def side(df: DataFrame, rows: str) -> DataFrame:
+            return self._rows_of_repeated(df, rows).selectExpr(
+                *self._key_slots,
+                f"if({incomplete}, '{rows}', null) as lone",
+                f"{int(rows == 'm')} as s",
+                f"{int(rows == 'n')} as t",
+                _inline(cells),
             )
 
         counted = (
-            side(self._source, "m", True)
-            .unionByName(side(self._target, "n", False))
-            .groupBy(*keys, "lone", "c", "v")
-            .agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
+            side(self._source, "m")
+            .unionByName(side(self._target, "n"))
+            .groupBy(*self._key_slots, "lone", "c", "v")
+            .agg(F.expr("sum(s) as s"), F.expr("sum(t) as t"))
         )
-        known = F.col("v").isNotNull()
-        exact = counted.select(
-            "*",
-            F.when(known, F.col("t")).otherwise(0).alias("s_hits"),
-            F.when(known, F.col("s")).otherwise(0).alias("t_hits"),
+        exact = counted.selectExpr(
+            "*", "if(v is null, 0, t) as s_hits", "if(v is null, 0, s) as t_hits"
         )
-        tolerated = [i for i, units in enumerate(self._allowed) if units is not None]
+        tolerated = [str(i) for i, units in enumerate(self._allowed) if units is not None]
         if not tolerated:
             return exact
-        apart = F.col("c").isin(tolerated) & known
-        return exact.filter(~apart).unionByName(
+        apart = f"(v is not null and c in ({', '.join(tolerated)}))"
+        return exact.filter(f"not {apart}").unionByName(
             self._hits_within_tolerance(counted.filter(apart))
         )
 
@@ -288,227 +306,195 @@ class Comparison:
         one stretch thus sees a number of values bounded by the limit.
         """
         group = [*self._key_slots, "lone", "c"]
-        limit = F.lit(None)
-        for i, units in enumerate(self._allowed):
-            if units is not None:
-                limit = F.when(F.col("c") == i, F.lit(Decimal(units))).otherwise(limit)
-        number = f"decimal(38,{self.options.scale})"
-        unit = F.lit(Decimal(10) ** self.options.scale)
-        x = (F.col("v").cast(number) * unit).cast("decimal(38,0)")
+        limits = " ".join(
+            f"when {i} then {units}BD"
+            for i, units in enumerate(self._allowed)
+            if units is not None
+        )
+        units_per_one = f"{10**self.options.scale}BD"
+        number = f"cast(v as decimal(38,{self.options.scale})) * {units_per_one}"
         placed = (
-            counted.withColumn("x", x)
-            .withColumn("d", limit.cast("decimal(38,0)"))
-            .withColumn("w", (F.col("d") + 1).cast("decimal(38,0)"))
-            .withColumn("g", (F.col("x") - F.pmod("x", "w")).cast("decimal(38,0)"))
+            counted.selectExpr(
+                "*", f"{_exact(number)} as x", f"{_exact(f'case c {limits} end')} as d"
+            )
+            .selectExpr("*", f"{_exact('d + 1')} as w")
+            .selectExpr("*", f"{_exact('x - pmod(x, w)')} as g")
         )
 
-        def look(role: str, stretch: Column, at: Column, weighs: bool) -> Column:
-            return F.struct(
-                F.lit(role).alias("role"),
-                stretch.cast("decimal(38,0)").alias("stretch"),
-                at.cast("decimal(38,0)").alias("at"),
-                (F.col("s") if weighs else F.lit(0).cast("long")).alias("s_here"),
-                (F.col("t") if weighs else F.lit(0).cast("long")).alias("t_here"),
+        def look(role: str, stretch: str, at: str, weighs: int) -> str:
+            return (
+                f"struct('{role}' as role, {_exact(stretch)} as stretch, "
+                f"{_exact(at)} as at, s * {weighs} as s_here, t * {weighs} as t_here)"
             )
 
-        g, w, d, at = F.col("g"), F.col("w"), F.col("d"), F.col("x")
-        looks = placed.select(
+        looks = placed.selectExpr(
             *group,
             "v",
             "s",
             "t",
-            F.inline(
-                F.array(
-                    look("own", g, at, True),
-                    look("before", g - w, at - d, False),
-                    look("after", g + w, at + d, False),
-                )
+            _inline(
+                [
+                    look("own", "g", "x", 1),
+                    look("before", "g - w", "x - d", 0),
+                    look("after", "g + w", "x + d", 0),
+                ]
             ),
         )
-        whole = Window.partitionBy(*group, "stretch")
-        ordered = whole.orderBy("at")
-        spans = {
-            "own": whole,
-            "before": ordered.rangeBetween(
-                Window.currentRow, Window.unboundedFollowing
-            ),
-            "after": ordered.rangeBetween(
-                Window.unboundedPreceding, Window.currentRow
-            ),
-        }
-
-        def seen(rows: str) -> Column:
-            picked = F.lit(None)
-            for role, span in spans.items():
-                picked = F.when(
-                    F.col("role") == role, F.sum(rows).over(span)
-                ).otherwise(picked)
-            return picked
+        whole = f"partition by {', '.join([*group, 'stretch'])}"
+        onwards = "range between current row and unbounded following"
+        so_far = "range between unbounded preceding and current row"
+
+        def seen(rows: str) -> str:
+            return (
+                f"case role when 'own' then sum({rows}) over ({whole}) "
+                f"when 'before' then sum({rows}) over ({whole} order by at {onwards}) "
+                f"else sum({rows}) over ({whole} order by at {so_far}) end"
+            )
 
         return (
-            looks.select(
+            looks.selectExpr(
                 *group,
                 "v",
                 "s",
                 "t",
-                seen("t_here").alias("s_hits"),
-                seen("s_here").alias("t_hits"),
+                f"{seen('t_here')} as s_hits",
+                f"{seen('s_here')} as t_hits",
             )
             .groupBy(*group, "v", "s", "t")
-            .agg(F.sum("s_hits").alias("s_hits"), F.sum("t_hits").alias("t_hits"))
-            .select(*group, "v", "s", "t", "s_hits", "t_hits")
+            .agg(F.expr("sum(s_hits) as s_hits"), F.expr("sum(t_hits) as t_hits"))
         )
 
     # -- figures ------------------------------------------------------------
 
     def _figures(self) -> DataFrame:
-        """One row: rows per side, and per column the kept and the equal pairs.
+        """One row: figures on the keys, and per column the kept and equal pairs.
 
         A pair is kept when both values are there or both are missing. A missing
         partner counts as a missing value. Two missing values are never equal.
         """
-        parts, summed = [], []
+        summed = []
         for i, slot in enumerate(self._slots):
-            left, right = self._sides(slot)
             summed += [
-                F.count_if(left.isNull() == right.isNull()).alias(f"kept_{i}"),
-                F.count_if(self._equal(i, left, right)).alias(f"equal_{i}"),
+                f"count_if((m_{slot} is null) = (n_{slot} is null)) as kept_{i}",
+                f"count_if({self._equal(i)}) as equal_{i}",
             ]
-        singles = self._singles().agg(
-            F.count("m").alias("kept_all"), F.count("n").alias("equal_all"), *summed
+        singles = self._singles().selectExpr(
+            "count(m) as source_records",
+            "count(n) as target_records",
+            "count_if(n is null) as source_only",
+            "count_if(m is null) as target_only",
+            "bigint(0) as repeated",
+            *summed,
         )
-        cells = [
-            F.struct(
-                F.lit(i).alias("c"),
-                F.col(f"kept_{label}").cast("decimal(38,0)").alias("kept"),
-                F.col(f"equal_{label}").cast("decimal(38,0)").alias("equal"),
-            )
-            for i, label in [(-1, "all"), *[(i, i) for i in range(len(self._slots))]]
-        ]
-        parts.append(spread(singles, cells))
-        if self._repeated is not None:
-            parts.append(
-                self._repeated.agg(
-                    F.lit(-1).alias("c"),
-                    F.sum("m").cast("decimal(38,0)").alias("kept"),
-                    F.sum("n").cast("decimal(38,0)").alias("equal"),
-                )
-            )
-            if self._slots:
-                parts.append(self._repeated_figures())
-        together = parts[0]
-        for part in parts[1:]:
-            together = together.unionByName(part)
-
-        def total(i: int, what: str) -> Column:
-            return F.coalesce(
-                F.sum(F.when(F.col("c") == i, F.col(what))), F.lit(Decimal(0))
-            ).cast("decimal(38,0)")
-
-        return together.agg(
-            total(-1, "kept").alias("source_records"),
-            total(-1, "equal").alias("target_records"),
-            *[
-                total(i, what).alias(f"{what}_{i}")
-                for i in range(len(self._slots))
-                for what in ("kept", "equal")
-            ],
+        if self._repeated is None:
+            return singles
+        on_keys = self._repeated.rows.selectExpr(
+            "sum(m) as source_records",
+            "sum(n) as target_records",
+            "count_if(n = 0) as source_only",
+            "count_if(m = 0) as target_only",
+            "count_if(n > 1) as repeated",
         )
+        together = singles.unionByName(on_keys, allowMissingColumns=True)
+        if self._slots:
+            by_column = self._repeated_figures().selectExpr(
+                *[
+                    f"sum(if(c = {i}, {what}, null)) as {what}_{i}"
+                    for i in range(len(self._slots))
+                    for what in ("kept", "equal")
+                ]
+            )
+            together = together.unionByName(by_column, allowMissingColumns=True)
+        return together.selectExpr(*[f"sum({n}) as {n}" for n in singles.columns])
 
     def _repeated_figures(self) -> DataFrame:
-        known = F.col("v").isNotNull()
-
-        def rows(side: str, present: bool) -> Column:
-            mine = F.when(known if present else ~known, F.col(side))
-            return F.coalesce(F.sum(mine), F.lit(0))
-
+        """Kept and equal pairs per column, out of the values of repeated keys."""
         per_group = (
             self._value_counts()
             .groupBy(*self._key_slots, "lone", "c")
             .agg(
-                rows("s", True).alias("s_known"),
-                rows("t", True).alias("t_known"),
-                rows("s", False).alias("s_null"),
-                rows("t", False).alias("t_null"),
-                F.sum(_wide(F.col("s")) * _wide(F.col("s_hits"))).alias("equal"),
-            )
-        )
-        s_known, t_known = F.col("s_known"), F.col("t_known")
-        s_null, t_null = F.col("s_null"), F.col("t_null")
-        kept = (
-            F.when(s_known + s_null == 0, _wide(t_null))
-            .when(t_known + t_null == 0, _wide(s_null))
-            .otherwise(
-                _wide(s_known) * _wide(t_known) + _wide(s_null) * _wide(t_null)
+                F.expr("sum(if(v is null, 0, s)) as s_known"),
+                F.expr("sum(if(v is null, 0, t)) as t_known"),
+                F.expr("sum(if(v is null, s, 0)) as s_null"),
+                F.expr("sum(if(v is null, t, 0)) as t_null"),
+                F.expr(f"sum({_wide('s')} * {_wide('s_hits')}) as equal"),
             )
         )
+        kept = f"""case when s_known + s_null = 0 then {_wide('t_null')}
+            when t_known + t_null = 0 then {_wide('s_null')}
+            else {_wide('s_known')} * {_wide('t_known')}
+               + {_wide('s_null')} * {_wide('t_null')} end"""
         return per_group.groupBy("c").agg(
-            F.sum(kept).cast("decimal(38,0)").alias("kept"),
-            F.sum("equal").cast("decimal(38,0)").alias("equal"),
+            F.expr(f"sum({kept}) as kept"), F.expr("sum(equal) as equal")
         )
 
-    def column_summary(self, count_qa: int | None = None) -> DataFrame:
-        """Per column the total, the equal pairs and what is missing to the total."""
-        total = (
-            F.col("source_records")
-            if count_qa is None
-            else F.lit(Decimal(count_qa)).cast("decimal(38,0)")
-        )
+    def _require_columns(self) -> None:
         if not self._slots:
             raise ValueError("there is no column to compare besides the keys")
+
+    def column_summary(self, count_qa: int | None = None) -> DataFrame:
+        """Per column the total, the equal pairs and what is missing to the total."""
+        self._require_columns()
+        total = "source_records" if count_qa is None else f"{count_qa}BD"
         cells = [
-            F.struct(
-                F.lit(name).alias("column"),
-                total.alias("total"),
-                F.col(f"equal_{i}").alias("equal"),
-                (total - F.col(f"equal_{i}")).alias("unequal"),
-            )
+            f"struct({_text(name)} as column, {_exact(total)} as total, "
+            f"{_exact(f'equal_{i}')} as equal, "
+            f"{_exact(f'{total} - equal_{i}')} as unequal)"
             for i, name in enumerate(self.columns)
         ]
-        rows = spread(self._figures(), cells)
-        share = F.col("unequal").cast("double") * 100 / F.col("total").cast("double")
-        return rows.select(
-            "column",
-            _as_count(F.col("total")).alias("total"),
-            _as_count(F.col("equal")).alias("match_count"),
-            _as_count(F.col("unequal")).alias("mismatch_count"),
-            F.when(F.col("total") != 0, share).alias("mismatch_pct"),
+        return (
+            self._figures()
+            .selectExpr(_inline(cells))
+            .selectExpr(
+                "column",
+                f"{_as_count('total')} as total",
+                f"{_as_count('equal')} as match_count",
+                f"{_as_count('unequal')} as mismatch_count",
+                "if(total = 0, null, double(unequal) * 100 / double(total))"
+                " as mismatch_pct",
+            )
         )
 
     def pair_figures(self) -> DataFrame:
         """Per column the equal, the unequal and all kept pairs."""
+        self._require_columns()
         cells = [
-            F.struct(
-                F.lit(name).alias("column"),
-                _as_count(F.col(f"equal_{i}")).alias("match_count"),
-                _as_count(F.col(f"kept_{i}") - F.col(f"equal_{i}")).alias(
-                    "mismatch_count"
-                ),
-                _as_count(F.col(f"kept_{i}")).alias("total"),
-            )
+            f"struct({_text(name)} as column, "
+            f"{_as_count(f'equal_{i}')} as match_count, "
+            f"{_as_count(f'kept_{i} - equal_{i}')} as mismatch_count, "
+            f"{_as_count(f'kept_{i}')} as total)"
             for i, name in enumerate(self.columns)
         ]
-        return spread(self._figures(), cells)
-
-    def validation(self, names: Names = Names(), count_qa: int | None = None):
-        """One result row: fails when the columns together lack equal pairs."""
-        total = F.col("source_records") if count_qa is None else F.lit(Decimal(count_qa))
-        failed = F.lit(Decimal(0)).cast("decimal(38,0)")
-        for i in range(len(self._slots)):
-            failed = (failed + total - F.col(f"equal_{i}")).cast("decimal(38,0)")
-        return spread(
-            self._figures(),
-            [
-                result_row(
-                    DATA,
-                    names,
-                    _as_count(failed),
-                    ",".join(self.keys),
-                    source_records=_as_count(F.col("source_records")),
-                    target_records=_as_count(F.col("target_records")),
-                )
-            ],
+        return self._figures().selectExpr(_inline(cells))
+
+    def validation(
+        self,
+        names: Names = Names(),
+        count_qa: int | None = None,
+        checks: Sequence[Check] = (DATA,),
+    ) -> DataFrame:
+        """Result rows: the data check fails when columns lack equal pairs.
+
+        The checks on keys can be had from the same figures, as long as
+        :attr:`answers_key_checks` holds.
+        """
+        total = "source_records" if count_qa is None else f"{count_qa}BD"
+        equal = [_exact(f"equal_{i}") for i in range(len(self._slots))]
+        # Summed as an array, since a wide table would make a very deep sum.
+        all_equal = (
+            f"aggregate(array({', '.join(equal)}), {_exact('0')}, "
+            f"(sum, x) -> {_exact('sum + x')})"
+            if equal
+            else "0"
         )
+        unequal = f"{_exact(total)} * {len(equal)} - {all_equal}"
+        figures = self._figures().selectExpr("*", f"{_as_count(unequal)} as unequal")
+        return spread(figures, key_rows(checks, self.keys, names))
+
+    @property
+    def answers_key_checks(self) -> bool:
+        """Whether the keys met in the form in which they were given."""
+        return self._keys_as_given
 
     # -- the differing cells ------------------------------------------------
 
@@ -522,47 +508,31 @@ class Comparison:
         as ``value_in_source`` and ``value_in_target``, with the number of pairs
         in which each one differs.
         """
-        if not self._slots:
-            raise ValueError("there is no column to compare besides the keys")
-        cells, differs = [], F.lit(False)
-        for i, slot in enumerate(self._slots):
-            left, right = self._sides(slot)
-            equal = self._equal(i, left, right)
-            differs = differs | ~equal
-            cells.append(
-                F.struct(
-                    F.lit(i).alias("c"),
-                    left.cast("string").alias("source_value"),
-                    right.cast("string").alias("target_value"),
-                    equal.alias("equal"),
-                )
-            )
-        kind = (
-            F.when(F.col("n").isNull(), "only_in_source")
-            .when(F.col("m").isNull(), "only_in_target")
-            .otherwise("pair")
-        )
-        keys = [F.col(slot) for slot in self._key_slots]
+        self._require_columns()
+        cells = [
+            f"struct({i} as c, cast(m_{slot} as string) as source_value, "
+            f"cast(n_{slot} as string) as target_value, {self._equal(i)} as equal)"
+            for i, slot in enumerate(self._slots)
+        ]
+        equal = [self._equal(i) for i in range(len(self._slots))]
         found = (
             self._singles()
-            .filter(differs)
-            .select(*keys, kind.alias("kind"), F.inline(F.array(*cells)))
-            .filter(~F.col("equal"))
-            .select(
-                *keys,
-                "c",
-                "source_value",
-                "target_value",
-                F.lit(1).cast("long").alias("pairs"),
-                "kind",
+            .filter(f"not ({' and '.join(equal)})")
+            .selectExpr(
+                *self._key_slots,
+                "case when n is null then 'only_in_source'"
+                " when m is null then 'only_in_target' else 'pair' end as kind",
+                _inline(cells),
             )
+            .filter("not equal")
+            .selectExpr(*self._key_slots, "bigint(1) as pairs", *_CELL)
         )
         if self._repeated is not None:
             found = found.unionByName(self._repeated_differences())
-        names = F.array(*[F.lit(name) for name in self.columns])
+        names = ", ".join(_text(name) for name in self.columns)
         return found.select(
             *[F.col(s).alias(key) for s, key in zip(self._key_slots, self.keys)],
-            F.get(names, F.col("c")).alias("column"),
+            F.expr(f"get(array({names}), c) as column"),
             "source_value",
             "target_value",
             "pairs",
@@ -572,55 +542,45 @@ class Comparison:
     def _repeated_differences(self) -> DataFrame:
         group = [*self._key_slots, "lone", "c"]
         counted = self._value_counts()
-        here, there = F.col("s") > 0, F.col("t") > 0
         stats = counted.groupBy(*group).agg(
-            F.sum("s").alias("m"),
-            F.sum("t").alias("n"),
-            F.count_if(here).alias("s_values"),
-            F.count_if(there).alias("t_values"),
-            F.max(F.when(here, F.col("v"))).alias("s_value"),
-            F.max(F.when(there, F.col("v"))).alias("t_value"),
+            F.expr("sum(s) as m"),
+            F.expr("sum(t) as n"),
+            F.expr("count_if(s > 0) as s_values"),
+            F.expr("count_if(t > 0) as t_values"),
+            F.expr("max(if(s > 0, v, null)) as s_value"),
+            F.expr("max(if(t > 0, v, null)) as t_value"),
         )
-        same_group = F.lit(True)
-        for name in group:
-            same_group = same_group & F.col(name).eqNullSafe(F.col(f"g_{name}"))
         met = counted.join(
-            stats.withColumnsRenamed({name: f"g_{name}" for name in group}), same_group
+            stats.withColumnsRenamed({name: f"g_{name}" for name in group}),
+            F.expr(" and ".join(f"{name} <=> g_{name}" for name in group)),
         )
-        m, n = F.col("m"), F.col("n")
-        s, t, v = F.col("s"), F.col("t"), F.col("v")
-        s_values, t_values = F.col("s_values"), F.col("t_values")
-
-        def cell(kind: str, left: Column, right: Column, pairs: Column) -> Column:
-            return F.struct(
-                left.cast("string").alias("source_value"),
-                right.cast("string").alias("target_value"),
-                _as_count(pairs).alias("pairs"),
-                F.lit(kind).alias("kind"),
+
+        def cell(kind: str, left: str, right: str, pairs: str) -> str:
+            return (
+                f"struct('{kind}' as kind, cast({left} as string) as source_value, "
+                f"cast({right} as string) as target_value, {_as_count(pairs)} as pairs)"
             )
 
-        none = F.lit(None)
-        s_unequal = _wide(s) * _wide(n - F.col("s_hits"))
-        t_unequal = _wide(t) * _wide(m - F.col("t_hits"))
-        from_source = (
-            F.when(~here, none)
-            .when(n == 0, cell("only_in_source", v, none, _wide(s)))
-            .when(t_values == 1, cell("pair", v, F.col("t_value"), s_unequal))
-            .when(s_values > 1, cell("value_in_source", v, none, s_unequal))
-        )
-        from_target = (
-            F.when(~there, none)
-            .when(m == 0, cell("only_in_target", none, v, _wide(t)))
-            .when(t_values == 1, none)
-            .when(s_values == 1, cell("pair", F.col("s_value"), v, t_unequal))
-            .otherwise(cell("value_in_target", none, v, t_unequal))
-        )
+        s_unequal = f"{_wide('s')} * {_wide('n - s_hits')}"
+        t_unequal = f"{_wide('t')} * {_wide('m - t_hits')}"
+        from_source = f"""case when s = 0 then null
+            when n = 0 then {cell('only_in_source', 'v', 'null', 's')}
+            when t_values = 1 then {cell('pair', 'v', 't_value', s_unequal)}
+            when s_values > 1 then {cell('value_in_source', 'v', 'null', s_unequal)}
+            end"""
+        from_target = f"""case when t = 0 then null
+            when m = 0 then {cell('only_in_target', 'null', 'v', 't')}
+            when t_values = 1 then null
+            when s_values = 1 then {cell('pair', 's_value', 'v', t_unequal)}
+            else {cell('value_in_target', 'null', 'v', t_unequal)} end"""
         return (
-            met.select(
-                *self._key_slots, "c", F.explode(F.array(from_source, from_target)).alias("x")
+            met.selectExpr(
+                *self._key_slots, "c", f"explode(array({from_source}, {from_target})) as x"
             )
-            .select(*self._key_slots, "c", "x.*")
-            .filter(F.col("pairs") > 0)
+            .filter("x.pairs > 0")
+            .selectExpr(*self._key_slots, "x.pairs", *[
+                name if name == "c" else f"x.{name}" for name in _CELL
+            ])
         )
 
 
@@ -656,13 +616,7 @@ def compare_one_column(
     options: CompareOptions = CompareOptions(),
 ) -> DataFrame:
     """``column, match_count, mismatch_count, total`` over the kept pairs."""
-    narrowed = CompareOptions(
-        columns=[column],
-        normalizers=options.normalizers,
-        tolerance=options.tolerance,
-        scale=options.scale,
-        unique_keys=options.unique_keys,
-    )
+    narrowed = replace(options, columns=[column])
     return Comparison(source, target, keys, narrowed).pair_figures()
 
 

@@ -8,13 +8,15 @@ hot key inside every map task, so that a key's rows never travel.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.columns import column_of, ref, require_columns, shared_key
+from tallyframe.functions.columns import balanced, column_of, ref, require_columns, shared_key
 from tallyframe.results import (
     COUNT,
+    DATA,
     DUPLICATE,
     ONLY_IN_SOURCE,
     ONLY_IN_TARGET,
@@ -31,10 +33,7 @@ _SOURCE_ROWS, _TARGET_ROWS, _LONE = "__source_rows", "__target_rows", "__lone"
 
 def any_null(columns: Sequence[Column]) -> Column:
     """True when one of the columns is null."""
-    verdict = columns[0].isNull()
-    for column in columns[1:]:
-        verdict = verdict | column.isNull()
-    return verdict
+    return balanced(or_, [column.isNull() for column in columns])
 
 
 def tally(
@@ -136,6 +135,24 @@ def count_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+def key_rows(checks: Sequence[Check], keys: Sequence[str], names: Names) -> list[Column]:
+    """Result rows out of one row of figures with the names used below."""
+    source_records, target_records = F.col("source_records"), F.col("target_records")
+    both = {"source_records": source_records, "target_records": target_records}
+    figures = {
+        COUNT: (F.abs(source_records - target_records), both),
+        DUPLICATE: (F.col("repeated"), {"target_records": target_records}),
+        ONLY_IN_TARGET: (F.col("target_only"), both),
+        ONLY_IN_SOURCE: (F.col("source_only"), both),
+        DATA: (F.col("unequal"), both),
+    }
+    rows = []
+    for check in checks:
+        failed, records = figures[check]
+        rows.append(result_row(check, names, failed, ",".join(keys), **records))
+    return rows
+
+
 def key_checks(
     source: DataFrame | None,
     target: DataFrame,
@@ -145,14 +162,10 @@ def key_checks(
 ) -> DataFrame:
     """Result rows of the asked key checks, all from one pass over the keys."""
     keys = require_columns(keys, "key column")
-    label = ",".join(keys)
-    source_records, target_records = F.col("source_records"), F.col("target_records")
-    both = {"source_records": source_records, "target_records": target_records}
-
     if set(checks) == {COUNT}:
-        totals = count_rows(source, target)
+        figures = count_rows(source, target)
     elif set(checks) == {DUPLICATE}:
-        totals = (
+        figures = (
             target.groupBy(*[column_of(target, key) for key in keys])
             .agg(F.count(F.lit(1)).alias("rows"))
             .agg(
@@ -162,29 +175,14 @@ def key_checks(
         )
     else:
         rows_here, rows_there = F.col(_SOURCE_ROWS), F.col(_TARGET_ROWS)
-        totals = _tally_of(source, target, keys).agg(
+        figures = _tally_of(source, target, keys).agg(
             F.coalesce(F.sum(rows_here), F.lit(0)).alias("source_records"),
             F.coalesce(F.sum(rows_there), F.lit(0)).alias("target_records"),
             F.count_if(rows_there > 1).alias("repeated"),
             F.count_if(rows_here == 0).alias("target_only"),
             F.count_if(rows_there == 0).alias("source_only"),
         )
-
-    makers = {
-        COUNT: lambda: result_row(
-            COUNT, names, F.abs(source_records - target_records), label, **both
-        ),
-        DUPLICATE: lambda: result_row(
-            DUPLICATE, names, F.col("repeated"), label, target_records=target_records
-        ),
-        ONLY_IN_TARGET: lambda: result_row(
-            ONLY_IN_TARGET, names, F.col("target_only"), label, **both
-        ),
-        ONLY_IN_SOURCE: lambda: result_row(
-            ONLY_IN_SOURCE, names, F.col("source_only"), label, **both
-        ),
-    }
-    return spread(totals, [makers[check]() for check in checks])
+    return spread(figures, key_rows(checks, keys, names))
 
 
 def count_validation(source, target, keys, names: Names = Names()) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from tallyframe.functions.columns import require_columns
-from tallyframe.operators.compare import CompareOptions, data_validation
+from tallyframe.operators.compare import CompareOptions, Comparison
 from tallyframe.operators.keys import KEY_CHECKS, key_checks
 from tallyframe.operators.quality import null_value_check, uniqueness_check
 from tallyframe.results import (
@@ -69,24 +69,24 @@ def validate(
 ) -> DataFrame:
     """One result table for all asked checks.
 
-    All key checks share one pass over the keys of both sides. The null check,
-    the uniqueness check and the column comparison each read the columns they
-    need once, however many columns that is.
+    All key checks share one pass over the keys of both sides, which the column
+    comparison makes anyway unless its keys are trimmed text. The null check, the
+    uniqueness check and the column comparison each read the columns they need
+    once, however many columns that is.
     """
     asked = checks_named(checks)
     keys = require_columns(keys, "key column")
     on_keys = [check for check in KEY_CHECKS if check in asked]
     parts = []
+    if DATA in asked:
+        comparison = Comparison(source, target, keys, options)
+        shared = on_keys if comparison.answers_key_checks else []
+        parts.append(comparison.validation(names, count_qa, [*shared, DATA]))
+        on_keys = [check for check in on_keys if check not in shared]
     if on_keys:
         parts.append(key_checks(source, target, keys, on_keys, names))
     if UNIQUE in asked:
         parts.append(uniqueness_check(target, unique_columns, names))
     if NULLS in asked:
         parts.append(null_value_check(target, null_columns, names))
-    if DATA in asked:
-        parts.append(
-            data_validation(
-                source, target, keys, count_qa=count_qa, names=names, options=options
-            )
-        )
     return union_all(parts)

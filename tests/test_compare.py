@@ -1,0 +1,288 @@
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tallyframe.functions import substring_of
+from tallyframe.operators import (
+    CompareOptions,
+    Comparison,
+    compare,
+    compare_columns,
+    compare_one_column,
+    data_compare,
+    data_validation,
+    drill_down,
+    failing_keys,
+    sample_failures,
+)
+from tests.helpers import every_pair, figures, results, rows, unequal_pairs
+
+SCHEMA = "k string, a string, n double"
+
+
+def frames(spark, source, target, schema=SCHEMA):
+    return (
+        spark.createDataFrame(source, schema),
+        spark.createDataFrame(target, schema),
+    )
+
+
+def random_side(seed, count, keys):
+    rng = random.Random(seed)
+    return [
+        (
+            rng.choice([None, *[f"{' ' * rng.randint(0, 1)}{k}" for k in range(keys)]]),
+            rng.choice([None, "x", " x", "y", "z "]),
+            rng.choice([None, 0.0, 0.5, 1.0, 1.5, 2.25, -0.5, -3.0, 7.0]),
+        )
+        for _ in range(count)
+    ]
+
+
+def check_figures(spark, source, target, options=CompareOptions(), tolerance=None):
+    comparison = Comparison(*frames(spark, source, target), "k", options)
+    summary = {r["column"]: tuple(r)[1:4] for r in comparison.column_summary().collect()}
+    kept = {r["column"]: tuple(r)[1:] for r in comparison.pair_figures().collect()}
+    for column, position in (("a", 1), ("n", 2)):
+        allowed = tolerance if column == "n" else None
+        want = figures(source, target, position, 1, allowed)
+        assert kept[column] == want
+        assert summary[column] == (len(source), want[0], len(source) - want[0])
+
+
+def check_differences(spark, source, target, options=CompareOptions(), tolerance=None):
+    left, right = frames(spark, source, target)
+    cells = data_compare(left, right, "k", options=options).collect()
+    pairs = every_pair(source, target)
+    for column, position in (("a", 1), ("n", 2)):
+        allowed = tolerance if column == "n" else None
+        by_key, by_source, by_target = unequal_pairs(source, target, position, 1, allowed)
+        mine = [c for c in cells if c["column"] == column]
+        total = Counter()
+        from_source, from_target = Counter(), Counter()
+        for c in mine:
+            key = (c["k"],)
+            number = (lambda v: v) if column == "a" else as_text
+            if c["kind"] in ("pair", "only_in_source", "value_in_source"):
+                from_source[key, number(c["source_value"])] += c["pairs"]
+            if c["kind"] in ("pair", "only_in_target", "value_in_target"):
+                from_target[key, number(c["target_value"])] += c["pairs"]
+            if c["kind"] != "value_in_target":
+                total[key] += c["pairs"]
+        assert total == by_key
+        assert from_source == normal(by_source, column)
+        assert from_target == normal(by_target, column)
+    assert len(cells) <= 2 * (len(source) + len(target)), len(pairs)
+
+
+def as_text(value):
+    return None if value is None else str(float(value))
+
+
+def normal(counter, column):
+    if column == "a":
+        return counter
+    return Counter({(k, as_text(v)): n for (k, v), n in counter.items()})
+
+
+UNIQUE_SOURCE = [("1", "x", 1.0), ("2", " y ", 2.0), ("3", None, None), (None, "q", 3.0)]
+UNIQUE_TARGET = [("1", "x", 1.25), ("2", "y", 2.0), ("3", None, 5.0), ("4", "w", 1.0), (None, "q", 3.0)]
+
+
+def test_unique_keys_against_all_pairs(spark):
+    check_figures(spark, UNIQUE_SOURCE, UNIQUE_TARGET)
+    check_differences(spark, UNIQUE_SOURCE, UNIQUE_TARGET)
+
+
+def test_differences_of_unique_keys(spark):
+    left, right = frames(spark, UNIQUE_SOURCE, UNIQUE_TARGET)
+    assert rows(data_compare(left, right, "k", options=CompareOptions(columns="a"))) == sorted(
+        [
+            ("3", "a", None, None, 1, "pair"),
+            ("4", "a", None, "w", 1, "only_in_target"),
+            (None, "a", "q", None, 1, "only_in_source"),
+            (None, "a", None, "q", 1, "only_in_target"),
+        ],
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_repeated_keys_against_all_pairs(spark, seed):
+    source, target = random_side(seed, 60, 12), random_side(seed + 50, 70, 14)
+    check_figures(spark, source, target)
+    check_differences(spark, source, target)
+
+
+def test_repeated_keys_that_must_be_shuffled(spark, never_broadcast):
+    source, target = random_side(7, 60, 20), random_side(8, 60, 20)
+    check_figures(spark, source, target)
+    check_differences(spark, source, target)
+
+
+def test_hot_keys_beside_keys_that_must_be_shuffled(spark, never_broadcast, monkeypatch):
+    monkeypatch.setattr(compare, "_HOT_ROWS", 8)
+    monkeypatch.setattr(compare, "_MOST_HOT_KEYS", 50)
+    rng = random.Random(3)
+    source, target = random_side(7, 60, 30), random_side(8, 60, 30)
+    source += [("hot", rng.choice("xyz"), rng.choice([1.0, 2.0])) for _ in range(40)]
+    target += [("hot", rng.choice("xy"), rng.choice([1.0, 3.0])) for _ in range(30)]
+    left, right = frames(spark, source, target)
+    repeated = Comparison(left, right, "k")._repeated
+    assert repeated.largest >= repeated.hot_from
+    check_figures(spark, source, target)
+    check_differences(spark, source, target)
+
+
+@pytest.mark.parametrize("tolerance", ["0", "0.5", "1.75", "100"])
+def test_tolerance_against_all_pairs(spark, tolerance):
+    options = CompareOptions(tolerance={"N": tolerance})
+    source, target = random_side(1, 50, 8), random_side(2, 50, 9)
+    check_figures(spark, source, target, options, tolerance)
+    check_differences(spark, source, target, options, tolerance)
+    check_figures(spark, UNIQUE_SOURCE, UNIQUE_TARGET, options, tolerance)
+
+
+def test_tolerance_reads_text_and_rejects_finer_steps(spark):
+    schema = "k int, v string"
+    left, right = frames(
+        spark, [(1, "1.00"), (2, "x"), (3, "5")], [(1, "1.4"), (2, "x"), (3, "6")], schema
+    )
+    options = CompareOptions(tolerance={"v": 0.5})
+    assert rows(compare_one_column(left, right, "k", "v", options=options)) == [
+        ("v", 1, 2, 3)
+    ]
+    with pytest.raises(ValueError, match="multiple"):
+        compare_columns(left, right, "k", options=CompareOptions(tolerance={"v": "1e-9"}))
+
+
+@settings(
+    max_examples=4,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(
+    planted=st.sets(st.integers(0, 29), max_size=10),
+    order=st.randoms(use_true_random=False),
+)
+def test_planted_differences_are_found(spark, planted, order):
+    source = [(str(i), f"v{i}", float(i)) for i in range(30)]
+    target = [
+        (k, a + "!" if int(k) in planted else a, n) for k, a, n in source
+    ]
+    order.shuffle(target)
+    left, right = frames(spark, source, target)
+    found = results(data_validation(left, right, "k"))
+    assert found[7, "k"] == (30, 30, len(planted), "fail" if planted else "pass")
+    assert {r["k"] for r in data_compare(left, right, "k").collect()} == {
+        str(i) for i in planted
+    }
+
+
+def test_count_given_by_the_caller(spark):
+    left, right = frames(spark, UNIQUE_SOURCE, UNIQUE_TARGET)
+    first = compare_columns(
+        left, right, "k", count_qa=10, options=CompareOptions(columns="a")
+    ).first()
+    assert tuple(first) == ("a", 10, 2, 8, 80.0)
+
+
+def test_no_rows_give_no_share(spark):
+    left, right = frames(spark, [], [])
+    assert [tuple(r) for r in compare_columns(left, right, "k").collect()] == [
+        ("a", 0, 0, 0, None),
+        ("n", 0, 0, 0, None),
+    ]
+    assert results(data_validation(left, right, "k")) == {(7, "k"): (0, 0, 0, "pass")}
+
+
+def test_columns_come_from_the_source(spark):
+    left = spark.createDataFrame([(1, "x")], "K int, A string")
+    right = spark.createDataFrame([(1, "x", "extra")], "k int, a string, b string")
+    assert rows(compare_columns(left, right, "k")) == [("A", 1, 1, 0, 0.0)]
+    with pytest.raises(ValueError, match="'b' does not exist"):
+        compare_columns(right, left, "k")
+
+
+def test_types_may_differ(spark):
+    left = spark.createDataFrame([(1, "7", True)], "k int, a string, b boolean")
+    right = spark.createDataFrame([("1 ", 7, True)], "k string, a int, b boolean")
+    assert [r["match_count"] for r in compare_columns(left, right, "k").collect()] == [1, 1]
+
+
+def test_names_with_dots(spark):
+    left = spark.createDataFrame([(1, "x")], "`k.k` int, `a.b` string")
+    assert rows(compare_columns(left, left, "k.k")) == [("a.b", 1, 1, 0, 0.0)]
+    assert rows(data_compare(left, left, "k.k")) == []
+
+
+def test_normalizer(spark):
+    schema = "k int, code string"
+    left, right = frames(spark, [(1, "ab1"), (2, "cd")], [(1, " ab2"), (2, "xd")], schema)
+    options = CompareOptions(normalizers={"code": substring_of(1, 2)})
+    assert rows(compare_columns(left, right, "k", options=options)) == [
+        ("code", 2, 1, 1, 50.0)
+    ]
+
+
+def test_one_join_for_all_columns(spark):
+    wide = spark.range(50).selectExpr("id", *[f"id + {i} as c{i}" for i in range(40)])
+    plan = compare_columns(wide, wide, "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") + plan.count("HashJoin") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_pairs_of_a_hot_key_pass_what_a_long_holds(spark):
+    """Four billion rows a side, held as the counts that rows come down to."""
+    left = spark.createDataFrame([("h", "x"), ("h", "x")], "k string, a string")
+    comparison = Comparison(left, left, "k")
+    counts = spark.createDataFrame(
+        [("h", None, 0, "x", 4 * 10**9, 4 * 10**9, 4 * 10**9, 4 * 10**9)],
+        "k0 string, lone boolean, c int, v string, s bigint, t bigint, "
+        "s_hits bigint, t_hits bigint",
+    )
+    comparison._value_counts = lambda: counts
+    equal = comparison._repeated_figures().first()["equal"]
+    assert equal == 16 * 10**18
+    assert comparison.pair_figures().first()["match_count"] == 2**63 - 1
+
+
+def test_hot_key_does_not_multiply(spark):
+    """A third of the rows share one key; a join would give 9 * 10**8 pairs."""
+    rows_here = 90_000
+    side = spark.range(rows_here).selectExpr(
+        f"if(id < {rows_here // 3}, -1, id) as k", "id % 1000 as a"
+    )
+    got = compare_one_column(side, side, "k", "a").first()
+    hot = rows_here // 3
+    assert got["total"] == hot * hot + (rows_here - hot)
+    assert got["match_count"] == hot * (hot // 1000) + (rows_here - hot)
+
+
+def test_drill_down_and_samples(spark):
+    left, right = frames(
+        spark,
+        [("1", "x", 1.0), ("2 ", "y", 1.0), ("3", "z", 1.0)],
+        [("1", "x", 1.0), (" 2", "q", 1.0), (" 2", "r", 1.0), ("3", "w", 1.0)],
+    )
+    differing = data_compare(left, right, "k")
+    failing = failing_keys(differing, "k")
+    assert rows(failing) == [("2",), ("3",)]
+    assert rows(drill_down(right, failing, "k")) == [
+        (" 2", "q", 1.0),
+        (" 2", "r", 1.0),
+        ("3", "w", 1.0),
+    ]
+    assert [r["target_value"] for r in sample_failures(differing, count=2).collect()] == [
+        "q",
+        "r",
+    ]
+
+
+def test_drill_down_meets_keys_of_other_types(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, a string")
+    failing = spark.createDataFrame([("2",), (None,)], "k string")
+    assert rows(drill_down(df, failing, "k")) == [(2, "y")]

@@ -7,24 +7,9 @@ twice, changed values, blanks, and missing values of several kinds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from string import Formatter
 
-TABLES = (
-    "region",
-    "nation",
-    "customer",
-    "supplier",
-    "part",
-    "orders",
-    "lineitem",
-    "events",
-    "documents",
-    "embeddings",
-    "pages",
-    "benchmark",
-    "labels",
-    "conversations",
-)
+from pyspark.sql import DataFrame, SparkSession
 
 # -- orders: keys unique in the source, some rows twice in the target ----------
 
@@ -33,7 +18,7 @@ select case when o_totalprice > 499500 then null else o_orderkey end as k,
        case when o_orderpriority = '4-NOT SPECIFIED' and o_totalprice < 50000
             then null else o_orderstatus end as status,
        cast(o_totalprice as decimal(18,2)) as price
-from orders
+from {orders}
 """
 
 ORDER_TARGET = """
@@ -50,11 +35,11 @@ select case when o_totalprice > 498500 then null
                  when o_totalprice >= 105000 and o_totalprice < 115000
                  then o_totalprice + 0.25
                  else o_totalprice end as decimal(18,2)) as price
-from orders
+from {orders}
 where o_totalprice >= 5000
 union all
 select o_orderkey, o_orderstatus, cast(o_totalprice as decimal(18,2))
-from orders
+from {orders}
 where o_totalprice >= 200000 and o_totalprice < 204000
 """
 
@@ -64,7 +49,7 @@ LINE_SOURCE = """
 select l_orderkey as ok, l_linenumber as ln, l_returnflag as flag,
        case when l_discount = 0.05 then null else l_linestatus end as state,
        cast(l_quantity as decimal(18,2)) as qty
-from lineitem
+from {lineitem}
 """
 
 LINE_TARGET = """
@@ -75,7 +60,7 @@ select l_orderkey as ok, l_linenumber as ln,
             else l_linestatus end as state,
        cast(case when l_tax = 0.05 then l_quantity + 1.5
                  else l_quantity end as decimal(18,2)) as qty
-from lineitem
+from {lineitem}
 where not (l_returnflag = 'N' and l_tax = 0.08)
 """
 
@@ -94,7 +79,7 @@ select o_orderkey as k,
             else null end as note,
        case when o_orderstatus = 'P' then null else o_totalprice end as price,
        o_orderdate as placed
-from orders
+from {orders}
 """
 
 # -- contacts: the medallion pipeline ------------------------------------------
@@ -122,7 +107,7 @@ select cast(c_custkey as string) as Identifier,
        concat('+', cast(c_nationkey as string), '-', cast(c_custkey as string))
            as Phone,
        concat('1990', lpad(cast(c_nationkey as string), 2, '0')) as birthmonth
-from customer
+from {customer}
 """
 
 _STORED_CONTACT = """
@@ -131,10 +116,10 @@ select Identifier, Surname, given_name, middle_initial{suffix},
        case when given_name = 'MACHINERY' and state = '5' then 'moved away'
             else city end as city,
        state, zipcode{previous}, Email, Phone, birthmonth{flag}
-from {layer}
+from {{{layer}}}
 where not (given_name = 'FURNITURE' and state = '3')
 union all
-select * from {layer} where given_name = 'BUILDING' and state = '7'
+select * from {{{layer}}} where given_name = 'BUILDING' and state = '7'
 """
 
 STORED_BRONZE = _STORED_CONTACT.format(
@@ -171,7 +156,7 @@ select concat('landing/events_', cast(user_id as string), '.csv') as source,
                        when 'purchase' then 'Uniquess_check'
                        else 'data_compare' end as validation_Type,
        case when value >= 10 then 'Y' else 'N' end as execution_ind
-from events
+from {events}
 """
 
 
@@ -180,16 +165,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def sql(spark: SparkSession, folder: str, text: str, **frames: DataFrame) -> DataFrame:
-    """A SQL text over the given tables and frames, by their bare names."""
-    words = set(text.replace(",", " ").replace("(", " ").replace(")", " ").split())
-    for name in TABLES:
-        if name in words and name not in frames:
-            frames[name] = table(spark, folder, name)
-    bound = text
-    for name in frames:
-        bound = bound.replace(f"from {name}\n", f"from {{{name}}}\n")
-        bound = bound.replace(f"from {name} ", f"from {{{name}}} ")
-    return spark.sql(bound, **frames)
+    """A SQL text whose ``{names}`` stand for given tables or frames."""
+    named = {name for _, name, _, _ in Formatter().parse(text) if name}
+    tables = {name: table(spark, folder, name) for name in named - frames.keys()}
+    return spark.sql(text, **tables, **frames)
+
+
+def bare(text: str) -> str:
+    """The same text with every name written out, for the checking engine."""
+    return text.replace("{", "").replace("}", "")
 
 
 def order_pair(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from workloads import inputs
+from workloads.inputs import bare
 
-ORDER_CTE = f"src as ({inputs.ORDER_SOURCE}), tgt as ({inputs.ORDER_TARGET})"
-LINE_CTE = f"src as ({inputs.LINE_SOURCE}), tgt as ({inputs.LINE_TARGET})"
+ORDER_SOURCE, ORDER_TARGET = bare(inputs.ORDER_SOURCE), bare(inputs.ORDER_TARGET)
+LINE_SOURCE, LINE_TARGET = bare(inputs.LINE_SOURCE), bare(inputs.LINE_TARGET)
+MARKED_TEXT, PLAN_ROWS = bare(inputs.MARKED_TEXT), bare(inputs.PLAN_ROWS)
+CONTACT_RAW = bare(inputs.CONTACT_RAW)
+STORED_BRONZE, STORED_SILVER = bare(inputs.STORED_BRONZE), bare(inputs.STORED_SILVER)
+
+ORDER_CTE = f"src as ({ORDER_SOURCE}), tgt as ({ORDER_TARGET})"
+LINE_CTE = f"src as ({LINE_SOURCE}), tgt as ({LINE_TARGET})"
 ORDER_COLUMNS = ("status", "price")
 LINE_COLUMNS = ("flag", "state", "qty")
 ORDER_NAMES = ("orders", "orders_copy")
@@ -202,7 +209,7 @@ def suite(names, keys, columns, nulls, uniques) -> str:
 
 # -- the medallion pipeline ----------------------------------------------------------
 
-BRONZE_CTE = f"""raw as ({inputs.CONTACT_RAW}),
+BRONZE_CTE = f"""raw as ({CONTACT_RAW}),
 bronze as (
   select cast(Identifier as decimal(10,0)) as Identifier, upper(Surname) as Surname,
          upper(given_name) as given_name, upper(middle_initial) as middle_initial,
@@ -267,7 +274,7 @@ tgt as (select doc_id, text, upper(lang) as lang, source, n_chars from documents
 from customer"""
     both_rows = f"""{customer_rows} union all
 select s_suppkey as id, s_name as name, s_acctbal as balance from supplier"""
-    active = f"select * from ({inputs.PLAN_ROWS}) where execution_ind = 'Y'"
+    active = f"select * from ({PLAN_ROWS}) where execution_ind = 'Y'"
     plan_group = """source, source_type, source_db_name,
 source_transformation_query_path, target, target_type, target_db_name,
 target_transformation_query_path, key_col_list, null_col_list, unique_col_list"""
@@ -338,7 +345,7 @@ group by ok, ln""",
             unique_row("documents", c, "documents")
             for c in ("doc_id", "text", "lang", "n_chars")
         ),
-        "null_value_check_orders": f"with marked as ({inputs.MARKED_TEXT}) "
+        "null_value_check_orders": f"with marked as ({MARKED_TEXT}) "
         + " union all ".join(
             null_row("orders", c, rule, "marked")
             for c, rule in {
@@ -377,7 +384,7 @@ pairs, kind limit 10""",
         "validation_summary": f"{order_j} "
         + suite(ORDER_NAMES, "k", ORDER_COLUMNS, order_nulls, ("k", "price")),
         "bronze_validation": f"""with {BRONZE_CTE}, src as (select * from bronze),
-tgt as ({inputs.STORED_BRONZE}), {joined('Identifier', BRONZE_COMPARED)} """
+tgt as ({STORED_BRONZE}), {joined('Identifier', BRONZE_COMPARED)} """
         + suite(
             ("bronze_expected", "bronze"),
             "Identifier",
@@ -390,7 +397,7 @@ tgt as ({inputs.STORED_BRONZE}), {joined('Identifier', BRONZE_COMPARED)} """
             ("Identifier", "Email"),
         ),
         "silver_validation": f"""with {SILVER_CTE}, src as (select * from silver),
-tgt as ({inputs.STORED_SILVER}), {joined('Identifier,Current_ind', SILVER_COMPARED)} """
+tgt as ({STORED_SILVER}), {joined('Identifier,Current_ind', SILVER_COMPARED)} """
         + suite(
             ("silver_expected", "silver"),
             "Identifier,Current_ind",
