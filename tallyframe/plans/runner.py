@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -20,7 +20,7 @@ from tallyframe.schema import (
     PLAN_SCHEMA,
 )
 from tallyframe.sources.readers import read_csv, read_data, read_json
-from tallyframe.sources.scratch import ready_for_checkpoints
+from tallyframe.sources.scratch import stored
 
 # Types whose rows are found again from scratch by every scan, all columns of them.
 _WHOLE_ROW_TYPES = ("csv", "json", "table")
@@ -42,10 +42,17 @@ def active_cases(plan: DataFrame) -> DataFrame:
     return plan.filter(ref(PLAN_ACTIVE_COLUMN) == "Y")
 
 
-def grouped_cases(plan: DataFrame) -> DataFrame:
-    """One row per pair of datasets, with the set of its checks in order."""
-    return plan.groupBy(*PLAN_LOCATION_COLUMNS).agg(
-        F.sort_array(F.collect_set(PLAN_CHECK_COLUMN)).alias(PLAN_CHECK_COLUMN)
+def grouped_cases(
+    plan: DataFrame,
+    by: Sequence[str] = PLAN_LOCATION_COLUMNS,
+    check_column: str = PLAN_CHECK_COLUMN,
+) -> DataFrame:
+    """One row per pair of datasets, with the set of its checks in order.
+
+    Plans of another layout name the columns that tell pairs apart.
+    """
+    return plan.groupBy(*[ref(name) for name in by]).agg(
+        F.sort_array(F.collect_set(ref(check_column))).alias(check_column)
     )
 
 
@@ -56,8 +63,8 @@ class Environment:
     connections  options of each named connection
     data_root    folder that file names are relative to
     query_root   folder that query files are relative to
-    store_rows   keep a checkpointed copy of datasets whose format has to be
-                 read whole by every check, so that each is read once
+    store_rows   keep a stored copy of datasets whose format has to be read whole
+                 by every check, so that each is read once
     """
 
     connections: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
@@ -84,10 +91,7 @@ def _read_side(spark: SparkSession, case: Row, side: str, env: Environment) -> D
             env.query_root, case[f"{side}_transformation_query_path"]
         ),
     )
-    if env.store_rows and kind in _WHOLE_ROW_TYPES:
-        ready_for_checkpoints(spark)
-        return df.checkpoint()
-    return df
+    return stored(df) if env.store_rows and kind in _WHOLE_ROW_TYPES else df
 
 
 def run_cases(

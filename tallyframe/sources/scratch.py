@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -32,3 +32,15 @@ def ready_for_checkpoints(spark: SparkSession) -> None:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the shared folder and read from there.
+
+    For datasets that several checks read and that are dear to make again: the
+    result of a shuffle, or rows in a format without columns. The copy outlives
+    lost executors, and every check reads only the columns it needs.
+    """
+    path = fresh_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -40,4 +40,4 @@ def write_table(
 
 def write_results(results: DataFrame, path: str, *, mode: str = "append") -> None:
     """Publish a result table, which has a row per check, as one CSV file."""
-    write_csv(results.coalesce(1), path, mode=mode)
+    write_csv(results.repartition(1), path, mode=mode)

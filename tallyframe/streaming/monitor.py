@@ -38,7 +38,7 @@ def check_stream(
             parts.append(null_value_check(batch, null_columns, names))
         if unique_columns:
             parts.append(uniqueness_check(batch, unique_columns, names))
-        union_all(parts).coalesce(1).write.mode("overwrite").parquet(
+        union_all(parts).repartition(1).write.mode("overwrite").parquet(
             f"{results_path.rstrip('/')}/batch_id={batch_id}"
         )
 

@@ -85,7 +85,7 @@ def test_contact_columns(contact_pair):
 
 
 def test_employee_pair_whose_key_differs_in_case(spark):
-    numbers = [7839, 7698, 7782, 7566, 7788, 7902, 7369, 7499, 7521, 7654, 7844, 7876, 7876]
+    numbers = [*range(7801, 7811), 7654, 7876, 7876]
     source = spark.createDataFrame([(str(n), " a ") for n in numbers], "EMPNO string, ENAME string")
     copy = [5655 if n == 7654 else n for n in numbers]
     target = spark.createDataFrame([(str(n), "a") for n in copy], "Empno string, ename string")
@@ -215,6 +215,15 @@ def test_grouped_cases_collect_each_check_once(spark, plan_folder):
     ]
 
 
+def test_grouping_of_a_plan_with_other_columns(spark):
+    plan = spark.createDataFrame(
+        [("a", "q1", "x"), ("a", "q1", "y"), ("a", "q1", "x"), ("b", None, "x")],
+        "file string, query string, kind string",
+    )
+    grouped = grouped_cases(plan, ["file", "query"], "kind")
+    assert rows(grouped) == [("a", "q1", ["x", "y"]), ("b", None, ["x"])]
+
+
 def test_plan_with_unknown_check_fails(spark):
     spark.range(1).createOrReplaceTempView("plan_v")
     row = ("plan_v", "view", None, None, "plan_v", "view", None, None, "id", "", "", "oops", "Y")

@@ -177,8 +177,16 @@ def bare(text: str) -> str:
 
 
 def order_pair(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return sql(spark, folder, ORDER_SOURCE), sql(spark, folder, ORDER_TARGET)
+    orders = table(spark, folder, "orders")
+    return (
+        sql(spark, folder, ORDER_SOURCE, orders=orders),
+        sql(spark, folder, ORDER_TARGET, orders=orders),
+    )
 
 
 def line_pair(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return sql(spark, folder, LINE_SOURCE), sql(spark, folder, LINE_TARGET)
+    lines = table(spark, folder, "lineitem")
+    return (
+        sql(spark, folder, LINE_SOURCE, lineitem=lines),
+        sql(spark, folder, LINE_TARGET, lineitem=lines),
+    )

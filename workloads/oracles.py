@@ -293,7 +293,7 @@ from orders""",
         "scan_parquet": "select * from part",
         "sink_csv_append": both_rows,
         "sink_csv_overwrite": customer_rows,
-        "union_of_all_rows": both_rows,
+        "union_all": both_rows,
         "plan_active_cases": active,
         "plan_grouped_cases": f"""select {plan_group},
 string_agg(distinct validation_Type, ',' order by validation_Type) as validation_Type
@@ -320,10 +320,10 @@ from ({active}) group by {plan_group}""",
                 ),
             ]
         ),
-        "count_validation_orders": f"with {ORDER_CTE} {count_row(ORDER_NAMES, 'k')}",
-        "duplicate_keys_lines": """select l_orderkey, l_linenumber, count(*) as count
+        "count_validation": f"with {ORDER_CTE} {count_row(ORDER_NAMES, 'k')}",
+        "duplicate_keys": """select l_orderkey, l_linenumber, count(*) as count
 from lineitem group by l_orderkey, l_linenumber having count(*) > 1""",
-        "duplicate_validation_orders": f"with {ORDER_CTE} "
+        "duplicate_validation": f"with {ORDER_CTE} "
         + duplicate_row(ORDER_NAMES, "k"),
         "key_count_compare": f"""with {ORDER_CTE}
 select coalesce(s.k, t.k) as k, source_count, target_count
@@ -337,15 +337,15 @@ where not exists (select 1 from src where src.k = tgt.k) group by k""",
 select ok, ln, count(*) as source_count from src
 where not exists (select 1 from tgt where src.ok = tgt.ok and src.ln = tgt.ln)
 group by ok, ln""",
-        "only_in_target_check": f"with {ORDER_CTE} "
+        "only_in_target": f"with {ORDER_CTE} "
         + only_in_target_row(ORDER_NAMES, "k"),
-        "only_in_source_check": f"with {LINE_CTE} "
+        "only_in_source": f"with {LINE_CTE} "
         + only_in_source_row(LINE_NAMES, "ok,ln"),
-        "uniqueness_check_documents": " union all ".join(
+        "uniqueness_check": " union all ".join(
             unique_row("documents", c, "documents")
             for c in ("doc_id", "text", "lang", "n_chars")
         ),
-        "null_value_check_orders": f"with marked as ({MARKED_TEXT}) "
+        "null_value_check": f"with marked as ({MARKED_TEXT}) "
         + " union all ".join(
             null_row("orders", c, rule, "marked")
             for c, rule in {
@@ -355,16 +355,16 @@ group by ok, ln""",
                 "placed": NULL_OTHER,
             }.items()
         ),
-        "data_compare_orders": f"{order_j} {differences('k', ORDER_COLUMNS)}",
+        "data_compare": f"{order_j} {differences('k', ORDER_COLUMNS)}",
         "data_compare_repeated_keys": f"{line_j} "
         + factored_differences("ok,ln", LINE_COLUMNS),
-        "data_validation_orders": f"{order_j} "
+        "data_validation": f"{order_j} "
         + data_row(ORDER_NAMES, "k", ORDER_COLUMNS),
-        "compare_columns_orders": f"{order_j} {summary(ORDER_COLUMNS)}",
+        "compare_columns": f"{order_j} {summary(ORDER_COLUMNS)}",
         "compare_columns_repeated_keys": f"{line_j} {summary(LINE_COLUMNS)}",
         "compare_columns_documents": f"with {documents_cte}, "
         f"{joined('doc_id', document_columns)} {summary(document_columns)}",
-        "compare_one_column_orders": f"{order_j} {pair_figures('status')}",
+        "compare_one_column": f"{order_j} {pair_figures('status')}",
         "compare_one_column_repeated_keys": f"{line_j} {pair_figures('state')}",
         "compare_substring": f"""with src as (select o_orderkey, o_orderpriority
 from orders), tgt as (select o_orderkey, lower(o_orderpriority) as o_orderpriority
@@ -374,10 +374,11 @@ from orders), {joined('o_orderkey', ['o_orderpriority'])}
         "compare_tolerance": f"{order_j} {summary(['price'], within + '0.5')}",
         "compare_tolerance_repeated_keys": f"{line_j} "
         + pair_figures("qty", within + "2"),
-        "drill_down_target": f"""{order_j} select * from tgt where k in (
+        "drill_down": f"""{order_j} select k, status,
+cast(price as varchar) as price from tgt where k in (
 select k from j where (s_status = t_status and s_price = t_price) is not true
 and k is not null)""",
-        "sample_failures_orders": f"""{order_j} select * from (
+        "sample_failures": f"""{order_j} select * from (
 {differences('k', ORDER_COLUMNS)})
 order by k nulls first, "column", source_value nulls first, target_value nulls first,
 pairs, kind limit 10""",
@@ -405,8 +406,10 @@ tgt as ({STORED_SILVER}), {joined('Identifier,Current_ind', SILVER_COMPARED)} ""
             {"Identifier": NULL_OTHER, "Current_ind": NULL_TEXT},
             ("Identifier",),
         ),
-        "raw_to_bronze_contacts": f"with {BRONZE_CTE} select * from bronze",
-        "bronze_to_silver_contacts": f"with {SILVER_CTE} select * from silver",
+        "raw_to_bronze": f"""with {BRONZE_CTE} select * replace
+(cast(Identifier as bigint) as Identifier) from bronze""",
+        "bronze_to_silver": f"""with {SILVER_CTE} select * replace
+(cast(Identifier as bigint) as Identifier) from silver""",
         "flatten_struct": """select event_id, cast(props->>'k' as integer) as props_k
 from events""",
         "flatten_array": """select vec_id, cast(unnest(embedding) as double) as embedding,
@@ -414,7 +417,7 @@ label from embeddings""",
         "flatten_nested": """select doc_id, lang, line as line_text,
 cast(length(line) as integer) as line_size
 from (select doc_id, lang, unnest(string_split(text, chr(10))) as line from documents)""",
-        "trim_columns_orders": f"""with {ORDER_CTE}
+        "trim_columns": f"""with {ORDER_CTE}
 select cast(k as varchar) as k, trim(status) as status, cast(price as varchar) as price
 from tgt""",
         "sql_projection": """select s_suppkey, s_name, s_acctbal * 200 as balance,
@@ -422,7 +425,7 @@ coalesce(s_nationkey, 0) as nation from supplier""",
         "sql_having": """select l_orderkey, count(*) as line_count from lineitem
 group by l_orderkey having count(*) > 1""",
         "sql_null_filter": f"""with {ORDER_CTE}
-select k, price from src where status is null""",
+select k, cast(price as varchar) as price from src where status is null""",
         "stream_batch_checks": f"""select tc_id, test_case_name, "column",
 target_records, failed_records from (
 {null_row('events', 'value', NULL_DOUBLE, 'events')} union all

@@ -48,7 +48,7 @@ from tallyframe.sources import (
     schema_from_json,
     write_csv,
 )
-from tallyframe.sources.scratch import fresh_path
+from tallyframe.sources.scratch import fresh_path, stored
 from tallyframe.streaming import check_stream, stream_totals
 from workloads import inputs
 from workloads.inputs import line_pair, order_pair, sql, table
@@ -60,9 +60,12 @@ LINE_KEY = "ok, ln"
 _REGISTERED = {}
 
 
-def registered(function):
-    _REGISTERED[function.__name__] = function
-    return function
+def registered(name: str):
+    def keep(function):
+        _REGISTERED[name] = function
+        return function
+
+    return keep
 
 
 def all_queries():
@@ -72,7 +75,7 @@ def all_queries():
 # -- sources and sinks -----------------------------------------------------------
 
 
-@registered
+@registered("scan_csv")
 def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "scan-csv")
     write_csv(table(spark, folder, "orders"), path)
@@ -86,7 +89,7 @@ def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@registered
+@registered("scan_csv_pipe")
 def scan_csv_pipe(spark, folder):
     path = fresh_path(spark, "scan-pipe")
     write_csv(table(spark, folder, "customer"), path, delimiter="|")
@@ -99,7 +102,7 @@ def scan_csv_pipe(spark, folder):
     )
 
 
-@registered
+@registered("scan_csv_schema")
 def scan_csv_schema(spark, folder):
     part = table(spark, folder, "part")
     path, schema_path = fresh_path(spark, "scan-typed"), fresh_path(spark, "schema")
@@ -112,7 +115,7 @@ def scan_csv_schema(spark, folder):
     )
 
 
-@registered
+@registered("scan_json")
 def scan_json(spark, folder):
     path = fresh_path(spark, "scan-json")
     table(spark, folder, "documents").write.json(path)
@@ -121,7 +124,7 @@ def scan_json(spark, folder):
     )
 
 
-@registered
+@registered("scan_json_multiline")
 def scan_json_multiline(spark, folder):
     """Files that hold one array each; a file is read whole, so each is short."""
     path = fresh_path(spark, "scan-multiline")
@@ -144,7 +147,7 @@ def scan_json_multiline(spark, folder):
     )
 
 
-@registered
+@registered("scan_parquet")
 def scan_parquet(spark, folder):
     return read_parquet(spark, f"{folder}/part.parquet")
 
@@ -171,7 +174,7 @@ def _typed_balances(df):
     )
 
 
-@registered
+@registered("sink_csv_append")
 def sink_csv_append(spark, folder):
     customers, suppliers = _names_and_balances(spark, folder)
     path = fresh_path(spark, "sink-append")
@@ -180,7 +183,7 @@ def sink_csv_append(spark, folder):
     return _typed_balances(read_csv(spark, path))
 
 
-@registered
+@registered("sink_csv_overwrite")
 def sink_csv_overwrite(spark, folder):
     customers, suppliers = _names_and_balances(spark, folder)
     path = fresh_path(spark, "sink-overwrite")
@@ -189,7 +192,7 @@ def sink_csv_overwrite(spark, folder):
     return _typed_balances(read_csv(spark, path))
 
 
-@registered
+@registered("union_all")
 def union_of_all_rows(spark, folder):
     return union_all(list(_names_and_balances(spark, folder)))
 
@@ -197,12 +200,12 @@ def union_of_all_rows(spark, folder):
 # -- test plan ---------------------------------------------------------------------
 
 
-@registered
+@registered("plan_active_cases")
 def plan_active_cases(spark, folder):
     return active_cases(sql(spark, folder, inputs.PLAN_ROWS))
 
 
-@registered
+@registered("plan_grouped_cases")
 def plan_grouped_cases(spark, folder):
     grouped = grouped_cases(active_cases(sql(spark, folder, inputs.PLAN_ROWS)))
     return grouped.withColumn(
@@ -210,7 +213,7 @@ def plan_grouped_cases(spark, folder):
     )
 
 
-@registered
+@registered("plan_run")
 def plan_run(spark, folder):
     """A plan with two pairs; its checks read the given tables whole."""
     source, target = order_pair(spark, folder)
@@ -242,50 +245,50 @@ def plan_run(spark, folder):
 # -- checks on keys ----------------------------------------------------------------
 
 
-@registered
+@registered("count_validation")
 def count_validation_orders(spark, folder):
     source, target = order_pair(spark, folder)
     return count_validation(source, target, "k", ORDERS)
 
 
-@registered
+@registered("duplicate_keys")
 def duplicate_keys_lines(spark, folder):
     return duplicate_keys(
         table(spark, folder, "lineitem"), "l_orderkey, l_linenumber"
     )
 
 
-@registered
+@registered("duplicate_validation")
 def duplicate_validation_orders(spark, folder):
     _, target = order_pair(spark, folder)
     return duplicate_validation(target, "k", ORDERS)
 
 
-@registered
+@registered("key_count_compare")
 def key_count_compare(spark, folder):
     source, target = order_pair(spark, folder)
     return key_counts(source, target, "k")
 
 
-@registered
+@registered("only_in_target_keys")
 def only_in_target_keys(spark, folder):
     source, target = order_pair(spark, folder)
     return only_in_target(source, target, "k")
 
 
-@registered
+@registered("only_in_source_keys")
 def only_in_source_keys(spark, folder):
     source, target = line_pair(spark, folder)
     return only_in_source(source, target, LINE_KEY)
 
 
-@registered
+@registered("only_in_target")
 def only_in_target_check(spark, folder):
     source, target = order_pair(spark, folder)
     return only_in_target_validation(source, target, "k", ORDERS)
 
 
-@registered
+@registered("only_in_source")
 def only_in_source_check(spark, folder):
     source, target = line_pair(spark, folder)
     return only_in_source_validation(source, target, LINE_KEY, LINES)
@@ -294,7 +297,7 @@ def only_in_source_check(spark, folder):
 # -- checks on columns -------------------------------------------------------------
 
 
-@registered
+@registered("uniqueness_check")
 def uniqueness_check_documents(spark, folder):
     return uniqueness_check(
         table(spark, folder, "documents"),
@@ -303,7 +306,7 @@ def uniqueness_check_documents(spark, folder):
     )
 
 
-@registered
+@registered("null_value_check")
 def null_value_check_orders(spark, folder):
     marked = sql(spark, folder, inputs.MARKED_TEXT)
     return null_value_check(marked, "k, note, price, placed", Names(target="orders"))
@@ -312,37 +315,37 @@ def null_value_check_orders(spark, folder):
 # -- comparing columns ---------------------------------------------------------------
 
 
-@registered
+@registered("data_compare")
 def data_compare_orders(spark, folder):
     source, target = order_pair(spark, folder)
     return data_compare(source, target, "k")
 
 
-@registered
+@registered("data_compare_repeated_keys")
 def data_compare_repeated_keys(spark, folder):
     source, target = line_pair(spark, folder)
     return data_compare(source, target, LINE_KEY)
 
 
-@registered
+@registered("data_validation")
 def data_validation_orders(spark, folder):
     source, target = order_pair(spark, folder)
     return data_validation(source, target, "k", names=ORDERS)
 
 
-@registered
+@registered("compare_columns")
 def compare_columns_orders(spark, folder):
     source, target = order_pair(spark, folder)
     return compare_columns(source, target, "k")
 
 
-@registered
+@registered("compare_columns_repeated_keys")
 def compare_columns_repeated_keys(spark, folder):
     source, target = line_pair(spark, folder)
     return compare_columns(source, target, LINE_KEY)
 
 
-@registered
+@registered("compare_columns_documents")
 def compare_columns_documents(spark, folder):
     """Whole texts against the copy that carries a label, matched by document."""
     documents = table(spark, folder, "documents")
@@ -352,19 +355,19 @@ def compare_columns_documents(spark, folder):
     return compare_columns(documents, labelled, "doc_id")
 
 
-@registered
+@registered("compare_one_column")
 def compare_one_column_orders(spark, folder):
     source, target = order_pair(spark, folder)
     return compare_one_column(source, target, "k", "status")
 
 
-@registered
+@registered("compare_one_column_repeated_keys")
 def compare_one_column_repeated_keys(spark, folder):
     source, target = line_pair(spark, folder)
     return compare_one_column(source, target, LINE_KEY, "state")
 
 
-@registered
+@registered("compare_substring")
 def compare_substring(spark, folder):
     orders = table(spark, folder, "orders")
     source = orders.select("o_orderkey", "o_orderpriority")
@@ -375,28 +378,30 @@ def compare_substring(spark, folder):
     return compare_columns(source, target, "o_orderkey", options=options)
 
 
-@registered
+@registered("compare_tolerance")
 def compare_tolerance(spark, folder):
     source, target = order_pair(spark, folder)
     options = CompareOptions(columns="price", tolerance={"price": "0.5"})
     return compare_columns(source, target, "k", options=options)
 
 
-@registered
+@registered("compare_tolerance_repeated_keys")
 def compare_tolerance_repeated_keys(spark, folder):
     source, target = line_pair(spark, folder)
     options = CompareOptions(tolerance={"qty": 2})
     return compare_one_column(source, target, LINE_KEY, "qty", options=options)
 
 
-@registered
+@registered("drill_down")
 def drill_down_target(spark, folder):
     source, target = order_pair(spark, folder)
     failing = failing_keys(data_compare(source, target, "k"), "k")
-    return drill_down(target, failing, "k")
+    return drill_down(target, failing, "k").withColumn(
+        "price", F.col("price").cast("string")
+    )
 
 
-@registered
+@registered("sample_failures")
 def sample_failures_orders(spark, folder):
     source, target = order_pair(spark, folder)
     return sample_failures(data_compare(source, target, "k"))
@@ -405,7 +410,7 @@ def sample_failures_orders(spark, folder):
 # -- whole runs ----------------------------------------------------------------------
 
 
-@registered
+@registered("validation_summary")
 def validation_summary(spark, folder):
     source, target = order_pair(spark, folder)
     return validate(
@@ -418,13 +423,13 @@ def validation_summary(spark, folder):
     )
 
 
-@registered
+@registered("bronze_validation")
 def bronze_validation(spark, folder):
     expected = contact_bronze(spark, folder)
-    stored = sql(spark, folder, inputs.STORED_BRONZE, bronze=expected)
+    actual = sql(spark, folder, inputs.STORED_BRONZE, bronze=expected)
     return validate(
         expected,
-        stored,
+        actual,
         keys="Identifier",
         null_columns="Identifier, middle_initial, suffix",
         unique_columns="Identifier, Email",
@@ -432,13 +437,13 @@ def bronze_validation(spark, folder):
     )
 
 
-@registered
+@registered("silver_validation")
 def silver_validation(spark, folder):
-    expected = bronze_to_silver(contact_bronze(spark, folder))
-    stored = sql(spark, folder, inputs.STORED_SILVER, silver=expected)
+    expected = stored(bronze_to_silver(contact_bronze(spark, folder)))
+    actual = sql(spark, folder, inputs.STORED_SILVER, silver=expected)
     return validate(
         expected,
-        stored,
+        actual,
         keys="Identifier, Current_ind",
         null_columns="Identifier, Current_ind",
         unique_columns="Identifier",
@@ -454,17 +459,21 @@ def contact_bronze(spark, folder):
     return raw_to_bronze(raw, mask_email=inputs.MASKED_CHARACTERS)
 
 
-@registered
+def _plain_number(df):
+    return df.withColumn("Identifier", F.col("Identifier").cast("bigint"))
+
+
+@registered("raw_to_bronze")
 def raw_to_bronze_contacts(spark, folder):
-    return contact_bronze(spark, folder)
+    return _plain_number(contact_bronze(spark, folder))
 
 
-@registered
+@registered("bronze_to_silver")
 def bronze_to_silver_contacts(spark, folder):
-    return bronze_to_silver(contact_bronze(spark, folder))
+    return _plain_number(bronze_to_silver(contact_bronze(spark, folder)))
 
 
-@registered
+@registered("flatten_struct")
 def flatten_struct(spark, folder):
     events = table(spark, folder, "events").select(
         "event_id", F.from_json("props", "k int").alias("props")
@@ -472,13 +481,13 @@ def flatten_struct(spark, folder):
     return flatten(events)
 
 
-@registered
+@registered("flatten_array")
 def flatten_array(spark, folder):
     vectors = flatten(table(spark, folder, "embeddings"))
     return vectors.withColumn("embedding", F.col("embedding").cast("double"))
 
 
-@registered
+@registered("flatten_nested")
 def flatten_nested(spark, folder):
     """Every line of every text, out of an array of structs."""
     lines = F.transform(
@@ -489,13 +498,13 @@ def flatten_nested(spark, folder):
     return flatten(documents.select("doc_id", "lang", lines.alias("line")))
 
 
-@registered
+@registered("trim_columns")
 def trim_columns_orders(spark, folder):
     _, target = order_pair(spark, folder)
     return trim_columns(target)
 
 
-@registered
+@registered("sql_projection")
 def sql_projection(spark, folder):
     return spark.sql(
         """select s_suppkey, s_name, s_acctbal * 200 as balance,
@@ -505,7 +514,7 @@ def sql_projection(spark, folder):
     )
 
 
-@registered
+@registered("sql_having")
 def sql_having(spark, folder):
     return spark.sql(
         """select l_orderkey, count(1) as line_count
@@ -514,16 +523,19 @@ def sql_having(spark, folder):
     )
 
 
-@registered
+@registered("sql_null_filter")
 def sql_null_filter(spark, folder):
     source, _ = order_pair(spark, folder)
-    return spark.sql("select k, price from {pair} where status is null", pair=source)
+    return spark.sql(
+        "select k, cast(price as string) as price from {pair} where status is null",
+        pair=source,
+    )
 
 
 # -- streams -------------------------------------------------------------------------
 
 
-@registered
+@registered("stream_batch_checks")
 def stream_batch_checks(spark, folder):
     events = table(spark, folder, "events")
     stream = (
