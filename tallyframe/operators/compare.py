@@ -21,11 +21,14 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from decimal import Decimal
 from functools import cached_property
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions.columns import (
+    balanced,
     column_of,
     find_field,
     is_native,
@@ -136,7 +139,8 @@ class Comparison:
 
         key_forms = [shared_form(source, target, key) for key in self.keys]
         forms = [self._value_form(source, target, name) for name in self.columns]
-        self._keys_as_given = all(is_native(source, target, k) for k in self.keys)
+        self._native_keys = [is_native(source, target, key) for key in self.keys]
+        self._given = (source, target)
 
         def side(df: DataFrame, position: int) -> DataFrame:
             return df.select(
@@ -491,10 +495,36 @@ class Comparison:
         figures = self._figures().selectExpr("*", f"{_as_count(unequal)} as unequal")
         return spread(figures, key_rows(checks, self.keys, names))
 
-    @property
+    @cached_property
     def answers_key_checks(self) -> bool:
-        """Whether the keys met in the form in which they were given."""
-        return self._keys_as_given
+        """Whether the keys as given tell rows apart just as they were met here.
+
+        Text keys do when none has blanks around it, which one scan of the key
+        columns finds out.
+        """
+        padded = []
+        for key, native in zip(self.keys, self._native_keys):
+            pair = [find_field(df, key) for df in self._given]
+            if native:
+                continue
+            if not any(isinstance(f.dataType, T.StringType) for f in pair):
+                return False
+            padded.append([ref(f.name).cast("string") for f in pair])
+        if not padded:
+            return True
+        sides = [
+            df.select(
+                balanced(
+                    or_,
+                    [
+                        F.coalesce(pair[i] != F.trim(pair[i]), F.lit(False))
+                        for pair in padded
+                    ],
+                ).alias("padded")
+            )
+            for i, df in enumerate(self._given)
+        ]
+        return not sides[0].unionByName(sides[1]).agg(F.max("padded")).first()[0]
 
     # -- the differing cells ------------------------------------------------
 

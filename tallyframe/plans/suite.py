@@ -80,7 +80,7 @@ def validate(
     parts = []
     if DATA in asked:
         comparison = Comparison(source, target, keys, options)
-        shared = on_keys if comparison.answers_key_checks else []
+        shared = on_keys if on_keys and comparison.answers_key_checks else []
         parts.append(comparison.validation(names, count_qa, [*shared, DATA]))
         on_keys = [check for check in on_keys if check not in shared]
     if on_keys:

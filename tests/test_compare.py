@@ -16,6 +16,7 @@ from tallyframe.operators import (
     data_validation,
     drill_down,
     failing_keys,
+    key_checks,
     sample_failures,
 )
 from tests.helpers import every_pair, figures, results, rows, unequal_pairs
@@ -235,6 +236,19 @@ def test_one_join_for_all_columns(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_bucketed_tables_meet_without_a_shuffle(spark, never_broadcast, tmp_path):
+    for name in ("bucketed_a", "bucketed_b"):
+        spark.range(100).selectExpr("id as k", "id * 2 as a").write.bucketBy(
+            4, "k"
+        ).option("path", f"{tmp_path}/{name}").mode("overwrite").saveAsTable(name)
+    left, right = spark.table("bucketed_a"), spark.table("bucketed_b")
+    for checked in (compare_columns(left, right, "k"), key_checks(left, right, "k")):
+        plan = checked._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+    spark.sql("drop table bucketed_a")
+    spark.sql("drop table bucketed_b")
+
+
 def test_pairs_of_a_hot_key_pass_what_a_long_holds(spark):
     """Four billion rows a side, held as the counts that rows come down to."""
     left = spark.createDataFrame([("h", "x"), ("h", "x")], "k string, a string")

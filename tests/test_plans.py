@@ -109,30 +109,45 @@ def test_same_data_passes_everything(spark):
     assert {v[3] for v in checked.values()} == {"pass"} and len(checked) == 7
 
 
-def test_key_checks_come_with_the_comparison(spark):
+KEY_CHECKS = (
+    "count_validation",
+    "duplicate",
+    "records_present_only_in_target",
+    "records_present_only_in_source",
+)
+
+
+@pytest.mark.parametrize(
+    "key, shared",
+    [
+        ("k int", True),
+        ("k string", True),
+        ("k double", False),
+        ("concat(' ', k) string", False),
+    ],
+)
+def test_key_checks_come_with_the_comparison(spark, key, shared):
     """The same result rows with and without sharing the pass over the keys."""
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, "c")], "k int, a string")
-    right = spark.createDataFrame([(1, "a"), (1, "x"), (3, "d"), (None, "c")], "k int, a string")
-    assert Comparison(left, right, "k").answers_key_checks
-    together = results(
-        validate(
-            left,
-            right,
-            keys="k",
-            checks=[c for c in ALL_CHECKS if c not in ("Uniquess_check", "Null_value_check")],
-        )
-    )
+    form, kind = key.rsplit(" ", 1)
+    schema = "k int, a string"
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, "c")], schema)
+    right = spark.createDataFrame([(1, "a"), (1, "x"), (3, "d"), (None, "c")], schema)
+    left = left.selectExpr(f"cast({form} as {kind}) as k", "a")
+    right = right.selectExpr(f"cast(k as {kind}) as k", "a")
+    assert Comparison(left, right, "k").answers_key_checks == shared
+    together = results(validate(left, right, keys="k", checks=[*KEY_CHECKS, "data_compare"]))
     alone = {}
-    for name in (
-        "count_validation",
-        "duplicate",
-        "records_present_only_in_target",
-        "records_present_only_in_source",
-    ):
+    for name in KEY_CHECKS:
         alone |= results(validate(left, right, keys="k", checks=[name]))
     assert {k: v for k, v in together.items() if k[0] != 7} == alone
 
 
+def test_empty_text_keys_share_too(spark):
+    empty = spark.createDataFrame([], "k string, a string")
+    checked = results(validate(empty, empty, keys="k", checks=[*KEY_CHECKS, "data_compare"]))
+    assert {v[3] for v in checked.values()} == {"pass"} and len(checked) == 5
+
+
 def test_published_headings(contact_pair):
     source, target = contact_pair
     checked = validate(source, target, keys="Identifier", checks=["count_validation"])
