@@ -569,6 +569,21 @@ class Comparison:
             "kind",
         )
 
+    def _with_parts(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Adds in how many parts the rows of a key are handled, by their number."""
+        hot_from = self._repeated.hot_from
+        hot = (
+            self._repeated.rows.filter(f"m + n >= {hot_from}")
+            .groupBy(*[F.col(slot).alias(f"h_{slot}") for slot in self._key_slots])
+            .agg(F.expr(f"cast(ceil(max(m + n) / {hot_from}) as int) as held_parts"))
+        )
+        same_key = [f"{k} <=> h_{s}" for k, s in zip(keys, self._key_slots)]
+        return df.join(
+            F.broadcast(hot), F.expr(" and ".join(same_key)), "left"
+        ).selectExpr(
+            *[f"`{name}`" for name in df.columns], "coalesce(held_parts, 1) as parts"
+        )
+
     def _repeated_differences(self) -> DataFrame:
         group = [*self._key_slots, "lone", "c"]
         counted = self._value_counts()
@@ -580,10 +595,18 @@ class Comparison:
             F.expr("max(if(s > 0, v, null)) as s_value"),
             F.expr("max(if(t > 0, v, null)) as t_value"),
         )
-        met = counted.join(
-            stats.withColumnsRenamed({name: f"g_{name}" for name in group}),
-            F.expr(" and ".join(f"{name} <=> g_{name}" for name in group)),
-        )
+        stats = stats.withColumnsRenamed({name: f"g_{name}" for name in group})
+        same_group = [f"{name} <=> g_{name}" for name in group]
+        if self._repeated.largest >= self._repeated.hot_from:
+            # The values of a hot key meet their figures in several tasks.
+            counted = self._with_parts(counted, self._key_slots).selectExpr(
+                "*", "pmod(xxhash64(v), parts) as part"
+            )
+            stats = self._with_parts(
+                stats, [f"g_{slot}" for slot in self._key_slots]
+            ).selectExpr("*", "explode(sequence(0, parts - 1)) as g_part").drop("parts")
+            same_group.append("part = g_part")
+        met = counted.join(stats, F.expr(" and ".join(same_group)))
 
         def cell(kind: str, left: str, right: str, pairs: str) -> str:
             return (

@@ -124,7 +124,9 @@ def test_repeated_keys_that_must_be_shuffled(spark, never_broadcast):
     check_differences(spark, source, target)
 
 
-def test_hot_keys_beside_keys_that_must_be_shuffled(spark, never_broadcast, monkeypatch):
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_hot_keys_beside_other_repeated_keys(spark, never_broadcast, monkeypatch, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     monkeypatch.setattr(compare, "_HOT_ROWS", 8)
     monkeypatch.setattr(compare, "_MOST_HOT_KEYS", 50)
     rng = random.Random(3)
