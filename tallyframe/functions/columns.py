@@ -42,6 +42,13 @@ def ref(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def sql_text(value: str | None) -> str:
+    """A string as SQL literal."""
+    if value is None:
+        return "cast(null as string)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def find_field(df: DataFrame, name: str) -> T.StructField:
     """The field called ``name``, by exact name first and then ignoring case."""
     for field in df.schema.fields:

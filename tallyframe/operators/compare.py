@@ -37,10 +37,11 @@ from tallyframe.functions.columns import (
     same_name,
     shared_form,
     split_columns,
+    sql_text,
     trimmed_text,
 )
 from tallyframe.operators.keys import key_rows, tally
-from tallyframe.results import DATA, Check, Names, spread
+from tallyframe.results import DATA, Check, Names, inline_rows, spread
 from tallyframe.sources.scratch import ready_for_checkpoints
 
 Normalizer = Callable[[Column], Column]
@@ -78,11 +79,6 @@ def _by_name(mapping: Mapping, name: str):
     return None
 
 
-def _text(value: str) -> str:
-    """A string as SQL literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _as_count(total: str) -> str:
     """A total as long. Pairs of a hot key can pass what a long holds."""
     exact = _exact(total)
@@ -98,10 +94,6 @@ def _exact(total: str) -> str:
     return f"cast({total} as decimal(38,0))"
 
 
-def _inline(structs: Sequence[str]) -> str:
-    return f"inline(array({', '.join(structs)}))"
-
-
 @dataclass(frozen=True)
 class _RepeatedKeys:
     """Stored keys with their rows ``m`` and ``n`` per side, and their measures."""
@@ -281,7 +273,7 @@ class Comparison:
                 f"if({incomplete}, '{rows}', null) as lone",
                 f"{int(rows == 'm')} as s",
                 f"{int(rows == 'n')} as t",
-                _inline(cells),
+                inline_rows(cells),
             )
 
         counted = (
@@ -336,7 +328,7 @@ class Comparison:
             "v",
             "s",
             "t",
-            _inline(
+            inline_rows(
                 [
                     look("own", "g", "x", 1),
                     look("before", "g - w", "x - d", 0),
@@ -441,14 +433,14 @@ class Comparison:
         self._require_columns()
         total = "source_records" if count_qa is None else f"{count_qa}BD"
         cells = [
-            f"struct({_text(name)} as column, {_exact(total)} as total, "
+            f"struct({sql_text(name)} as column, {_exact(total)} as total, "
             f"{_exact(f'equal_{i}')} as equal, "
             f"{_exact(f'{total} - equal_{i}')} as unequal)"
             for i, name in enumerate(self.columns)
         ]
         return (
             self._figures()
-            .selectExpr(_inline(cells))
+            .selectExpr(inline_rows(cells))
             .selectExpr(
                 "column",
                 f"{_as_count('total')} as total",
@@ -463,13 +455,13 @@ class Comparison:
         """Per column the equal, the unequal and all kept pairs."""
         self._require_columns()
         cells = [
-            f"struct({_text(name)} as column, "
+            f"struct({sql_text(name)} as column, "
             f"{_as_count(f'equal_{i}')} as match_count, "
             f"{_as_count(f'kept_{i} - equal_{i}')} as mismatch_count, "
             f"{_as_count(f'kept_{i}')} as total)"
             for i, name in enumerate(self.columns)
         ]
-        return self._figures().selectExpr(_inline(cells))
+        return self._figures().selectExpr(inline_rows(cells))
 
     def validation(
         self,
@@ -552,14 +544,14 @@ class Comparison:
                 *self._key_slots,
                 "case when n is null then 'only_in_source'"
                 " when m is null then 'only_in_target' else 'pair' end as kind",
-                _inline(cells),
+                inline_rows(cells),
             )
             .filter("not equal")
             .selectExpr(*self._key_slots, "bigint(1) as pairs", *_CELL)
         )
         if self._repeated is not None:
             found = found.unionByName(self._repeated_differences())
-        names = ", ".join(_text(name) for name in self.columns)
+        names = ", ".join(sql_text(name) for name in self.columns)
         return found.select(
             *[F.col(s).alias(key) for s, key in zip(self._key_slots, self.keys)],
             F.expr(f"get(array({names}), c) as column"),

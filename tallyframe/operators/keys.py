@@ -119,38 +119,33 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 
 def count_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row with both row counts. Reads no columns at all."""
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(
-            *[
-                (F.col("rows") if name == side else F.lit(0).cast("long")).alias(name)
-                for name in ("source_records", "target_records")
-            ]
-        )
-        for df, side in ((source, "source_records"), (target, "target_records"))
-    ]
     return (
-        counted[0]
-        .unionByName(counted[1])
-        .agg(*[F.sum(name).alias(name) for name in ("source_records", "target_records")])
+        source.selectExpr("count(1) as source_records", "bigint(0) as target_records")
+        .unionByName(
+            target.selectExpr("bigint(0) as source_records", "count(1) as target_records")
+        )
+        .selectExpr(
+            "sum(source_records) as source_records",
+            "sum(target_records) as target_records",
+        )
     )
 
 
-def key_rows(checks: Sequence[Check], keys: Sequence[str], names: Names) -> list[Column]:
+def key_rows(checks: Sequence[Check], keys: Sequence[str], names: Names) -> list[str]:
     """Result rows out of one row of figures with the names used below."""
-    source_records, target_records = F.col("source_records"), F.col("target_records")
-    both = {"source_records": source_records, "target_records": target_records}
+    target = {"target_records": "target_records"}
+    both = {"source_records": "source_records", **target}
     figures = {
-        COUNT: (F.abs(source_records - target_records), both),
-        DUPLICATE: (F.col("repeated"), {"target_records": target_records}),
-        ONLY_IN_TARGET: (F.col("target_only"), both),
-        ONLY_IN_SOURCE: (F.col("source_only"), both),
-        DATA: (F.col("unequal"), both),
+        COUNT: ("abs(source_records - target_records)", both),
+        DUPLICATE: ("repeated", target),
+        ONLY_IN_TARGET: ("target_only", both),
+        ONLY_IN_SOURCE: ("source_only", both),
+        DATA: ("unequal", both),
     }
-    rows = []
-    for check in checks:
-        failed, records = figures[check]
-        rows.append(result_row(check, names, failed, ",".join(keys), **records))
-    return rows
+    return [
+        result_row(check, names, figures[check][0], ",".join(keys), **figures[check][1])
+        for check in checks
+    ]
 
 
 def key_checks(
@@ -167,20 +162,19 @@ def key_checks(
     elif set(checks) == {DUPLICATE}:
         figures = (
             target.groupBy(*[column_of(target, key) for key in keys])
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .agg(
-                F.coalesce(F.sum("rows"), F.lit(0)).alias("target_records"),
-                F.count_if(F.col("rows") > 1).alias("repeated"),
+            .agg(F.expr("count(1) as rows"))
+            .selectExpr(
+                "coalesce(sum(rows), 0) as target_records",
+                "count_if(rows > 1) as repeated",
             )
         )
     else:
-        rows_here, rows_there = F.col(_SOURCE_ROWS), F.col(_TARGET_ROWS)
-        figures = _tally_of(source, target, keys).agg(
-            F.coalesce(F.sum(rows_here), F.lit(0)).alias("source_records"),
-            F.coalesce(F.sum(rows_there), F.lit(0)).alias("target_records"),
-            F.count_if(rows_there > 1).alias("repeated"),
-            F.count_if(rows_here == 0).alias("target_only"),
-            F.count_if(rows_there == 0).alias("source_only"),
+        figures = _tally_of(source, target, keys).selectExpr(
+            f"coalesce(sum({_SOURCE_ROWS}), 0) as source_records",
+            f"coalesce(sum({_TARGET_ROWS}), 0) as target_records",
+            f"count_if({_TARGET_ROWS} > 1) as repeated",
+            f"count_if({_SOURCE_ROWS} = 0) as target_only",
+            f"count_if({_TARGET_ROWS} = 0) as source_only",
         )
     return spread(figures, key_rows(checks, keys, names))
 

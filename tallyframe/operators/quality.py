@@ -29,13 +29,7 @@ def null_value_check(df: DataFrame, columns, names: Names = Names()) -> DataFram
     return spread(
         counted,
         [
-            result_row(
-                NULLS,
-                names,
-                F.col(f"missing_{i}"),
-                name,
-                target_records=F.col("records"),
-            )
+            result_row(NULLS, names, f"missing_{i}", name, target_records="records")
             for i, name in enumerate(columns)
         ],
     )
@@ -69,17 +63,14 @@ def uniqueness_check(df: DataFrame, columns, names: Names = Names()) -> DataFram
     parts = []
     for start in range(0, len(columns), _COLUMNS_PER_SCAN):
         chunk = columns[start : start + _COLUMNS_PER_SCAN]
-        rows, which = F.col("rows"), F.col("which")
         numbers = [_grouping_number(i, len(chunk)) for i in range(len(chunk))]
-        totals = _value_counts(df, chunk).agg(
+        totals = _value_counts(df, chunk).selectExpr(
             *[
-                F.coalesce(F.sum(F.when(which == number, rows)), F.lit(0)).alias(
-                    f"records_{i}"
-                )
+                f"coalesce(sum(if(which = {number}, rows, null)), 0) as records_{i}"
                 for i, number in enumerate(numbers)
             ],
             *[
-                F.count_if((which == number) & (rows > 1)).alias(f"repeated_{i}")
+                f"count_if(which = {number} and rows > 1) as repeated_{i}"
                 for i, number in enumerate(numbers)
             ],
         )
@@ -90,9 +81,9 @@ def uniqueness_check(df: DataFrame, columns, names: Names = Names()) -> DataFram
                     result_row(
                         UNIQUE,
                         names,
-                        F.col(f"repeated_{i}"),
+                        f"repeated_{i}",
                         name,
-                        target_records=F.col(f"records_{i}"),
+                        target_records=f"records_{i}",
                     )
                     for i, name in enumerate(chunk)
                 ],

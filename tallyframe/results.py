@@ -6,9 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.functions.columns import sql_text
 from tallyframe.schema import PUBLISHED_HEADINGS, RESULT_SCHEMA
 
 
@@ -39,36 +40,39 @@ class Names:
 def result_row(
     check: Check,
     names: Names,
-    failed: Column,
+    failed: str,
     column: str,
     *,
-    source_records: Column | None = None,
-    target_records: Column | None = None,
-) -> Column:
-    """One result row as a struct; a side without a count does not apply."""
-    nothing = F.lit(None)
+    source_records: str | None = None,
+    target_records: str | None = None,
+) -> str:
+    """One result row as a SQL struct; a side without a count does not apply."""
     values = {
-        "tc_id": F.lit(check.tc_id),
-        "test_case_name": F.lit(check.name),
-        "source_name": F.lit(names.source) if source_records is not None else nothing,
-        "target_name": F.lit(names.target) if target_records is not None else nothing,
-        "source_records": nothing if source_records is None else source_records,
-        "target_records": nothing if target_records is None else target_records,
+        "tc_id": str(check.tc_id),
+        "test_case_name": sql_text(check.name),
+        "source_name": sql_text(names.source if source_records else None),
+        "target_name": sql_text(names.target if target_records else None),
+        "source_records": source_records or "null",
+        "target_records": target_records or "null",
         "failed_records": failed,
-        "column": F.lit(column),
-        "status": F.when(failed > 0, "fail").otherwise("pass"),
+        "column": sql_text(column),
+        "status": f"if({failed} > 0, 'fail', 'pass')",
     }
-    return F.struct(
-        *[
-            values[field.name].cast(field.dataType).alias(field.name)
-            for field in RESULT_SCHEMA.fields
-        ]
-    )
+    cells = [
+        f"cast({values[field.name]} as {field.dataType.simpleString()}) as {field.name}"
+        for field in RESULT_SCHEMA.fields
+    ]
+    return f"struct({', '.join(cells)})"
+
+
+def inline_rows(structs: Sequence[str]) -> str:
+    """SQL that turns structs into rows."""
+    return f"inline(array({', '.join(structs)}))"
 
 
-def spread(aggregate: DataFrame, rows: Sequence[Column]) -> DataFrame:
+def spread(aggregate: DataFrame, rows: Sequence[str]) -> DataFrame:
     """Turn a one-row aggregate into one row per struct."""
-    return aggregate.select(F.inline(F.array(*rows)))
+    return aggregate.selectExpr(inline_rows(rows))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -2,6 +2,7 @@ import pytest
 
 from tallyframe.functions import split_columns
 from tallyframe.operators import (
+    compare_columns,
     count_validation,
     duplicate_keys,
     duplicate_validation,
@@ -151,3 +152,11 @@ def test_column_lists_are_stripped():
     assert split_columns(None) == []
     with pytest.raises(ValueError, match="no key column"):
         key_checks(None, None, " ")
+
+
+def test_names_with_quotes(spark):
+    df = spark.createDataFrame([(1, "x")], "`it's \\\\ a key` int, `a'b` string")
+    key = df.columns[0]
+    checked = count_validation(df, df, key, Names("c:\\x's", "t")).first()
+    assert (checked["column"], checked["source_name"]) == (key, "c:\\x's")
+    assert rows(compare_columns(df, df, key)) == [("a'b", 1, 1, 0, 0.0)]
