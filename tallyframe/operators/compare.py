@@ -100,8 +100,12 @@ class _RepeatedKeys:
 
     rows: DataFrame
     size: int
-    rows_held: int
     largest: int
+    figures: Mapping[str, int]
+
+    @property
+    def rows_held(self) -> int:
+        return self.figures["source_records"] + self.figures["target_records"]
 
     @property
     def hot_from(self) -> int:
@@ -194,10 +198,21 @@ class Comparison:
             .checkpoint()
         )
         key_bytes = [f"coalesce(octet_length(cast({s} as string)), 0)" for s in self._key_slots]
-        size = repeated.selectExpr(
-            f"sum({' + '.join([str(_KEY_OVERHEAD), *key_bytes])})", "sum(m + n)", "max(m + n)"
+        measured = repeated.selectExpr(
+            f"sum({' + '.join([str(_KEY_OVERHEAD), *key_bytes])}) as bytes",
+            "max(m + n) as largest",
+            "sum(m) as source_records",
+            "sum(n) as target_records",
+            "count_if(n = 0) as source_only",
+            "count_if(m = 0) as target_only",
+            "count_if(n > 1) as repeated",
         ).first()
-        return None if size[0] is None else _RepeatedKeys(repeated, *size)
+        if measured["bytes"] is None:
+            return None
+        figures = measured.asDict()
+        return _RepeatedKeys(
+            repeated, figures.pop("bytes"), figures.pop("largest"), figures
+        )
 
     def _repeated_on(self, rows: str) -> DataFrame:
         return self._repeated.rows.filter(f"{rows} > 0").selectExpr(
@@ -384,14 +399,8 @@ class Comparison:
         )
         if self._repeated is None:
             return singles
-        on_keys = self._repeated.rows.selectExpr(
-            "sum(m) as source_records",
-            "sum(n) as target_records",
-            "count_if(n = 0) as source_only",
-            "count_if(m = 0) as target_only",
-            "count_if(n > 1) as repeated",
-        )
-        together = singles.unionByName(on_keys, allowMissingColumns=True)
+        on_keys = self._repeated.figures
+        together = singles
         if self._slots:
             by_column = self._repeated_figures().selectExpr(
                 *[
@@ -400,8 +409,10 @@ class Comparison:
                     for what in ("kept", "equal")
                 ]
             )
-            together = together.unionByName(by_column, allowMissingColumns=True)
-        return together.selectExpr(*[f"sum({n}) as {n}" for n in singles.columns])
+            together = singles.unionByName(by_column, allowMissingColumns=True)
+        return together.selectExpr(
+            *[f"sum({n}) + {on_keys.get(n, 0)} as {n}" for n in singles.columns]
+        )
 
     def _repeated_figures(self) -> DataFrame:
         """Kept and equal pairs per column, out of the values of repeated keys."""
