@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, simhash
+from tallyframe.llm import bpe, line_dedup, simhash
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -37,6 +37,38 @@ def vocabulary() -> tuple[list[bytes], str]:
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
 
 
+@registered
+def op2_line_dedup(spark, folder):
+    """Documents without lines that three or more share, as digests."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.drop_shared_lines(docs, documents=3, shortest=20).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+_SQL["op2_line_dedup"] = """
+with split as (
+  select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
+), lines as (
+  select doc_id, unnest(parts) as line, unnest(range(len(parts))) as number from split
+), keyed as (
+  select *, translate(
+    trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines
+), shared as (
+  select key, max(doc_id) as last from keyed where length(key) >= 20
+  group by key having count(distinct doc_id) >= 3
+), marked as (
+  select k.doc_id, k.line, k.number, s.key is not null and k.doc_id <> s.last as gone
+  from keyed k left join shared s on k.key = s.key
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by number) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+
 @registered
 def op4_byte_bpe(spark, folder):
     """Ids of each document and the text they decode to, as digests."""
