@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, line_dedup, simhash
+from tallyframe.llm import bpe, line_dedup, sharding, simhash, winnowing
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -80,6 +80,18 @@ def op4_byte_bpe(spark, folder):
     )
 
 
+@registered
+def op6_sharding(spark, folder):
+    """24 shards of near equal bytes that keep equal texts together."""
+    return sharding.shard(table(spark, folder, "documents"), shards=24)
+
+
+@registered
+def op9_winnowing(spark, folder):
+    """Fingerprints of documents, of their edited texts, and how like they are."""
+    return winnowing.against_next(table(spark, folder, "documents"))
+
+
 @registered
 def op10_simhash(spark, folder):
     """SimHash fingerprints of 3-word shingles, linked at two bits."""
