@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, line_dedup, sharding, simhash, winnowing
+from tallyframe.llm import bpe, line_dedup, mixing, quality, sharding, simhash, topk, winnowing
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -69,6 +69,17 @@ from marked group by doc_id
 """
 
 
+@registered
+def op3_quality(spark, folder):
+    """Quality of each document by a field over its lines, fitted on four folds of five."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(~quality.in_fold(F.col("doc_id")))
+    return quality.score(docs, quality.fit_on(docs, labels)).select(
+        "doc_id", quality.in_fold(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @registered
 def op4_byte_bpe(spark, folder):
     """Ids of each document and the text they decode to, as digests."""
@@ -80,12 +91,117 @@ def op4_byte_bpe(spark, folder):
     )
 
 
+#: The tree of sources, and the weight of each node among its siblings, as SQL that
+#: both engines read. The first level is a rule on the source's name.
+LEVELS = {
+    "domain": "case when source = 'src0' then 'web' when length(source) = 4 then 'books' else 'code' end",
+    "language": "lang",
+    "origin": "source",
+}
+WEIGHTS = (
+    "case domain when 'web' then 4 else 3 end",
+    "case language when 'en' then 6 when 'de' then 3 else 2 end",
+    "case when length(origin) = 4 then 2 else 1 end",
+)
+
+
+def mixture(docs: DataFrame, named: bool = False) -> DataFrame:
+    """The mixture of the documents' sources in as many words as there are, at most twice."""
+    return mixing.mix(
+        docs, {name: F.expr(rule) for name, rule in LEVELS.items()}, [F.expr(w) for w in WEIGHTS],
+        mixing.word_tokens(F.col("text")), epochs=2, seed=17, named=named,
+    )
+
+
+@registered
+def op5_mixing(spark, folder):
+    """Which documents each epoch of the mixture takes, and their source's budget."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return mixture(docs, named=True).select("doc_id", "lang", "source", "epoch", "leaf_budget")
+
+
+def _mixing_sql() -> str:
+    levels = ", ".join(f"{rule} as {name}" for name, rule in LEVELS.items())
+    names = list(LEVELS)
+    steps = [
+        f"""docs as (
+  select doc_id, {levels},
+    greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1) as size
+  from documents
+), level0 as (
+  select {", ".join(names)}, sum(size) * 2 as room,
+    {", ".join(f"{w} as w{i + 1}" for i, w in enumerate(WEIGHTS))},
+    cast((select sum(size) from docs) as double) as budget
+  from docs group by {", ".join(names)}
+)"""
+    ]
+    for i in range(1, len(names) + 1):
+        path, above = ", ".join(names[:i]), ", ".join(names[: i - 1])
+        within = f"partition by {above}" if above else ""
+        same = " and ".join(f"g.{n} is not distinct from s.{n}" for n in names[:i])
+        steps.append(f"""nodes{i} as (
+  select {path}, cast(sum(room) as double) as room, cast(max(w{i}) as double) as weight, max(budget) as parent
+  from level{i - 1} group by {path}
+), filled{i} as (
+  select *, greatest(parent - coalesce(sum(room) over (f rows between unbounded preceding and 1 preceding), 0), 0) as lft,
+    sum(weight) over (f rows between current row and unbounded following) as rest
+  from nodes{i} window f as ({within} order by room / weight, {path})
+), shares{i} as (
+  select {path}, room, weight, min(case when lft * weight < room * rest then lft / rest end) over ({within}) as shortage,
+    max(case when lft * weight < room * rest then rest end) over ({within}) as open_rest,
+    max(case when lft * weight < room * rest then lft end) over ({within}) as open_left,
+    lft * weight >= room * rest as fills
+  from filled{i}
+), level{i} as (
+  select g.* replace (case when s.fills then s.room else floor(s.open_left * s.weight / s.open_rest) end as budget)
+  from level{i - 1} g join shares{i} s on {same}
+)""")
+    return "with " + ", ".join(steps) + f""", placed as (
+  select docs.*, epoch, sum(size) over (
+      partition by {", ".join(names)} order by epoch, md5('17:' || epoch || ':' || doc_id)) - size as before
+  from docs, range(2) as r(epoch)
+)
+select doc_id, p.language as lang, p.origin as source, cast(epoch as int) as epoch, cast(budget as bigint) as leaf_budget
+from placed p join level{len(names)} l
+  on {" and ".join(f"p.{n} is not distinct from l.{n}" for n in names)}
+where before < budget
+"""
+
+
+_SQL["op5_mixing"] = _mixing_sql()
+
+
 @registered
 def op6_sharding(spark, folder):
     """24 shards of near equal bytes that keep equal texts together."""
     return sharding.shard(table(spark, folder, "documents"), shards=24)
 
 
+@registered
+def op7_top_k(spark, folder):
+    """The 20 best inner products of every twentieth vector with all others."""
+    return topk.top_k(table(spark, folder, "embeddings"), k=20, scale=64, every=20)
+
+
+_SQL["op7_top_k"] = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as x
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), scored as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) as bigint) as score
+  from whole q join whole c on q.vec_id <> c.vec_id
+  where q.vec_id % 20 = 0
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank
+  from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+
 @registered
 def op9_winnowing(spark, folder):
     """Fingerprints of documents, of their edited texts, and how like they are."""
