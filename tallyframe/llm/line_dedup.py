@@ -170,7 +170,8 @@ def drop_shared_lines(
     )
     suspects = store(suspects, "suspect-lines")
     shared_keys = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
-    shared_keys = shared_keys.where(F.col("n") >= documents).select("key", "last")
+    # Stored, so that both sides of the join are shuffled plainly and a hot key is split.
+    shared_keys = store(shared_keys.where(F.col("n") >= documents).select("key", "last"), "shared-lines")
     gone = suspects.join(shared_keys, "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))
     gone = gone.groupBy("row", "doc_id").agg(F.flatten(F.collect_list("lines")).alias("lines"))
 

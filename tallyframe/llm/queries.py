@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, line_dedup, mixing, quality, sharding, simhash, topk, winnowing
+from tallyframe.llm import bpe, line_dedup, lm, mixing, quality, sharding, simhash, topk, winnowing
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -37,6 +37,12 @@ def vocabulary() -> tuple[list[bytes], str]:
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
 
 
+@registered
+def op1_max_entropy(spark, folder):
+    """Log probabilities of documents, learnt from six folds of seven."""
+    return lm.score(table(spark, folder, "documents"))
+
+
 @registered
 def op2_line_dedup(spark, folder):
     """Documents without lines that three or more share, as digests."""

@@ -75,6 +75,14 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def range_buckets(df: DataFrame, place: str, wanted: int) -> Column:
+    """The number of a row's range of ``place``, a long, among about ``wanted`` like ones."""
+    shares = [i / wanted for i in range(1, wanted)]
+    cuts = df.agg(F.percentile_approx(place, shares, 20 * wanted)).first()[0] if shares else None
+    cuts = F.lit(sorted(set(cuts or []))).cast("array<bigint>")
+    return F.size(F.filter(cuts, lambda c: c <= F.col(place)))
+
+
 def binary_parts(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a binary array without nulls, and its offsets, both as views."""
     if pa.types.is_large_binary(array.type):

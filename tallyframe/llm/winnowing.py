@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.rows import column_of, texts, with_results
+from tallyframe.llm.rows import column_of, range_buckets, texts, with_results
 
 K = 16
 WINDOW = 16
@@ -127,10 +127,7 @@ def in_order(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame
     )
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     wanted = min(_MOST_BUCKETS, max(3 * spark.sparkContext.defaultParallelism, size // _BUCKET_BYTES))
-    shares = [i / wanted for i in range(1, wanted)]
-    cuts = given.agg(F.percentile_approx("place", shares, 20 * wanted)).first()[0] if shares else None
-    cuts = F.lit(sorted(set(cuts or []))).cast("array<bigint>")
-    bucket = F.size(F.filter(cuts, lambda c: c <= F.col("place")))
+    bucket = range_buckets(given, "place", wanted)
     given = given.withColumn("bucket", bucket)
     rows = given.groupBy("bucket").agg(F.min("place").alias("first")).orderBy("bucket").collect()
     before = {row["bucket"]: rows[i - 1]["bucket"] for i, row in enumerate(rows)}
