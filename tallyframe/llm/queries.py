@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, line_dedup, lm, mixing, quality, sharding, simhash, topk, winnowing
+from tallyframe.llm import bpe, line_dedup, lm, mixing, quality, sharding, simhash, suffix_dedup, topk, winnowing
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -208,6 +208,14 @@ select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 
 
+@registered
+def op8_suffix_dedup(spark, folder):
+    """Documents without bytes that 50-byte strings of earlier ones cover, as digests."""
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=50).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @registered
 def op9_winnowing(spark, folder):
     """Fingerprints of documents, of their edited texts, and how like they are."""

@@ -78,9 +78,14 @@ def store(df: DataFrame, label: str) -> DataFrame:
 def range_buckets(df: DataFrame, place: str, wanted: int) -> Column:
     """The number of a row's range of ``place``, a long, among about ``wanted`` like ones."""
     shares = [i / wanted for i in range(1, wanted)]
-    cuts = df.agg(F.percentile_approx(place, shares, 20 * wanted)).first()[0] if shares else None
-    cuts = F.lit(sorted(set(cuts or []))).cast("array<bigint>")
-    return F.size(F.filter(cuts, lambda c: c <= F.col(place)))
+    cuts = sorted(set(df.agg(F.percentile_approx(place, shares, 20 * wanted)).first()[0] or [])) if shares else []
+    if len(cuts) <= 256:
+        return F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c <= F.col(place)))
+    # First among every so many cuts, then among those between two of them.
+    step = int(len(cuts) ** 0.5)
+    coarse = F.size(F.filter(F.lit(cuts[step - 1 :: step]).cast("array<bigint>"), lambda c: c <= F.col(place))) * step
+    fine = F.slice(F.lit(cuts).cast("array<bigint>"), coarse + 1, F.lit(step))
+    return coarse + F.size(F.filter(fine, lambda c: c <= F.col(place)))
 
 
 def binary_parts(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
