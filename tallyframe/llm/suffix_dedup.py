@@ -37,8 +37,9 @@ _GRAM = 20
 _SHALLOW = 16
 _PIECE = 1 << 18
 _BLOCK_BYTES = 32 << 20
+_RANGE_BYTES = 8 << 20
 _MOST_BLOCKS = 1 << 16
-_ENTRIES = 1 << 20
+_ENTRIES = 1 << 19
 #: Runs sorted together, and different runs of one anchor up to which it is one group.
 _TOGETHER = 6000
 HOT_RUNS = 20_000
@@ -251,13 +252,14 @@ def judge(entries: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
-            for part, block, keys, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row in range(batch.num_rows):
+                part, block, keys, hashes = (c[row].as_py() for c in batch.columns)
                 if part != now:
                     if held:
                         yield answers(now, held)
                     now, held = part, []
                 unpacked = _unpack(keys, hashes)
-                held.append((np.full(len(unpacked[0]), block), *unpacked))
+                held.append((np.full(len(unpacked[0]), block, np.int32), unpacked[0].astype(np.uint32), unpacked[1]))
         if held:
             yield answers(now, held)
 
@@ -610,7 +612,7 @@ def remove_repeats(df: DataFrame, length: int = 50, text: str = "text", id: str
     given = given.withColumn(
         "block", range_buckets(given, "place", int(min(_MOST_BLOCKS, max(wanted, spark.sparkContext.defaultParallelism)))).cast("long")
     )
-    shift = 32 - max(0, int(wanted - 1).bit_length())
+    shift = 32 - int(size // _RANGE_BYTES).bit_length()
     codes = store(judge(anchor_entries(given, length, shift)), "anchors")
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
