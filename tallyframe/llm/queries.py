@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import bpe, line_dedup, lm, mixing, quality, sharding, simhash, suffix_dedup, topk, winnowing
+from tallyframe.llm.rows import small_batches
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -27,7 +28,7 @@ def llm_oracles() -> dict[str, str]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def vocabulary() -> tuple[list[bytes], str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +68,21 @@ def with_results(
     return given.mapInArrow(run, schema)
 
 
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of 8 MB unless it names a size of its own.
+
+    Spark's default of 64 MB costs each task several times that beside the heap when
+    rows are texts. Queries call this; operators leave the session as it is.
+    """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(_BATCH_BYTES))
+    return spark
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """The rows, written once to the shared folder and read from there."""
     path = fresh_path(df.sparkSession, label)
