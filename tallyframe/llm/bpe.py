@@ -211,7 +211,8 @@ def decode(df: DataFrame, ranks: list[bytes], ids: str = "ids") -> DataFrame:
 
 def as_array(ids: Column) -> Column:
     """Packed ids as an array of longs, in DataFrame functions only."""
+    digits = F.hex(ids)
     places = F.sequence(F.lit(0), F.floor(F.length(ids) / 4).cast("int") - 1)
-    code = lambda i: F.reverse(F.substring(ids, i * 4 + 1, F.lit(4)))
-    number = lambda i: F.conv(F.hex(code(i)), 16, 10).cast("long")
+    byte = lambda i, n: F.substring(digits, i * 8 + 1 + 2 * n, F.lit(2))
+    number = lambda i: F.conv(F.concat(*(byte(i, n) for n in (3, 2, 1, 0))), 16, 10).cast("long")
     return F.when(F.length(ids) > 0, F.transform(places, number)).otherwise(F.array().cast("array<bigint>"))
