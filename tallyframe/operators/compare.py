@@ -80,9 +80,12 @@ def _by_name(mapping: Mapping, name: str):
 
 
 def _as_count(total: str) -> str:
-    """A total as long. Pairs of a hot key can pass what a long holds."""
+    """A total as long, or an error: pairs of a hot key can pass what a long holds."""
     exact = _exact(total)
-    return f"cast(least(greatest({exact}, -{_LARGEST}), {_LARGEST}) as bigint)"
+    return (
+        f"if({exact} between -{_LARGEST} and {_LARGEST}, try_cast({exact} as bigint), "
+        f"cast(raise_error(concat('a count of pairs exceeds a long: ', {exact})) as bigint))"
+    )
 
 
 def _wide(count: str) -> str:

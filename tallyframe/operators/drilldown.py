@@ -40,5 +40,7 @@ def drill_down(df: DataFrame, failing: DataFrame, keys) -> DataFrame:
 
 def sample_failures(failures: DataFrame, order_by=None, count: int = 10) -> DataFrame:
     """The first failing rows in the order given, by default that of all columns."""
-    order = require_columns(order_by or failures.columns, "column to order by")
+    if not order_by:
+        return failures.orderBy(*[ref(name) for name in failures.columns]).limit(count)
+    order = require_columns(order_by, "column to order by")
     return failures.orderBy(*[column_of(failures, name) for name in order]).limit(count)

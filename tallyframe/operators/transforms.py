@@ -13,7 +13,9 @@ from tallyframe.functions.columns import column_of, ref, require_columns, trimme
 
 def trim_columns(df: DataFrame, columns=None) -> DataFrame:
     """The given columns, by default all, as text without blanks around it."""
-    wanted = {name.lower() for name in require_columns(columns or df.columns, "column")}
+    # Names taken from the frame are used as they are, blanks around them included.
+    names = require_columns(columns, "column") if columns else df.columns
+    wanted = {name.lower() for name in names}
     return df.select(
         *[
             trimmed_text(ref(name)).alias(name) if name.lower() in wanted else ref(name)

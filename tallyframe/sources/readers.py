@@ -23,11 +23,11 @@ def schema_from_json(spark: SparkSession, path: str) -> T.StructType:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    """One small text file, such as a query or a schema."""
-    row = spark.read.text(path, wholetext=True).first()
-    if row is None:
-        raise ValueError(f"{path} is empty")
-    return row["value"]
+    """One small text file, such as a query or a schema; several files are an error."""
+    rows = spark.read.text(path, wholetext=True).limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"{path} has no text" if not rows else f"{path} is more than one file")
+    return rows[0]["value"]
 
 
 def _reader(spark: SparkSession, schema: Schema | None) -> DataFrameReader:

@@ -224,3 +224,13 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_text_of_several_files_is_refused(spark, tmp_path):
+    from tallyframe.sources import read_text
+
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.sql").write_text("select 1")
+    assert read_text(spark, str(tmp_path / "a.sql")) == "select 1"
+    with pytest.raises(ValueError, match="more than one file"):
+        read_text(spark, str(tmp_path))

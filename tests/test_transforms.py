@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.functions import fill_right, mask_characters, whole_number
-from tallyframe.operators import flatten, trim_columns, union_all, unpivot_history
+from tallyframe.operators import flatten, sample_failures, trim_columns, union_all, unpivot_history
 from tallyframe.plans import bronze_to_silver, raw_to_bronze
 from tallyframe.plans.medallion import CONTACT_COLUMNS, SILVER_COLUMNS
 from tests.helpers import rows
@@ -125,3 +125,9 @@ def test_unpivot_history_keeps_numbers_when_types_agree(spark):
     df = spark.createDataFrame([(1, 10, 20)], "id int, now int, then int")
     got = unpivot_history(df, ["id"], {"Y": {"v": "now"}, "N": {"v": "then"}}, "flag")
     assert rows(got) == [(1, 10, "Y"), (1, 20, "N")]
+
+
+def test_names_with_blanks_are_trimmed_and_sampled(spark):
+    frame = spark.createDataFrame([("  x ", 2), (" y", 1)], "` a ` string, b int")
+    assert [tuple(r) for r in trim_columns(frame).orderBy("b").collect()] == [("y", "1"), ("x", "2")]
+    assert sample_failures(frame, count=1).first()[0] == "  x "
