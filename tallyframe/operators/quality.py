@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyframe.functions.columns import column_of, find_field, ref, require_columns
+from tallyframe.functions.columns import (
+    column_of,
+    find_field,
+    ref,
+    require_columns,
+    sql_text,
+)
 from tallyframe.functions.rules import null_like
 from tallyframe.results import NULLS, UNIQUE, Names, result_row, spread, union_all
 
@@ -90,3 +97,58 @@ def uniqueness_check(df: DataFrame, columns, names: Names = Names()) -> DataFram
             )
         )
     return union_all(parts)
+
+
+def _telling_text(df: DataFrame, name: str, slot: str) -> str:
+    """A value as text that differs whenever values of the column do."""
+    kind = find_field(df, name).dataType
+    if isinstance(kind, T.BinaryType):
+        return f"base64({slot})"
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        micros = "yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS"
+        return (
+            f"to_json(struct({slot}), map('ignoreNullFields', 'false', "
+            f"'timestampFormat', '{micros}XXX', 'timestampNTZFormat', '{micros}'))"
+        )
+    return f"cast({slot} as string)"
+
+
+def value_counts(df: DataFrame, columns) -> DataFrame:
+    """``column, value, rows``: the rows per distinct value of each column.
+
+    Values are text here, so that counts of several columns, or of several parts
+    of a dataset, come together in one table.
+    """
+    columns = require_columns(columns, "column to check for uniqueness")
+    parts = []
+    for start in range(0, len(columns), _COLUMNS_PER_SCAN):
+        chunk = columns[start : start + _COLUMNS_PER_SCAN]
+        whens = [
+            (f"when {_grouping_number(i, len(chunk))} then", name, f"c{i}")
+            for i, name in enumerate(chunk)
+        ]
+        named = " ".join(f"{when} {sql_text(name)}" for when, name, _ in whens)
+        texts = " ".join(
+            f"{when} {_telling_text(df, name, slot)}" for when, name, slot in whens
+        )
+        parts.append(
+            _value_counts(df, chunk).selectExpr(
+                f"case which {named} end as column",
+                f"case which {texts} end as value",
+                "rows",
+            )
+        )
+    return union_all(parts)
+
+
+def repeated_values(counts: DataFrame) -> DataFrame:
+    """``column, records, repeated`` out of the value counts of all parts."""
+    return (
+        counts.groupBy("column", "value")
+        .agg(F.sum("rows").alias("rows"))
+        .groupBy("column")
+        .agg(
+            F.sum("rows").alias("records"),
+            F.count_if(F.col("rows") > 1).alias("repeated"),
+        )
+    )

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyframe.functions.columns import split_columns
-from tallyframe.operators.quality import null_value_check, uniqueness_check
-from tallyframe.results import Names, union_all
+from tallyframe.operators.quality import null_value_check, repeated_values, value_counts
+from tallyframe.results import COUNT, UNIQUE, Names, result_row, spread, union_all
+
+_VALUE_COUNTS = "column string, value string, rows bigint"
+
+
+def _folders(results_path: str) -> tuple[str, str]:
+    root = results_path.rstrip("/")
+    return f"{root}/checks", f"{root}/values"
 
 
 def check_stream(
@@ -16,31 +23,42 @@ def check_stream(
     results_path: str,
     checkpoint_path: str,
     *,
+    keys=None,
     null_columns=None,
     unique_columns=None,
     names: Names = Names(),
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write the checks of every micro-batch to ``results_path/batch_id=n``.
+    """Write the checks of every micro-batch below ``results_path``.
 
-    The records of a batch are counted, missing values are counted, and values
-    that repeat within the batch. A batch that runs again after a failure
-    replaces its own folder, so no result occurs twice.
+    ``checks/batch_id=n`` holds the number of records, under the name of the key
+    columns, and the missing values per column. ``values/batch_id=n`` holds the
+    rows per value of the columns that have to be unique, since a value may repeat
+    in another batch. A batch that runs again after a failure replaces its own
+    folders, so nothing counts twice. :func:`stream_totals` adds it all up.
     """
-    null_columns = split_columns(null_columns)
+    keys, null_columns = split_columns(keys), split_columns(null_columns)
     unique_columns = split_columns(unique_columns)
     if not null_columns and not unique_columns:
         raise ValueError("no columns to check")
+    checks, values = _folders(results_path)
 
     def check_batch(batch: DataFrame, batch_id: int) -> None:
-        parts = []
+        counted = result_row(
+            COUNT, names, "0", ",".join(keys) or "*", target_records="records"
+        )
+        parts = [spread(batch.selectExpr("count(1) as records"), [counted])]
         if null_columns:
             parts.append(null_value_check(batch, null_columns, names))
-        if unique_columns:
-            parts.append(uniqueness_check(batch, unique_columns, names))
-        union_all(parts).repartition(1).write.mode("overwrite").parquet(
-            f"{results_path.rstrip('/')}/batch_id={batch_id}"
+        union_all(parts).coalesce(1).write.mode("overwrite").parquet(
+            f"{checks}/batch_id={batch_id}"
+        )
+        held = (
+            value_counts(batch, unique_columns)
+            if unique_columns
+            else batch.sparkSession.createDataFrame([], _VALUE_COUNTS)
         )
+        held.write.mode("overwrite").parquet(f"{values}/batch_id={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(check_batch)
@@ -50,9 +68,38 @@ def check_stream(
     )
 
 
-def stream_totals(results: DataFrame) -> DataFrame:
-    """Records and failures per check and column over all batches so far."""
-    return results.groupBy("tc_id", "test_case_name", "column").agg(
-        F.sum("target_records").alias("target_records"),
-        F.sum("failed_records").alias("failed_records"),
+def stream_totals(
+    spark: SparkSession, results_path: str, source_records: int | None = None
+) -> DataFrame:
+    """Records and failures per check and column over all batches so far.
+
+    The result depends on the records alone, not on how they fell into batches.
+    With ``source_records`` the count check fails by the difference to it.
+    """
+    checks, values = _folders(results_path)
+    summed = (
+        spark.read.parquet(checks)
+        .groupBy("tc_id", "test_case_name", "column")
+        .agg(
+            F.sum("target_records").alias("target_records"),
+            F.sum("failed_records").alias("failed_records"),
+        )
+    )
+    if source_records is not None:
+        apart = F.abs(F.col("target_records") - F.lit(source_records))
+        summed = summed.withColumn(
+            "failed_records",
+            F.when(F.col("tc_id") == COUNT.tc_id, apart).otherwise(
+                F.col("failed_records")
+            ),
+        )
+    unique = repeated_values(
+        spark.read.schema(_VALUE_COUNTS).parquet(values)
+    ).select(
+        F.lit(UNIQUE.tc_id).alias("tc_id"),
+        F.lit(UNIQUE.name).alias("test_case_name"),
+        "column",
+        F.col("records").alias("target_records"),
+        F.col("repeated").alias("failed_records"),
     )
+    return summed.unionByName(unique)
