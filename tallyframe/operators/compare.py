@@ -48,7 +48,9 @@ Normalizer = Callable[[Column], Column]
 
 _CELL = ("c", "source_value", "target_value", "kind")
 _LARGEST = 2**63 - 1
-_DEFAULT_SCALE = 6
+_DEFAULT_SCALE = 18
+# Digits of a number held exactly; two more are left to sums with a tolerance.
+_NUMBER_DIGITS = 37
 # A broadcast key costs more than its own bytes once it sits in a hash table.
 _KEY_OVERHEAD = 64
 # Rows of one key that a task takes without trouble, and a bound on hot keys.
@@ -62,8 +64,11 @@ class CompareOptions:
 
     columns      columns to compare; by default the source's, less the keys
     normalizers  per column, a function applied to the trimmed text of both sides
-    tolerance    per column, the largest difference that still counts as equal;
-                 both values are read as decimals with ``scale`` fraction digits
+    tolerance    per column, the largest difference of numbers that still counts
+                 as equal; equal texts are equal whatever they hold
+    scale        fraction digits of the numbers that a tolerance is applied to. No
+                 value is rounded: one that is finer, or has more than
+                 ``36 - scale`` digits before the point, is compared as text
     """
 
     columns: str | Sequence[str] | None = None
@@ -134,7 +139,7 @@ class Comparison:
         self._session = source.sparkSession
         self._key_slots = [f"k{i}" for i in range(len(self.keys))]
         self._slots = [f"v{i}" for i in range(len(self.columns))]
-        self._allowed = [self._allowed_units(name) for name in self.columns]
+        self._allowed = [self._allowed_difference(name) for name in self.columns]
 
         key_forms = [shared_form(source, target, key) for key in self.keys]
         forms = [self._value_form(source, target, name) for name in self.columns]
@@ -151,18 +156,39 @@ class Comparison:
 
     # -- the form in which values are compared ------------------------------
 
-    def _allowed_units(self, name: str) -> int | None:
-        """Tolerance of a column in units of the last fraction digit."""
+    def _allowed_difference(self, name: str) -> Decimal | None:
+        """Tolerance of a column, a whole number of units of the last fraction digit."""
         allowed = _by_name(self.options.tolerance, name)
         if allowed is None:
             return None
-        units = Decimal(str(allowed)).scaleb(self.options.scale)
-        if units < 0 or units != units.to_integral_value():
+        allowed = Decimal(str(allowed))
+        units = allowed.scaleb(self.options.scale)
+        if units < 0 or units != units.to_integral_value() or allowed >= self._bound:
             raise ValueError(
                 f"tolerance {allowed} of {name!r} must be a multiple of the last "
-                f"of {self.options.scale} fraction digits, and not negative"
+                f"of {self.options.scale} fraction digits, not negative, and below "
+                f"{self._bound:f}"
             )
-        return int(units)
+        return allowed
+
+    @property
+    def _bound(self) -> Decimal:
+        """What numbers stay below, so that sums with a tolerance are exact."""
+        return Decimal(1).scaleb(_NUMBER_DIGITS - 1 - self.options.scale)
+
+    def _held(self, number: str) -> str:
+        return f"cast({number} as decimal({_NUMBER_DIGITS},{self.options.scale}))"
+
+    def _number(self, text: str) -> str:
+        """A text as number if that takes no rounding, else null."""
+        scale = self.options.scale
+        number = f"try_{self._held(text)}"
+        fraction = f"regexp_replace(regexp_extract({text}, '[.]([0-9]*)', 1), '0+$', '')"
+        exponent = f"regexp_extract({text}, '[eE]([+-]?[0-9]+)$', 1)"
+        digits = f"length({fraction}) - coalesce(try_cast({exponent} as int), 0)"
+        return (
+            f"if({digits} <= {scale} and abs({number}) < {self._bound:f}BD, {number}, null)"
+        )
 
     def _value_form(self, source, target, name: str) -> tuple[Column, Column]:
         normalizer = _by_name(self.options.normalizers, name)
@@ -174,18 +200,17 @@ class Comparison:
             text = trimmed_text(ref(find_field(df, name).name))
             if normalizer is not None:
                 text = F.trim(normalizer(text).cast("string"))
-            if tolerated:
-                return text.try_cast(f"decimal(38,{self.options.scale})")
             return text
 
         return form(source), form(target)
 
     def _equal(self, position: int) -> str:
         slot, allowed = self._slots[position], self._allowed[position]
-        if allowed is None:
-            return f"coalesce(m_{slot} = n_{slot}, false)"
-        limit = Decimal(allowed).scaleb(-self.options.scale)
-        return f"coalesce(abs(m_{slot} - n_{slot}) <= {limit:f}BD, false)"
+        equal = f"m_{slot} = n_{slot}"
+        if allowed is not None:
+            apart = f"{self._number(f'm_{slot}')} - {self._number(f'n_{slot}')}"
+            equal += f" or abs({apart}) <= {allowed:f}BD"
+        return f"coalesce({equal}, false)"
 
     # -- repeated keys ------------------------------------------------------
 
@@ -303,42 +328,42 @@ class Comparison:
         exact = counted.selectExpr(
             "*", "if(v is null, 0, t) as s_hits", "if(v is null, 0, s) as t_hits"
         )
-        tolerated = [str(i) for i, units in enumerate(self._allowed) if units is not None]
+        tolerated = [str(i) for i, limit in enumerate(self._allowed) if limit is not None]
         if not tolerated:
             return exact
-        apart = f"(v is not null and c in ({', '.join(tolerated)}))"
-        return exact.filter(f"not {apart}").unionByName(
-            self._hits_within_tolerance(counted.filter(apart))
+        number = f"if(c in ({', '.join(tolerated)}), {self._number('v')}, null)"
+        return exact.filter(f"{number} is null").unionByName(
+            self._hits_within_tolerance(
+                counted.selectExpr("*", f"{number} as x").filter("x is not null")
+            )
         )
 
     def _hits_within_tolerance(self, counted: DataFrame) -> DataFrame:
         """``s_hits`` and ``t_hits`` where a difference up to a limit is equality.
 
-        Values are whole units. Stretches of ``limit + 1`` units hold only values
-        that are equal to each other, so a value hits its own stretch whole, the
-        end of the stretch before and the start of the one after. A window over
-        one stretch thus sees a number of values bounded by the limit.
+        The number ``x`` of a value is a whole number of units of the last fraction
+        digit. Stretches of the limit and one unit hold only values that are equal
+        to each other, so a value hits its own stretch whole, the end of the stretch
+        before and the start of the one after. A window over one stretch thus sees
+        a number of values bounded by the limit.
         """
         group = [*self._key_slots, "lone", "c"]
         limits = " ".join(
-            f"when {i} then {units}BD"
-            for i, units in enumerate(self._allowed)
-            if units is not None
+            f"when {i} then {self._held(f'{limit:f}BD')}"
+            for i, limit in enumerate(self._allowed)
+            if limit is not None
         )
-        units_per_one = f"{10**self.options.scale}BD"
-        number = f"cast(v as decimal(38,{self.options.scale})) * {units_per_one}"
+        unit = f"{Decimal(1).scaleb(-self.options.scale):f}BD"
         placed = (
-            counted.selectExpr(
-                "*", f"{_exact(number)} as x", f"{_exact(f'case c {limits} end')} as d"
-            )
-            .selectExpr("*", f"{_exact('d + 1')} as w")
-            .selectExpr("*", f"{_exact('x - pmod(x, w)')} as g")
+            counted.selectExpr("*", f"case c {limits} end as d")
+            .selectExpr("*", f"{self._held(f'd + {unit}')} as w")
+            .selectExpr("*", f"{self._held('x - pmod(x, w)')} as g")
         )
 
         def look(role: str, stretch: str, at: str, weighs: int) -> str:
             return (
-                f"struct('{role}' as role, {_exact(stretch)} as stretch, "
-                f"{_exact(at)} as at, s * {weighs} as s_here, t * {weighs} as t_here)"
+                f"struct('{role}' as role, {self._held(stretch)} as stretch, "
+                f"{self._held(at)} as at, s * {weighs} as s_here, t * {weighs} as t_here)"
             )
 
         looks = placed.selectExpr(
@@ -381,16 +406,19 @@ class Comparison:
     # -- figures ------------------------------------------------------------
 
     def _figures(self) -> DataFrame:
-        """One row: figures on the keys, and per column the kept and equal pairs.
+        """One row: figures on the keys, and per column pairs and source rows.
 
         A pair is kept when both values are there or both are missing. A missing
         partner counts as a missing value. Two missing values are never equal.
+        A source row is unsound in a column if it has no partner or differs from
+        one of them.
         """
         summed = []
         for i, slot in enumerate(self._slots):
             summed += [
                 f"count_if((m_{slot} is null) = (n_{slot} is null)) as kept_{i}",
                 f"count_if({self._equal(i)}) as equal_{i}",
+                f"count_if(m is not null and not {self._equal(i)}) as unsound_{i}",
             ]
         singles = self._singles().selectExpr(
             "count(m) as source_records",
@@ -409,7 +437,7 @@ class Comparison:
                 *[
                     f"sum(if(c = {i}, {what}, null)) as {what}_{i}"
                     for i in range(len(self._slots))
-                    for what in ("kept", "equal")
+                    for what in ("kept", "equal", "unsound")
                 ]
             )
             together = singles.unionByName(by_column, allowMissingColumns=True)
@@ -418,24 +446,34 @@ class Comparison:
         )
 
     def _repeated_figures(self) -> DataFrame:
-        """Kept and equal pairs per column, out of the values of repeated keys."""
-        per_group = (
-            self._value_counts()
-            .groupBy(*self._key_slots, "lone", "c")
-            .agg(
-                F.expr("sum(if(v is null, 0, s)) as s_known"),
-                F.expr("sum(if(v is null, 0, t)) as t_known"),
-                F.expr("sum(if(v is null, s, 0)) as s_null"),
-                F.expr("sum(if(v is null, t, 0)) as t_null"),
-                F.expr(f"sum({_wide('s')} * {_wide('s_hits')}) as equal"),
+        """Kept and equal pairs and unsound rows per column, out of repeated keys."""
+        group = [*self._key_slots, "lone", "c"]
+        counts = self._value_counts().selectExpr(
+            *group, "v is null as missing", "s", "t", "s_hits"
+        )
+        if any(limit is not None for limit in self._allowed):
+            # Within a tolerance several values can equal every row of the target.
+            counts = counts.groupBy(*group, "missing", "s_hits").agg(
+                F.expr("sum(s) as s"), F.expr("sum(t) as t")
             )
+        per_group = counts.groupBy(*group).agg(
+            F.expr("sum(if(missing, 0, s)) as s_known"),
+            F.expr("sum(if(missing, 0, t)) as t_known"),
+            F.expr("sum(if(missing, s, 0)) as s_null"),
+            F.expr("sum(if(missing, t, 0)) as t_null"),
+            F.expr(f"sum({_wide('s')} * {_wide('s_hits')}) as equal"),
+            F.expr("max(s_hits) as most_hits"),
+            F.expr("max_by(s, s_hits) as s_most"),
         )
         kept = f"""case when s_known + s_null = 0 then {_wide('t_null')}
             when t_known + t_null = 0 then {_wide('s_null')}
             else {_wide('s_known')} * {_wide('t_known')}
                + {_wide('s_null')} * {_wide('t_null')} end"""
+        sound = "if(most_hits > 0 and most_hits = t_known + t_null, s_most, 0)"
         return per_group.groupBy("c").agg(
-            F.expr(f"sum({kept}) as kept"), F.expr("sum(equal) as equal")
+            F.expr(f"sum({kept}) as kept"),
+            F.expr("sum(equal) as equal"),
+            F.expr(f"sum({_exact(f's_known + s_null - {sound}')}) as unsound"),
         )
 
     def _require_columns(self) -> None:
@@ -483,22 +521,34 @@ class Comparison:
         count_qa: int | None = None,
         checks: Sequence[Check] = (DATA,),
     ) -> DataFrame:
-        """Result rows: the data check fails when columns lack equal pairs.
+        """Result rows: the data check fails when a source row is not found again.
+
+        Its figure adds up, over the columns, the source rows without a partner and
+        those that differ from one. With ``count_qa`` it is that number of rows per
+        column less the equal pairs, and differing rows fail the check even so.
 
         The checks on keys can be had from the same figures, as long as
         :attr:`answers_key_checks` holds.
         """
-        total = "source_records" if count_qa is None else f"{count_qa}BD"
-        equal = [_exact(f"equal_{i}") for i in range(len(self._slots))]
-        # Summed as an array, since a wide table would make a very deep sum.
-        all_equal = (
-            f"aggregate(array({', '.join(equal)}), {_exact('0')}, "
-            f"(sum, x) -> {_exact('sum + x')})"
-            if equal
-            else "0"
+
+        def summed(figure: str) -> str:
+            cells = [_exact(f"{figure}_{i}") for i in range(len(self._slots))]
+            if not cells:
+                return _exact("0")
+            # Summed as an array, since a wide table would make a very deep sum.
+            return (
+                f"aggregate(array({', '.join(cells)}), {_exact('0')}, "
+                f"(sum, x) -> {_exact('sum + x')})"
+            )
+
+        unequal = summed("unsound")
+        if count_qa is not None:
+            unequal = f"{_exact(f'{count_qa}BD')} * {len(self._slots)} - {summed('equal')}"
+        figures = self._figures().selectExpr(
+            "*",
+            f"{_as_count(_exact(unequal))} as unequal",
+            f"{summed('unsound')} > 0 as differs",
         )
-        unequal = f"{_exact(total)} * {len(equal)} - {all_equal}"
-        figures = self._figures().selectExpr("*", f"{_as_count(unequal)} as unequal")
         return spread(figures, key_rows(checks, self.keys, names))
 
     @cached_property

@@ -140,7 +140,7 @@ def key_rows(checks: Sequence[Check], keys: Sequence[str], names: Names) -> list
         DUPLICATE: ("repeated", target),
         ONLY_IN_TARGET: ("target_only", both),
         ONLY_IN_SOURCE: ("source_only", both),
-        DATA: ("unequal", both),
+        DATA: ("unequal", {**both, "also_fails": "differs"}),
     }
     return [
         result_row(check, names, figures[check][0], ",".join(keys), **figures[check][1])

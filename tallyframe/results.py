@@ -45,6 +45,7 @@ def result_row(
     *,
     source_records: str | None = None,
     target_records: str | None = None,
+    also_fails: str = "false",
 ) -> str:
     """One result row as a SQL struct; a side without a count does not apply."""
     values = {
@@ -56,7 +57,7 @@ def result_row(
         "target_records": target_records or "null",
         "failed_records": failed,
         "column": sql_text(column),
-        "status": f"if({failed} > 0, 'fail', 'pass')",
+        "status": f"if({failed} > 0 or {also_fails}, 'fail', 'pass')",
     }
     cells = [
         f"cast({values[field.name]} as {field.dataType.simpleString()}) as {field.name}"

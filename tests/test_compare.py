@@ -19,7 +19,7 @@ from tallyframe.operators import (
     key_checks,
     sample_failures,
 )
-from tests.helpers import every_pair, figures, results, rows, unequal_pairs
+from tests.helpers import equal, every_pair, figures, results, rows, unequal_pairs
 
 SCHEMA = "k string, a string, n double"
 
@@ -156,10 +156,91 @@ def test_tolerance_reads_text_and_rejects_finer_steps(spark):
     )
     options = CompareOptions(tolerance={"v": 0.5})
     assert rows(compare_one_column(left, right, "k", "v", options=options)) == [
-        ("v", 1, 2, 3)
+        ("v", 2, 1, 3)
     ]
     with pytest.raises(ValueError, match="multiple"):
-        compare_columns(left, right, "k", options=CompareOptions(tolerance={"v": "1e-9"}))
+        compare_columns(left, right, "k", options=CompareOptions(tolerance={"v": "1e-19"}))
+
+
+TEXT_PAIRS = [  # source, target, equal within 0.5
+    ("abc", "5", False),
+    ("x", " x ", True),
+    ("x", "y", False),
+    ("1e40", "1e40", True),
+    ("1e40", "1e41", False),
+    ("1.0000000", "1.5000004", False),
+    ("1.0000001", "1.5000001", True),
+    ("1.5E3", "1500.5", True),
+    ("-0.25", "0.25", True),
+    ("-0.25", "0.250000000000000001", False),
+    ("1e-30", "0", False),  # finer than the scale, hence compared as text
+    ("999999999999999999", "999999999999999999.5", True),
+    ("", "", True),
+    ("NaN", "NaN", True),
+    (None, "1", False),
+    (None, None, False),
+]
+
+
+@pytest.mark.parametrize("repeats", [1, 2])
+def test_tolerance_keeps_what_is_no_number(spark, repeats):
+    """Words, large and fine numbers stay what they are, for single and repeated keys."""
+    schema = "k int, v string"
+    source = [(i, a) for i, (a, _, _) in enumerate(TEXT_PAIRS)] * repeats
+    target = [(i, b) for i, (_, b, _) in enumerate(TEXT_PAIRS)] * repeats
+    left, right = frames(spark, source, target, schema)
+    options = CompareOptions(tolerance={"v": "0.5"})
+    equal = sum(same for _, _, same in TEXT_PAIRS)
+    kept = sum((a is None) == (b is None) for a, b, _ in TEXT_PAIRS)
+    pairs = repeats**2
+    assert rows(compare_one_column(left, right, "k", "v", options=options)) == [
+        ("v", equal * pairs, (kept - equal) * pairs, kept * pairs)
+    ]
+    found = results(data_validation(left, right, "k", options=options))
+    assert found[7, "k"][2:] == ((len(TEXT_PAIRS) - equal) * repeats, "fail")
+    shown = data_compare(left, right, "k", options=options)
+    assert {(r["k"], r["source_value"], r["target_value"]) for r in shown.collect()} == {
+        (i, a and a.strip(), b and b.strip())
+        for i, (a, b, same) in enumerate(TEXT_PAIRS)
+        if not same
+    }
+
+
+def unsound_rows(source, target, position, tolerance=None):
+    """Source rows without a partner or unlike one of them, by plain Python."""
+    pairs = every_pair(source, target)
+    return sum(
+        any(
+            not equal(row[position], other and other[position], tolerance)
+            for left, other in pairs
+            if left is row
+        )
+        for row in source
+    )
+
+
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+@pytest.mark.parametrize("tolerance", [None, "0.5", "100"])
+def test_data_check_counts_source_rows(spark, never_broadcast, limit, tolerance):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    options = CompareOptions(tolerance={"n": tolerance} if tolerance else {})
+    # Lists of their own keep equal rows apart by identity.
+    source = [list(r) for r in random_side(11, 60, 25)]
+    target = [list(r) for r in random_side(12, 60, 25)]
+    left, right = frames(spark, source, target)
+    want = unsound_rows(source, target, 1) + unsound_rows(source, target, 2, tolerance)
+    found = results(data_validation(left, right, "k", options=options))
+    assert found[7, "k"] == (60, 60, want, "fail")
+
+
+def test_surplus_of_equal_pairs_hides_no_difference(spark):
+    schema = "k int, a string"
+    left, right = frames(
+        spark, [(1, "x"), (1, "x"), (2, "a")], [(1, "x"), (1, "x"), (2, "b")], schema
+    )
+    assert results(data_validation(left, right, "k")) == {(7, "k"): (3, 3, 1, "fail")}
+    given = results(data_validation(left, right, "k", count_qa=3))
+    assert given == {(7, "k"): (3, 3, -1, "fail")}
 
 
 @settings(

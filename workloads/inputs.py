@@ -82,6 +82,44 @@ select o_orderkey as k,
 from {orders}
 """
 
+# -- amounts as text, several per customer: words, empty values, seven fraction
+# -- digits, and numbers too large for a decimal
+
+MIXED_SOURCE = """
+select o_custkey as k,
+       case when o_orderpriority = '1-URGENT' then 'unknown'
+            when o_orderpriority = '2-HIGH' and o_orderstatus = 'F' then ''
+            when o_orderpriority = '2-HIGH'
+            then concat(cast(cast(o_totalprice as decimal(18,2)) as string), '0000')
+            when o_orderpriority = '3-MEDIUM'
+            then concat(cast(cast(o_totalprice as decimal(18,2)) as string), '00001')
+            when o_orderpriority = '4-NOT SPECIFIED'
+            then concat('9', lpad(cast(o_orderkey as string), 33, '0'))
+            else cast(cast(o_totalprice as decimal(18,2)) as string) end as amount
+from {orders}
+"""
+
+MIXED_TARGET = """
+select o_custkey as k,
+       case when o_orderpriority = '1-URGENT' and o_orderstatus = 'F' then '5'
+            when o_orderpriority = '1-URGENT' then ' unknown'
+            when o_orderpriority = '2-HIGH' and o_orderstatus = 'F' then ''
+            when o_orderpriority = '2-HIGH'
+            then cast(cast(o_totalprice as decimal(18,2)) as string)
+            when o_orderpriority = '3-MEDIUM'
+            then concat(cast(cast(o_totalprice as decimal(18,2))
+                             + cast(0.5 as decimal(18,2)) as string),
+                        case when o_orderstatus = 'F' then '00000' else '00002' end)
+            when o_orderpriority = '4-NOT SPECIFIED' and o_orderstatus = 'F'
+            then concat('9', lpad(cast(o_orderkey as string), 33, '0'))
+            when o_orderpriority = '4-NOT SPECIFIED'
+            then concat('9', lpad(cast(o_orderkey + 1 as string), 33, '0'))
+            when o_orderstatus = 'F'
+            then cast(cast(o_totalprice + 0.5 as decimal(18,2)) as string)
+            else cast(cast(o_totalprice + 0.75 as decimal(18,2)) as string) end as amount
+from {orders}
+"""
+
 # -- contacts: the medallion pipeline ------------------------------------------
 
 CONTACT_RAW = """

@@ -9,6 +9,7 @@ ORDER_SOURCE, ORDER_TARGET = bare(inputs.ORDER_SOURCE), bare(inputs.ORDER_TARGET
 LINE_SOURCE, LINE_TARGET = bare(inputs.LINE_SOURCE), bare(inputs.LINE_TARGET)
 MARKED_TEXT, PLAN_ROWS = bare(inputs.MARKED_TEXT), bare(inputs.PLAN_ROWS)
 CONTACT_RAW = bare(inputs.CONTACT_RAW)
+MIXED_SOURCE, MIXED_TARGET = bare(inputs.MIXED_SOURCE), bare(inputs.MIXED_TARGET)
 STORED_BRONZE, STORED_SILVER = bare(inputs.STORED_BRONZE), bare(inputs.STORED_SILVER)
 
 ORDER_CTE = f"src as ({ORDER_SOURCE}), tgt as ({ORDER_TARGET})"
@@ -99,24 +100,31 @@ def only_in_source_row(names, keys) -> str:
 
 
 def joined(keys: str, columns) -> str:
-    """CTE ``j``: every pair of rows, trimmed, with a mark for each present side."""
+    """CTE ``j``: every pair of rows, trimmed, with a mark for each present side
+    and a number for each source row."""
 
     def side(name: str) -> str:
         values = ", ".join(
             f"trim(cast({c} as varchar)) as {c}" for c in columns
         )
-        return f"(select {keys}, {values}, 1 as here from {name})"
+        return (
+            f"(select {keys}, {values}, 1 as here, row_number() over () as number "
+            f"from {name})"
+        )
 
     on = " and ".join(f"s.{k} = t.{k}" for k in keys.split(","))
     picked_keys = ", ".join(f"coalesce(s.{k}, t.{k}) as {k}" for k in keys.split(","))
     picked = ", ".join(f"s.{c} as s_{c}, t.{c} as t_{c}" for c in columns)
-    return f"""j as (select {picked_keys}, s.here as s_here, t.here as t_here, {picked}
+    return f"""j as (select {picked_keys}, s.here as s_here, t.here as t_here,
+    s.number as s_number, {picked}
   from {side('src')} s full outer join {side('tgt')} t on {on})"""
 
 
 def data_row(names, keys, columns) -> str:
+    """Source rows without a partner, or unequal to one, added up over the columns."""
     failed = " + ".join(
-        f"({N_SOURCE} - (select count(*) from j where s_{c} = t_{c}))" for c in columns
+        f"(select count(distinct s_number) from j where (s_{c} = t_{c}) is not true)"
+        for c in columns
     )
     return result(7, "Datavalidation", *names, N_SOURCE, N_TARGET, failed, keys)
 
@@ -360,6 +368,8 @@ group by ok, ln""",
         + factored_differences("ok,ln", LINE_COLUMNS),
         "data_validation": f"{order_j} "
         + data_row(ORDER_NAMES, "k", ORDER_COLUMNS),
+        "data_validation_repeated_keys": f"{line_j} "
+        + data_row(LINE_NAMES, "ok,ln", LINE_COLUMNS),
         "compare_columns": f"{order_j} {summary(ORDER_COLUMNS)}",
         "compare_columns_repeated_keys": f"{line_j} {summary(LINE_COLUMNS)}",
         "compare_columns_documents": f"with {documents_cte}, "
@@ -374,6 +384,13 @@ from orders), {joined('o_orderkey', ['o_orderpriority'])}
         "compare_tolerance": f"{order_j} {summary(['price'], within + '0.5')}",
         "compare_tolerance_repeated_keys": f"{line_j} "
         + pair_figures("qty", within + "2"),
+        "compare_tolerance_mixed": f"with src as ({MIXED_SOURCE}), "
+        f"tgt as ({MIXED_TARGET}), {joined('k', ['amount'])} "
+        + pair_figures(
+            "amount",
+            "(s_{c} = t_{c} or coalesce(abs(try_cast(s_{c} as decimal(38,18)) "
+            "- try_cast(t_{c} as decimal(38,18))) <= 0.5, false))",
+        ),
         "drill_down": f"""{order_j} select k, status,
 cast(price as varchar) as price from tgt where k in (
 select k from j where (s_status = t_status and s_price = t_price) is not true
@@ -428,6 +445,8 @@ group by l_orderkey having count(*) > 1""",
 select k, cast(price as varchar) as price from src where status is null""",
         "stream_batch_checks": f"""select tc_id, test_case_name, "column",
 target_records, failed_records from (
+{result(1, 'Count_validation', None, 'events', 'null',
+        '(select count(*) from events)', '0', 'event_id')} union all
 {null_row('events', 'value', NULL_DOUBLE, 'events')} union all
 {null_row('events', 'props', NULL_TEXT, 'events')} union all
 {unique_row('events', 'event_id', 'events')} union all

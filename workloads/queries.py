@@ -333,6 +333,12 @@ def data_validation_orders(spark, folder):
     return data_validation(source, target, "k", names=ORDERS)
 
 
+@registered("data_validation_repeated_keys")
+def data_validation_repeated_keys(spark, folder):
+    source, target = line_pair(spark, folder)
+    return data_validation(source, target, LINE_KEY, names=LINES)
+
+
 @registered("compare_columns")
 def compare_columns_orders(spark, folder):
     source, target = order_pair(spark, folder)
@@ -392,6 +398,14 @@ def compare_tolerance_repeated_keys(spark, folder):
     return compare_one_column(source, target, LINE_KEY, "qty", options=options)
 
 
+@registered("compare_tolerance_mixed")
+def compare_tolerance_mixed(spark, folder):
+    source = sql(spark, folder, inputs.MIXED_SOURCE)
+    target = sql(spark, folder, inputs.MIXED_TARGET)
+    options = CompareOptions(tolerance={"amount": "0.5"})
+    return compare_one_column(source, target, "k", "amount", options=options)
+
+
 @registered("drill_down")
 def drill_down_target(spark, folder):
     source, target = order_pair(spark, folder)
@@ -537,19 +551,23 @@ def sql_null_filter(spark, folder):
 
 @registered("stream_batch_checks")
 def stream_batch_checks(spark, folder):
+    """The events in eight files, two of them to a batch."""
     events = table(spark, folder, "events")
+    landed = fresh_path(spark, "stream-source")
+    events.repartition(8).write.parquet(landed)
     stream = (
         spark.readStream.schema(events.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
+        .option("maxFilesPerTrigger", 2)
+        .parquet(landed)
     )
     results = fresh_path(spark, "stream-results")
     check_stream(
         stream,
         results,
         fresh_path(spark, "stream-checkpoint"),
+        keys="event_id",
         null_columns="value, props",
         unique_columns="event_id, user_id",
         names=Names(target="events"),
     ).awaitTermination()
-    return stream_totals(spark.read.parquet(results))
+    return stream_totals(spark, results, source_records=events.count())
