@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -63,14 +63,18 @@ class Environment:
     connections  options of each named connection
     data_root    folder that file names are relative to
     query_root   folder that query files are relative to
+    readers      reader options of a dataset, such as ``delimiter``, ``multiline`` or
+                 ``schema``, under the name by which the plan calls it
     store_rows   keep a stored copy of datasets whose format has to be read whole
-                 by every check, so that each is read once
+                 by every check, so that each is read once; by default for cases
+                 with several checks
     """
 
     connections: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
     data_root: str = ""
     query_root: str = ""
-    store_rows: bool = False
+    readers: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
+    store_rows: bool | None = None
 
 
 def _under(root: str, path: str | None) -> str | None:
@@ -90,17 +94,25 @@ def _read_side(spark: SparkSession, case: Row, side: str, env: Environment) -> D
         query_path=_under(
             env.query_root, case[f"{side}_transformation_query_path"]
         ),
+        **env.readers.get(place, {}),
     )
-    return stored(df) if env.store_rows and kind in _WHOLE_ROW_TYPES else df
+    store = env.store_rows
+    if store is None:
+        store = len(case[PLAN_CHECK_COLUMN]) > 1
+    return stored(df) if store and kind in _WHOLE_ROW_TYPES else df
+
+
+OptionsOfCase = CompareOptions | Callable[[Row], CompareOptions]
 
 
 def run_cases(
     plan: DataFrame,
     env: Environment = Environment(),
-    options: CompareOptions = CompareOptions(),
+    options: OptionsOfCase = CompareOptions(),
 ) -> Iterator[tuple[Row, DataFrame]]:
     """The grouped cases of a plan, each with its result table, one by one.
 
+    ``options`` serve all cases, or are a function that gives those of a case.
     Only the plan's own rows come to the driver. To publish long plans case by
     case, append each result table as it comes.
     """
@@ -119,7 +131,7 @@ def run_cases(
                 unique_columns=case["unique_col_list"],
                 checks=case[PLAN_CHECK_COLUMN],
                 names=Names(case["source"], case["target"]),
-                options=options,
+                options=options(case) if callable(options) else options,
             ),
         )
 
@@ -127,7 +139,7 @@ def run_cases(
 def run_plan(
     plan: DataFrame,
     env: Environment = Environment(),
-    options: CompareOptions = CompareOptions(),
+    options: OptionsOfCase = CompareOptions(),
 ) -> DataFrame:
     """One result table for all active cases of a plan."""
     return union_all([results for _, results in run_cases(plan, env, options)])

@@ -6,7 +6,7 @@ The rows here are invented; keys and planted differences follow the pairs.
 import pytest
 
 from tallyframe import ALL_CHECKS, Environment, as_published, as_published_short, validate
-from tallyframe.operators import Comparison, compare_columns, only_in_source, only_in_target
+from tallyframe.operators import CompareOptions, Comparison, compare_columns, only_in_source, only_in_target
 from tallyframe.plans import grouped_cases, read_plan, run_cases, run_plan
 from tallyframe.plans.medallion import CONTACT_COLUMNS
 from tallyframe.plans.suite import checks_named
@@ -199,7 +199,7 @@ def plan_folder(spark, tmp_path):
     return tmp_path
 
 
-@pytest.mark.parametrize("store_rows", [False, True])
+@pytest.mark.parametrize("store_rows", [False, True, None])
 def test_plan_run(spark, plan_folder, store_rows):
     plan = read_plan(spark, "csv", str(plan_folder / "plan.csv"))
     assert plan.schema.names == PLAN_SCHEMA.names
@@ -247,3 +247,31 @@ def test_plan_with_unknown_check_fails(spark):
         run_plan(plan)
     with pytest.raises(ValueError, match="nothing"):
         run_plan(plan.filter("execution_ind = 'N'"))
+
+
+def test_plan_reads_each_side_by_its_own_options(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("id|v\n1|a\n2|1.0\n")
+    (tmp_path / "t.json").write_text('[{"id": "1",\n "v": "a"},\n {"id": "2",\n "v": "1.4"}]')
+    case = ("s.csv", "csv", "NA", "NA", "t.json", "json", "NA", "NA", "id", "v", "id")
+    plan = spark.createDataFrame(
+        [(*case, check, "Y") for check in ("count_validation", "data_compare")], PLAN_SCHEMA
+    )
+    env = Environment(
+        data_root=str(tmp_path),
+        readers={"s.csv": {"delimiter": "|"}, "t.json": {"multiline": True}},
+    )
+    assert results(run_plan(plan, env))[7, "id"] == (2, 2, 1, "fail")
+    wide = {"s.csv": CompareOptions(tolerance={"v": "0.5"})}
+    assert results(run_plan(plan, env, lambda case: wide[case["source"]])) == {
+        (1, "id"): (2, 2, 0, "pass"),
+        (7, "id"): (2, 2, 0, "pass"),
+    }
+
+
+def test_a_file_is_read_once_for_several_checks(spark, plan_folder):
+    plan = read_plan(spark, "csv", str(plan_folder / "plan.csv"))
+    env = Environment(data_root=str(plan_folder / "data"))
+    for case, checked in run_cases(plan, env):
+        text = checked._jdf.queryExecution().optimizedPlan().toString()
+        several = len(case["validation_Type"]) > 1
+        assert (" csv" not in text) == several

@@ -287,6 +287,9 @@ select s_suppkey as id, s_name as name, s_acctbal as balance from supplier"""
 source_transformation_query_path, target, target_type, target_db_name,
 target_transformation_query_path, key_col_list, null_col_list, unique_col_list"""
     order_nulls = {"k": NULL_OTHER, "status": NULL_TEXT, "price": NULL_OTHER}
+    order_suite = suite(
+        ORDER_NAMES, "k", ORDER_COLUMNS, order_nulls, ("k", "price")
+    )
     views = ("order_source", "order_target")
     within = "abs(cast(s_{c} as decimal(18,2)) - cast(t_{c} as decimal(18,2))) <= "
 
@@ -302,6 +305,7 @@ from orders""",
         "sink_csv_append": both_rows,
         "sink_csv_overwrite": customer_rows,
         "union_all": both_rows,
+        "plan_scan": PLAN_ROWS,
         "plan_active_cases": active,
         "plan_grouped_cases": f"""select {plan_group},
 string_agg(distinct validation_Type, ',' order by validation_Type) as validation_Type
@@ -399,8 +403,13 @@ and k is not null)""",
 {differences('k', ORDER_COLUMNS)})
 order by k nulls first, "column", source_value nulls first, target_value nulls first,
 pairs, kind limit 10""",
-        "validation_summary": f"{order_j} "
-        + suite(ORDER_NAMES, "k", ORDER_COLUMNS, order_nulls, ("k", "price")),
+        "validation_summary": f"{order_j} {order_suite}",
+        "published_summary": f"""{order_j} select tc_id as "TC_ID",
+test_case_name as "test_Case_Name", source_name as "Source_name",
+target_name as "target_name", source_records as "Number_of_source_Records",
+target_records as "Number_of_target_Records",
+failed_records as "Number_of_failed_Records", "column", status as "Status"
+from ({order_suite})""",
         "bronze_validation": f"""with {BRONZE_CTE}, src as (select * from bronze),
 tgt as ({STORED_BRONZE}), {joined('Identifier', BRONZE_COMPARED)} """
         + suite(

@@ -35,11 +35,12 @@ from tallyframe.plans import (
     bronze_to_silver,
     grouped_cases,
     raw_to_bronze,
+    read_plan,
     run_plan,
     validate,
 )
-from tallyframe.results import Names
-from tallyframe.schema import PLAN_SCHEMA
+from tallyframe.results import Names, as_published
+from tallyframe.schema import PLAN_SCHEMA, PUBLISHED_HEADINGS, RESULT_SCHEMA
 from tallyframe.sources import (
     read_csv,
     read_data,
@@ -47,6 +48,7 @@ from tallyframe.sources import (
     register_view,
     schema_from_json,
     write_csv,
+    write_results,
 )
 from tallyframe.sources.scratch import fresh_path, stored
 from tallyframe.streaming import check_stream, stream_totals
@@ -200,6 +202,13 @@ def union_of_all_rows(spark, folder):
 # -- test plan ---------------------------------------------------------------------
 
 
+@registered("plan_scan")
+def plan_scan(spark, folder):
+    path = fresh_path(spark, "plan")
+    write_csv(sql(spark, folder, inputs.PLAN_ROWS), path)
+    return read_plan(spark, "csv", path)
+
+
 @registered("plan_active_cases")
 def plan_active_cases(spark, folder):
     return active_cases(sql(spark, folder, inputs.PLAN_ROWS))
@@ -437,6 +446,19 @@ def validation_summary(spark, folder):
     )
 
 
+@registered("published_summary")
+def published_summary(spark, folder):
+    """The result rows of a pair, published as a file and read again."""
+    path = fresh_path(spark, "published")
+    write_results(as_published(validation_summary(spark, folder)), path)
+    return read_csv(spark, path).select(
+        *[
+            F.col(heading).cast(field.dataType).alias(heading)
+            for field, heading in zip(RESULT_SCHEMA.fields, PUBLISHED_HEADINGS)
+        ]
+    )
+
+
 @registered("bronze_validation")
 def bronze_validation(spark, folder):
     expected = contact_bronze(spark, folder)
