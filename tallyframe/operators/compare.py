@@ -53,9 +53,8 @@ _DEFAULT_SCALE = 18
 _NUMBER_DIGITS = 37
 # A broadcast key costs more than its own bytes once it sits in a hash table.
 _KEY_OVERHEAD = 64
-# Rows of one key that a task takes without trouble, and a bound on hot keys.
+# Rows of one key that a task takes without trouble.
 _HOT_ROWS = 1_000_000
-_MOST_HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -104,21 +103,20 @@ def _exact(total: str) -> str:
 
 @dataclass(frozen=True)
 class _RepeatedKeys:
-    """Stored keys with their rows ``m`` and ``n`` per side, and their measures."""
+    """Stored keys with their rows ``m`` and ``n`` per side, and their measures.
+
+    ``size`` and ``hot_size`` are the bytes of all and of the hot keys in a broadcast.
+    """
 
     rows: DataFrame
     size: int
-    largest: int
     figures: Mapping[str, int]
 
-    @property
-    def rows_held(self) -> int:
-        return self.figures["source_records"] + self.figures["target_records"]
+    hot_size: int
 
     @property
-    def hot_from(self) -> int:
-        """Rows from which a key is hot. At most ``_MOST_HOT_KEYS`` keys can be."""
-        return max(_HOT_ROWS, self.rows_held // _MOST_HOT_KEYS + 1)
+    def hot(self) -> DataFrame:
+        return self.rows.filter(f"m + n >= {_HOT_ROWS}")
 
 
 class Comparison:
@@ -226,9 +224,10 @@ class Comparison:
             .checkpoint()
         )
         key_bytes = [f"coalesce(octet_length(cast({s} as string)), 0)" for s in self._key_slots]
+        size = " + ".join([str(_KEY_OVERHEAD), *key_bytes])
         measured = repeated.selectExpr(
-            f"sum({' + '.join([str(_KEY_OVERHEAD), *key_bytes])}) as bytes",
-            "max(m + n) as largest",
+            f"sum({size}) as bytes",
+            f"coalesce(sum(if(m + n >= {_HOT_ROWS}, {size}, 0)), 0) as hot_bytes",
             "sum(m) as source_records",
             "sum(n) as target_records",
             "count_if(n = 0) as source_only",
@@ -239,27 +238,31 @@ class Comparison:
             return None
         figures = measured.asDict()
         return _RepeatedKeys(
-            repeated, figures.pop("bytes"), figures.pop("largest"), figures
+            repeated, figures.pop("bytes"), figures, figures.pop("hot_bytes")
         )
 
     def _repeated_on(self, rows: str) -> DataFrame:
         return self._repeated.rows.filter(f"{rows} > 0").selectExpr(
             *[f"{slot} as r_{slot}" for slot in self._key_slots],
-            f"m + n >= {self._repeated.hot_from} as hot",
+            f"m + n >= {_HOT_ROWS} as hot",
         )
 
     def _may_broadcast_repeated(self) -> bool:
         return self._repeated.size <= _broadcast_limit(self._session)
 
+    def _may_broadcast_hot(self) -> bool:
+        return 0 < self._repeated.hot_size <= _broadcast_limit(self._session)
+
     def _rows_of_repeated(self, df: DataFrame, rows: str) -> DataFrame:
         """The rows of one side whose keys repeat."""
         wanted = self._repeated_on(rows)
         if self._may_broadcast_repeated():
             return df.join(F.broadcast(wanted), self._on_repeated(), "left_semi")
-        if self._repeated.largest < self._repeated.hot_from:
+        if not self._may_broadcast_hot():
+            # Adaptive execution splits the rows of a hot key in such a join.
             return df.join(wanted, self._on_repeated(), "left_semi")
-        # The keys have to be shuffled, but no row of a hot key: there are few of
-        # those keys, so they are broadcast, and their rows stay where they are.
+        # The keys have to be shuffled, but no row of a hot key: those keys fit into
+        # a broadcast, and their rows stay where they are.
         hot = F.broadcast(wanted.filter("hot"))
         others = df.join(hot, self._on_repeated(), "left_anti")
         return df.join(hot, self._on_repeated(), "left_semi").unionByName(
@@ -627,16 +630,13 @@ class Comparison:
 
     def _with_parts(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Adds in how many parts the rows of a key are handled, by their number."""
-        hot_from = self._repeated.hot_from
-        hot = (
-            self._repeated.rows.filter(f"m + n >= {hot_from}")
-            .groupBy(*[F.col(slot).alias(f"h_{slot}") for slot in self._key_slots])
-            .agg(F.expr(f"cast(ceil(max(m + n) / {hot_from}) as int) as held_parts"))
-        )
+        hot = self._repeated.hot.groupBy(
+            *[F.col(slot).alias(f"h_{slot}") for slot in self._key_slots]
+        ).agg(F.expr(f"cast(ceil(max(m + n) / {_HOT_ROWS}) as int) as held_parts"))
+        if self._may_broadcast_hot():
+            hot = F.broadcast(hot)
         same_key = [f"{k} <=> h_{s}" for k, s in zip(keys, self._key_slots)]
-        return df.join(
-            F.broadcast(hot), F.expr(" and ".join(same_key)), "left"
-        ).selectExpr(
+        return df.join(hot, F.expr(" and ".join(same_key)), "left").selectExpr(
             *[f"`{name}`" for name in df.columns], "coalesce(held_parts, 1) as parts"
         )
 
@@ -653,7 +653,7 @@ class Comparison:
         )
         stats = stats.withColumnsRenamed({name: f"g_{name}" for name in group})
         same_group = [f"{name} <=> g_{name}" for name in group]
-        if self._repeated.largest >= self._repeated.hot_from:
+        if self._repeated.hot_size:
             # The values of a hot key meet their figures in several tasks.
             counted = self._with_parts(counted, self._key_slots).selectExpr(
                 "*", "pmod(xxhash64(v), parts) as part"

@@ -124,18 +124,21 @@ def test_repeated_keys_that_must_be_shuffled(spark, never_broadcast):
     check_differences(spark, source, target)
 
 
-@pytest.mark.parametrize("limit", ["-1", "10MB"])
+@pytest.mark.parametrize("limit", ["-1", "HOT", "10MB"])
 def test_hot_keys_beside_other_repeated_keys(spark, never_broadcast, monkeypatch, limit):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # Between the bytes of the one hot key and those of all repeated keys.
+    between = "200" if limit == "HOT" else limit
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", between)
     monkeypatch.setattr(compare, "_HOT_ROWS", 8)
-    monkeypatch.setattr(compare, "_MOST_HOT_KEYS", 50)
     rng = random.Random(3)
     source, target = random_side(7, 60, 30), random_side(8, 60, 30)
     source += [("hot", rng.choice("xyz"), rng.choice([1.0, 2.0])) for _ in range(40)]
     target += [("hot", rng.choice("xy"), rng.choice([1.0, 3.0])) for _ in range(30)]
     left, right = frames(spark, source, target)
-    repeated = Comparison(left, right, "k")._repeated
-    assert repeated.largest >= repeated.hot_from
+    comparison = Comparison(left, right, "k")
+    assert 0 < comparison._repeated.hot_size < comparison._repeated.size
+    plan = comparison.differences()._jdf.queryExecution().executedPlan().toString()
+    assert ("Broadcast" in plan) == (limit != "-1")
     check_figures(spark, source, target)
     check_differences(spark, source, target)
 
