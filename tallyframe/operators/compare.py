@@ -55,6 +55,8 @@ _NUMBER_DIGITS = 37
 _KEY_OVERHEAD = 64
 # Rows of one key that a task takes without trouble.
 _HOT_ROWS = 1_000_000
+# Tasks that share a hot key's rows where the hot keys do not fit into a broadcast.
+_HOT_TASKS = 64
 
 
 @dataclass(frozen=True)
@@ -114,10 +116,6 @@ class _RepeatedKeys:
 
     hot_size: int
 
-    @property
-    def hot(self) -> DataFrame:
-        return self.rows.filter(f"m + n >= {_HOT_ROWS}")
-
 
 class Comparison:
     """Source and target, brought into one form and met on their keys."""
@@ -242,8 +240,10 @@ class Comparison:
         )
 
     def _repeated_on(self, rows: str) -> DataFrame:
+        """Repeated keys that one side has, and in how many parts to handle their values."""
         return self._repeated.rows.filter(f"{rows} > 0").selectExpr(
             *[f"{slot} as r_{slot}" for slot in self._key_slots],
+            f"cast(ceil((m + n) / {_HOT_ROWS}) as int) as parts",
             f"m + n >= {_HOT_ROWS} as hot",
         )
 
@@ -253,20 +253,27 @@ class Comparison:
     def _may_broadcast_hot(self) -> bool:
         return 0 < self._repeated.hot_size <= _broadcast_limit(self._session)
 
+    def _meet_hot(self, df: DataFrame, hot: DataFrame, how: str) -> DataFrame:
+        """Joins the rows of one side with hot keys, no task getting all rows of one."""
+        if self._may_broadcast_hot():
+            return df.join(F.broadcast(hot), self._on_repeated(), how)
+        # Every hot key goes to all parts, and a row to the part of the task it is in.
+        everywhere = hot.selectExpr("*", f"explode(sequence(0, {_HOT_TASKS - 1})) as r_part")
+        placed = df.selectExpr("*", f"pmod(spark_partition_id(), {_HOT_TASKS}) as part")
+        together = self._on_repeated() & F.expr("part = r_part")
+        return placed.join(everywhere, together, how).drop("part", "r_part")
+
     def _rows_of_repeated(self, df: DataFrame, rows: str) -> DataFrame:
-        """The rows of one side whose keys repeat."""
-        wanted = self._repeated_on(rows)
+        """The rows of one side whose keys repeat, with the ``parts`` of their keys."""
+        wanted, kept = self._repeated_on(rows), [*df.columns, "parts"]
         if self._may_broadcast_repeated():
-            return df.join(F.broadcast(wanted), self._on_repeated(), "left_semi")
-        if not self._may_broadcast_hot():
-            # Adaptive execution splits the rows of a hot key in such a join.
-            return df.join(wanted, self._on_repeated(), "left_semi")
-        # The keys have to be shuffled, but no row of a hot key: those keys fit into
-        # a broadcast, and their rows stay where they are.
-        hot = F.broadcast(wanted.filter("hot"))
-        others = df.join(hot, self._on_repeated(), "left_anti")
-        return df.join(hot, self._on_repeated(), "left_semi").unionByName(
-            others.join(wanted.filter("not hot"), self._on_repeated(), "left_semi")
+            return df.join(F.broadcast(wanted), self._on_repeated()).select(*kept)
+        if not self._repeated.hot_size:
+            return df.join(wanted, self._on_repeated()).select(*kept)
+        hot = wanted.filter("hot")
+        others = self._meet_hot(df, hot, "left_anti")
+        return self._meet_hot(df, hot, "inner").select(*kept).unionByName(
+            others.join(wanted.filter("not hot"), self._on_repeated()).select(*kept)
         )
 
     def _on_repeated(self) -> Column:
@@ -274,30 +281,49 @@ class Comparison:
 
     # -- keys with at most one row on each side -----------------------------
 
+    def _incomplete(self, prefix: str = "") -> str:
+        return " or ".join(f"{prefix}{slot} is null" for slot in self._key_slots)
+
     def _single_rows(self, df: DataFrame, rows: str) -> DataFrame:
-        """One side without its repeated keys: keys, row count and values."""
-        values = [f"{slot} as {rows}_{slot}" for slot in self._slots]
+        """One side without its repeated keys: keys, row count and values.
+
+        ``lone`` parts keys with a null from those of the other side.
+        """
         if self._repeated is not None and self._may_broadcast_repeated():
             repeated = F.broadcast(self._repeated_on(rows))
             df = df.join(repeated, self._on_repeated(), "left_anti")
         elif self._repeated is not None:
-            # Too many to broadcast: collapse each key to one row before it travels.
-            # What a repeated key keeps is unused, as _singles leaves it out.
-            kept = f"any_value(struct({', '.join(['1 as one', *self._slots])}))"
-            return (
-                df.groupBy(*self._key_slots)
-                .agg(F.expr(f"count(1) as {rows}"), F.expr(f"{kept} as kept"))
-                .selectExpr(*self._key_slots, rows, *[f"kept.{v}" for v in values])
+            # Too many to broadcast. The keys and ``lone`` are what the sides meet on
+            # later, so that both joins take one shuffle and one sort of the rows.
+            repeated = self._repeated_on(rows)
+            if self._repeated.hot_size:
+                df = self._meet_hot(df, repeated.filter("hot"), "left_anti")
+                repeated = repeated.filter("not hot")
+            df = df.selectExpr("*", f"if({self._incomplete()}, '{rows}', '') as lone")
+            repeated = repeated.selectExpr(
+                "*", f"if({self._incomplete('r_')}, '{rows}', '') as r_lone"
             )
-        return df.selectExpr(*self._key_slots, f"1 as {rows}", *values)
+            same_key = self._on_repeated() & F.expr("lone = r_lone")
+            df = df.join(repeated, same_key, "left_anti")
+        named = [name for name in df.columns if name not in self._key_slots]
+        return df.selectExpr(
+            *[f"{slot} as {rows}_{slot}" for slot in self._key_slots],
+            f"1 as {rows}",
+            *[f"{name} as {rows}_{name}" for name in named],
+        )
 
     def _singles(self) -> DataFrame:
-        met = self._single_rows(self._source, "m").join(
-            self._single_rows(self._target, "n"), self._key_slots, "full_outer"
+        source, target = self._single_rows(self._source, "m"), self._single_rows(self._target, "n")
+        equals = "<=>" if "m_lone" in source.columns else "="
+        same_key = [f"m_{slot} {equals} n_{slot}" for slot in self._key_slots]
+        if equals == "<=>":
+            same_key.append("m_lone = n_lone")
+        return source.join(target, F.expr(" and ".join(same_key)), "full_outer").selectExpr(
+            *[f"coalesce(m_{slot}, n_{slot}) as {slot}" for slot in self._key_slots],
+            "m",
+            "n",
+            *[f"{side}_{slot}" for side in "mn" for slot in self._slots],
         )
-        if self._repeated is None:
-            return met
-        return met.filter("coalesce(m, 1) = 1 and coalesce(n, 1) = 1")
 
     # -- repeated keys, counted by value ------------------------------------
 
@@ -311,12 +337,12 @@ class Comparison:
             f"struct({i} as c, cast({slot} as string) as v)"
             for i, slot in enumerate(self._slots)
         ]
-        incomplete = " or ".join(f"{slot} is null" for slot in self._key_slots)
 
         def side(df: DataFrame, rows: str) -> DataFrame:
             return self._rows_of_repeated(df, rows).selectExpr(
                 *self._key_slots,
-                f"if({incomplete}, '{rows}', null) as lone",
+                "parts",
+                f"if({self._incomplete()}, '{rows}', null) as lone",
                 f"{int(rows == 'm')} as s",
                 f"{int(rows == 'n')} as t",
                 inline_rows(cells),
@@ -325,7 +351,7 @@ class Comparison:
         counted = (
             side(self._source, "m")
             .unionByName(side(self._target, "n"))
-            .groupBy(*self._key_slots, "lone", "c", "v")
+            .groupBy(*self._key_slots, "lone", "parts", "c", "v")
             .agg(F.expr("sum(s) as s"), F.expr("sum(t) as t"))
         )
         exact = counted.selectExpr(
@@ -350,7 +376,7 @@ class Comparison:
         before and the start of the one after. A window over one stretch thus sees
         a number of values bounded by the limit.
         """
-        group = [*self._key_slots, "lone", "c"]
+        group = [*self._key_slots, "lone", "parts", "c"]
         limits = " ".join(
             f"when {i} then {self._held(f'{limit:f}BD')}"
             for i, limit in enumerate(self._allowed)
@@ -448,8 +474,8 @@ class Comparison:
             *[f"sum({n}) + {on_keys.get(n, 0)} as {n}" for n in singles.columns]
         )
 
-    def _repeated_figures(self) -> DataFrame:
-        """Kept and equal pairs and unsound rows per column, out of repeated keys."""
+    def _repeated_groups(self) -> DataFrame:
+        """Per repeated key and column the rows of each side and the equal pairs."""
         group = [*self._key_slots, "lone", "c"]
         counts = self._value_counts().selectExpr(
             *group, "v is null as missing", "s", "t", "s_hits"
@@ -459,7 +485,7 @@ class Comparison:
             counts = counts.groupBy(*group, "missing", "s_hits").agg(
                 F.expr("sum(s) as s"), F.expr("sum(t) as t")
             )
-        per_group = counts.groupBy(*group).agg(
+        return counts.groupBy(*group).agg(
             F.expr("sum(if(missing, 0, s)) as s_known"),
             F.expr("sum(if(missing, 0, t)) as t_known"),
             F.expr("sum(if(missing, s, 0)) as s_null"),
@@ -468,12 +494,15 @@ class Comparison:
             F.expr("max(s_hits) as most_hits"),
             F.expr("max_by(s, s_hits) as s_most"),
         )
+
+    def _repeated_figures(self) -> DataFrame:
+        """Kept and equal pairs and unsound rows per column, out of repeated keys."""
         kept = f"""case when s_known + s_null = 0 then {_wide('t_null')}
             when t_known + t_null = 0 then {_wide('s_null')}
             else {_wide('s_known')} * {_wide('t_known')}
                + {_wide('s_null')} * {_wide('t_null')} end"""
         sound = "if(most_hits > 0 and most_hits = t_known + t_null, s_most, 0)"
-        return per_group.groupBy("c").agg(
+        return self._repeated_groups().groupBy("c").agg(
             F.expr(f"sum({kept}) as kept"),
             F.expr("sum(equal) as equal"),
             F.expr(f"sum({_exact(f's_known + s_null - {sound}')}) as unsound"),
@@ -628,20 +657,24 @@ class Comparison:
             "kind",
         )
 
-    def _with_parts(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Adds in how many parts the rows of a key are handled, by their number."""
-        hot = self._repeated.hot.groupBy(
-            *[F.col(slot).alias(f"h_{slot}") for slot in self._key_slots]
-        ).agg(F.expr(f"cast(ceil(max(m + n) / {_HOT_ROWS}) as int) as held_parts"))
-        if self._may_broadcast_hot():
-            hot = F.broadcast(hot)
-        same_key = [f"{k} <=> h_{s}" for k, s in zip(keys, self._key_slots)]
-        return df.join(hot, F.expr(" and ".join(same_key)), "left").selectExpr(
-            *[f"`{name}`" for name in df.columns], "coalesce(held_parts, 1) as parts"
+    def differing_keys(self) -> DataFrame:
+        """Distinct keys with a differing cell, without listing the cells."""
+        self._require_columns()
+        equal = [self._equal(i) for i in range(len(self._slots))]
+        found = (
+            self._singles().filter(f"not ({' and '.join(equal)})").select(*self._key_slots)
         )
+        if self._repeated is not None:
+            s, t = _wide("s_known + s_null"), _wide("t_known + t_null")
+            found = found.unionByName(
+                self._repeated_groups()
+                .filter(f"s_known + s_null = 0 or t_known + t_null = 0 or equal < {s} * {t}")
+                .select(*self._key_slots)
+            )
+        return found.distinct().toDF(*self.keys)
 
     def _repeated_differences(self) -> DataFrame:
-        group = [*self._key_slots, "lone", "c"]
+        group = [*self._key_slots, "lone", "parts", "c"]
         counted = self._value_counts()
         stats = counted.groupBy(*group).agg(
             F.expr("sum(s) as m"),
@@ -655,12 +688,8 @@ class Comparison:
         same_group = [f"{name} <=> g_{name}" for name in group]
         if self._repeated.hot_size:
             # The values of a hot key meet their figures in several tasks.
-            counted = self._with_parts(counted, self._key_slots).selectExpr(
-                "*", "pmod(xxhash64(v), parts) as part"
-            )
-            stats = self._with_parts(
-                stats, [f"g_{slot}" for slot in self._key_slots]
-            ).selectExpr("*", "explode(sequence(0, parts - 1)) as g_part").drop("parts")
+            counted = counted.selectExpr("*", "pmod(xxhash64(v), parts) as part")
+            stats = stats.selectExpr("*", "explode(sequence(0, g_parts - 1)) as g_part")
             same_group.append("part = g_part")
         met = counted.join(stats, F.expr(" and ".join(same_group)))
 

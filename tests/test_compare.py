@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyframe.functions import substring_of
 from tallyframe.operators import (
@@ -77,6 +78,8 @@ def check_differences(spark, source, target, options=CompareOptions(), tolerance
         assert from_source == normal(by_source, column)
         assert from_target == normal(by_target, column)
     assert len(cells) <= 2 * (len(source) + len(target)), len(pairs)
+    differing = Comparison(left, right, "k", options).differing_keys()
+    assert rows(differing) == sorted({(c["k"],) for c in cells}, key=repr)
 
 
 def as_text(value):
@@ -124,6 +127,33 @@ def test_repeated_keys_that_must_be_shuffled(spark, never_broadcast):
     check_differences(spark, source, target)
 
 
+def test_shuffled_repeated_keys_cost_no_shuffle_of_rows(spark, never_broadcast):
+    """The join that drops them and the one in which the sides meet share theirs."""
+    sides = [spark.range(n).selectExpr("id % 40 as k", "id as a", "id as b") for n in (50, 60)]
+    comparison = Comparison(*sides, "k")
+    plan = comparison._singles()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 3
+    assert plan.count("Exchange hashpartitioning") == 4  # two of rows, two of keys
+    assert "Broadcast" not in plan and "Aggregate" not in plan
+    whole = comparison.column_summary()._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in whole and "Broadcast" not in whole
+
+
+def test_hot_keys_are_shared_by_tasks(spark, never_broadcast, monkeypatch):
+    monkeypatch.setattr(compare, "_HOT_ROWS", 1000)
+    side = spark.range(0, 8000, 1, 8).selectExpr("if(id % 2 = 0, -1, id div 4) as k", "id as a")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        comparison = Comparison(side, side, "k")
+        repeated = comparison._repeated_on("m")
+        hot = comparison._meet_hot(comparison._source, repeated.filter("hot"), "inner")
+        placed = hot.filter("k0 = -1").groupBy(F.spark_partition_id().alias("task")).count()
+        held = [r["count"] for r in placed.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(held) == 4000 and len(held) > 1 and max(held) < 4000
+
+
 @pytest.mark.parametrize("limit", ["-1", "HOT", "10MB"])
 def test_hot_keys_beside_other_repeated_keys(spark, never_broadcast, monkeypatch, limit):
     # Between the bytes of the one hot key and those of all repeated keys.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions import substring_of
 from tallyframe.operators import (
     CompareOptions,
+    Comparison,
     compare_columns,
     compare_one_column,
     count_validation,
@@ -16,7 +17,6 @@ from tallyframe.operators import (
     drill_down,
     duplicate_keys,
     duplicate_validation,
-    failing_keys,
     flatten,
     key_counts,
     null_value_check,
@@ -418,7 +418,7 @@ def compare_tolerance_mixed(spark, folder):
 @registered("drill_down")
 def drill_down_target(spark, folder):
     source, target = order_pair(spark, folder)
-    failing = failing_keys(data_compare(source, target, "k"), "k")
+    failing = Comparison(source, target, "k").differing_keys()
     return drill_down(target, failing, "k").withColumn(
         "price", F.col("price").cast("string")
     )
