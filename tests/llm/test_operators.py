@@ -214,6 +214,44 @@ def test_language_model_chances_add_up():
     assert math.isclose(np.exp(lm.log_chances(model, hashes, *model.place(every))).sum(), 1, rel_tol=1e-4)
 
 
+def test_words_over_the_end_of_a_piece_are_whole():
+    """Ids by the definition: a polynomial sum, the length, and the last two bytes."""
+    def plain(word):
+        total = sum(int(lm._NUMBER[b]) * pow(lm._BASE, i, 1 << 64) for i, b in enumerate(word)) + len(word) - 1
+        ends = word[-1] * 256 + (word[-2] if len(word) > 1 else 0)
+        whole, suffix = (int(lm._mixed(np.array([x % (1 << 64)], np.uint64))[0]) for x in (total, ends))
+        return whole // lm.OPEN * lm.OPEN + suffix % lm.OPEN
+
+    piece, power = lm._PIECE, [1]
+    letters = np.random.default_rng(7).integers(97, 123, 1 << 22, dtype=np.uint8).tobytes()
+    large = letters[: 2 * piece + 12345]
+    for _ in range(len(large)):
+        power.append(power[-1] * lm._BASE % (1 << 64))
+    sums = lambda word: sum(int(lm._NUMBER[b]) * p for b, p in zip(word, power, strict=False))
+    first = [b"Ab"] * ((piece - 50_000) // 3)
+    words = [*first, letters[:100_000], b"c", large, b"d"]
+    texts = [b" ".join(words), b"x" * 7, b"", b"e" * (piece - 3), b"fg"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    ids, counts = lm.tokens(data, offsets)
+    assert counts.tolist() == [len(words) + 1, 2, 1, 2, 2]
+    total = sums(large) + len(large) - 1
+    whole = int(lm._mixed(np.array([total % (1 << 64)], np.uint64))[0]) // lm.OPEN
+    assert [int(x) // lm.OPEN for x in ids[len(first) + 2 : len(first) + 3]] == [whole]
+    end = int(lm.END)
+    assert ids[len(first)] == plain(letters[:100_000]) and ids[0] == plain(b"ab")
+    assert ids[len(first) + 3 : len(first) + 8].tolist() == [plain(b"d"), end, plain(b"x" * 7), end, end]
+    # Wherever a piece ends, at the edges of words and texts too.
+    for cut in range(2, 9):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(lm, "_PIECE", cut)
+            small = [b"ab cde  f", b"ghijklmnopqrst", b"", b"uv", b" w"]
+            flat = np.frombuffer(b"".join(small), np.uint8)
+            ids, counts = lm.tokens(flat, np.concatenate([[0], np.cumsum([len(t) for t in small])]))
+        want = [x for t in small for x in [*map(plain, t.split()), end]]
+        assert ids.tolist() == want and counts.tolist() == [len(t.split()) + 1 for t in small]
+
+
 def test_sharding(documents):
     rows = pairs(documents)
     got = sharding.shard(documents, shards=5).collect()
