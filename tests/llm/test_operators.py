@@ -252,6 +252,33 @@ def test_words_over_the_end_of_a_piece_are_whole():
         assert ids.tolist() == want and counts.tolist() == [len(t.split()) + 1 for t in small]
 
 
+def test_every_word_seen_often_has_weights(spark):
+    """Words beyond the most frequent 1,024 get the chance that the word before them gives."""
+    rng = np.random.default_rng(9)
+    pairs_ = [(f"first{i}", f"second{i}") for i in range(1500)]
+    order = rng.permutation(np.repeat(np.arange(1500), 24))
+    texts = [" ".join(f"{pairs_[j][0]} {pairs_[j][1]}" for j in order[i : i + 40].tolist()) for i in range(0, len(order), 40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = lm.block_words(docs.select(F.lit(0).cast("long").alias("block"), F.lit(False).alias("held_out"), F.col("text").cast("binary").alias("text")))
+    model = lm.start_model(counts.select("id", "n").cache())
+    assert len(model.words) + len(model.tree.words) == 3001 and model.tree.sizes.sum() == len(model.tree.words)
+    trainer = lm.Trainer(model)
+    ids, sizes = lm.tokens(np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)]))
+    for _ in range(4):
+        trainer.learn(ids, lm._before(sizes))
+    learnt = trainer.model
+    hashes, (kind, place), (leaf, own) = lm.features(ids, lm._before(sizes)), learnt.place(ids), learnt.tree.leaf(ids)
+    rare = np.flatnonzero(own & (place < 0) & (lm._before(sizes) % 2 == 1))  # second words
+    chance = lambda tree: tree.log_chances(hashes[:, rare], kind[rare] - lm.CLASSES, leaf[rare]).mean()
+    assert len(rare) > 10_000 and chance(learnt.tree) > chance(model.tree) + 1
+    # After any words, a class's leaves add up to one.
+    for open_ in range(lm.OPEN):
+        every = np.arange(learnt.tree.sizes[open_] + 1)
+        same = np.repeat(hashes[:, 7:8], len(every), axis=1)
+        assert math.isclose(np.exp(learnt.tree.log_chances(same, np.full(len(every), open_), every)).sum(), 1, rel_tol=1e-5)
+    assert lm._size(lm._ROWS, lm._ROWS_PER_WORD * 100_000) > lm._ROWS
+
+
 def test_sharding(documents):
     rows = pairs(documents)
     got = sharding.shard(documents, shards=5).collect()
