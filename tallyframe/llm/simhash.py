@@ -265,30 +265,54 @@ def near_copies(
     component of null ids only has a null ``component_id``. Repeated rows stay, each
     with the same result; ties do not arise. An empty table gives none.
     """
+    return _classes(df, shingle, radius, text, id).select(
+        F.col("doc_id").alias(id), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _classes(df: DataFrame, shingle: int, radius: int, text: str, id: str) -> DataFrame:
+    """``(doc_id, fingerprint, digest, root, component_id)`` of each row; roots tell components apart."""
     plain = df.select(column_of(df, id).alias("doc_id"), column_of(df, text).alias("text"))
-    given = fingerprints(plain, shingle).select("doc_id", "fingerprint")
+    given = fingerprints(plain, shingle).select("doc_id", "fingerprint", F.xxhash64("text").alias("digest"))
     given = store(given, "fingerprints")
     roots = components(fingerprint_links(given, radius))
     least = given.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     least = least.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     least = least.withColumn("root", F.coalesce("root", "fingerprint"))
     class_of = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    least = least.join(class_of, "root").select("fingerprint", "component_id")
-    return given.join(least, "fingerprint").select(
-        F.col("doc_id").alias(id), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    least = least.join(class_of, "root").select("fingerprint", "root", "component_id")
+    return given.join(least, "fingerprint")
 
 
 def one_of_each(
     df: DataFrame, shingle: int = 3, radius: int = 2, text: str = "text", id: str = "doc_id"
 ) -> DataFrame:
-    """The rows without near copies: of each component the document of the smallest id.
+    """The rows without near copies: one row of each component.
 
-    Rows that repeat that id are the same document and stay. Rows without an id
-    cannot be the one that stands for a component and cannot be told apart, so they
-    all stay too. Columns stay as they are.
+    It is the one of the smallest id, null ids last; then of the least fingerprint and
+    the least hash of the text; of rows alike in id and text that of the least hash of
+    all columns but maps. Columns stay as they are.
     """
-    classes = near_copies(df, shingle, radius, text, id)
-    gone = classes.where(column_of(classes, id) != F.col("component_id"))
-    gone = gone.select(column_of(gone, id).alias("_gone")).distinct()
-    return df.join(gone, column_of(df, id) == gone["_gone"], "left_anti")
+    classes = store(_classes(df, shingle, radius, text, id), "classes")
+    rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "fingerprint", "digest")
+    first = classes.groupBy("root").agg(F.min(rank).alias("first"))
+    first = first.select("root", F.col("first.doc_id").alias("own"), F.col("first.digest").alias("text"))
+    # Rows alike in id and text have one fingerprint, so all of them are in one component.
+    rows = classes.groupBy("root", "doc_id", "digest").agg(F.count("*").alias("n")).join(first, "root")
+    stands = F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("digest") == F.col("text"))
+    keys = rows.where(~stands | (F.col("n") > 1)).select(
+        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), stands.alias("_stands")
+    )
+    keys = store(keys, "copies")
+    own, digest = column_of(df, id), F.xxhash64(column_of(df, text))
+    same = lambda found: own.eqNullSafe(found["_id"]) & (digest == found["_digest"])
+    kept = df.join(keys, same(keys), "left_anti")
+    repeated = keys.where("_stands")
+    if repeated.isEmpty():
+        return kept
+    hashed = [column_of(df, f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    alike = df.join(repeated, same(repeated), "left_semi")
+    alike = alike.groupBy(own.alias("_id"), digest.alias("_digest")).agg(
+        F.min_by(F.struct(*(column_of(df, c) for c in df.columns)), F.xxhash64(*hashed)).alias("_row")
+    )
+    return kept.unionByName(alike.select("_row.*"))

@@ -102,6 +102,18 @@ def test_simhash(documents):
     assert {r["doc_id"] for r in kept.collect()} == {id_ for id_, _ in rows} - gone
 
 
+def test_one_row_of_each_component(spark):
+    a, b, c, d = (f"{x} some words of a text that is {x} and no other one" for x in ("red", "green", "blue", "brown"))
+    rows = [(None, a, 1), (None, a, 2), (None, a.upper(), 3)]  # without ids
+    rows += [(7, b, 4), (3, b, 5), (7, c, 6), (None, c, 7), (8, c, 8)]  # 7 is a copy of 3, and stands for c
+    rows += [(9, d, 9), (9, d, 9), (9, d.upper(), 10)]  # one id, repeated as it is and in other letters
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, n int"))
+    got = [tuple(r) for r in kept.collect()]
+    assert kept.columns == ["doc_id", "text", "n"] and len(got) == 4
+    assert Counter((i, t.lower()) for i, t, _ in got) == Counter([(None, a), (3, b), (7, c), (9, d)])
+    assert set(got) <= set(rows)
+
+
 @pytest.mark.parametrize("tile", [1 << 14, 8])
 def test_links_of_a_large_bucket(spark, tile):
     rng = np.random.default_rng(2)
