@@ -30,7 +30,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that three or more of them share."""
     small_batches(spark)
-    made = line_dedup.drop_shared_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    made = line_dedup.drop_shared_lines(docs, by_id=True).withColumn("n_chars", F.length("text").cast("long"))
     return made.select(*docs.columns)
 
 

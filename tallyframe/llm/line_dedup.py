@@ -128,7 +128,8 @@ def twice_seen(hashes: DataFrame, bits: int, builders: int) -> np.ndarray:
 
 
 def drop_shared_lines(
-    df: DataFrame, documents: int = 3, shortest: int = 20, text: str = "text", id: str = "doc_id"
+    df: DataFrame, documents: int = 3, shortest: int = 20, text: str = "text", id: str = "doc_id",
+    by_id: bool = False,
 ) -> DataFrame:
     """Each row with the text's remaining lines, ``n_lines`` and ``n_dropped``.
 
@@ -142,6 +143,9 @@ def drop_shared_lines(
     repeated rows count each, and all that share the largest id keep their lines.
     Null ids come before all others. Extra columns stay, but those named as the
     results. An empty table gives none.
+
+    With ``by_id`` rows of one id are one document, and a key must stand under
+    ``documents`` ids other than null, as ``count(distinct id)`` has it.
     """
     context = df.sparkSession.sparkContext
 
@@ -169,7 +173,10 @@ def drop_shared_lines(
                                    T.StructField("lines", T.ArrayType(T.IntegerType()))])
     )
     suspects = store(suspects, "suspect-lines")
-    shared_keys = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
+    holders = suspects.select("key", "doc_id")
+    if by_id:
+        holders = holders.where(F.col("doc_id").isNotNull()).distinct()
+    shared_keys = holders.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
     # Stored, so that both sides of the join are shuffled plainly and a hot key is split.
     shared_keys = store(shared_keys.where(F.col("n") >= documents).select("key", "last"), "shared-lines")
     gone = suspects.join(shared_keys, "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))

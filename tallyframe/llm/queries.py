@@ -48,7 +48,7 @@ def op1_max_entropy(spark, folder):
 def op2_line_dedup(spark, folder):
     """Documents without lines that three or more share, as digests."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return line_dedup.drop_shared_lines(docs, documents=3, shortest=20).select(
+    return line_dedup.drop_shared_lines(docs, documents=3, shortest=20, by_id=True).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
     )
 

@@ -59,6 +59,28 @@ def test_line_dedup(documents):
     assert got == want and len(last) > 0
 
 
+def test_lines_of_repeated_ids(spark, tmp_path):
+    """Rows of one id are one document for the registered query, as for its SQL."""
+    import corpus_pipeline
+    from tallyframe.llm.queries import llm_oracles, llm_queries
+    from tools.check_oracles import open_engine
+
+    two, three = "A line that only two documents hold.", "A line that three documents hold."
+    held = [(5, two), (5, two), (7, two), (1, three), (1, three), (2, three), (4, three), (None, two)]
+    rows = [(i, f"{t}\nown {n}", "en", "src0", len(t)) for n, (i, t) in enumerate(held)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    engine = open_engine(str(tmp_path))
+    want = {r[0]: r[2] for r in engine.execute(f"with o as ({llm_oracles()['op2_line_dedup']}) select doc_id, n_lines, n_dropped from o").fetchall()}
+    made = llm_queries()["op2_line_dedup"](spark, str(tmp_path))
+    got = Counter()
+    for r in made.collect():
+        got[r["doc_id"]] += r["n_dropped"]
+    assert got == Counter(want) and want == {5: 0, 7: 0, 1: 2, 2: 1, 4: 0, None: 0}
+    stage = corpus_pipeline.line_stage(spark, docs, str(tmp_path)).where("doc_id = 5 or doc_id = 7")
+    assert all(two in r["text"] for r in stage.collect())
+
+
 def test_bloom_filters_never_miss():
     rng = np.random.default_rng(0)
     hashes = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
