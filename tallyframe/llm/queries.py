@@ -187,7 +187,7 @@ def op6_sharding(spark, folder):
 @registered
 def op7_top_k(spark, folder):
     """The 20 best inner products of every twentieth vector with all others."""
-    return topk.top_k(table(spark, folder, "embeddings"), k=20, scale=64, every=20)
+    return topk.top_k(table(spark, folder, "embeddings"), k=20, scale=64, every=20, whole=True)
 
 
 _SQL["op7_top_k"] = """

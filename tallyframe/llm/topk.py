@@ -24,20 +24,29 @@ from tallyframe.llm.rows import column_of, store
 
 BLOCK_ROWS = 1 << 15
 GROUP_QUERIES = 256
-#: Quantised components are held to this, so that sums of products fit a long.
+#: Unless asked for whole, quantised components are held to this.
 _LARGEST = 1 << 24
+_LIMB = 60
 _BLOCK = "block long, n int, dims int, planes binary, widths binary, least binary, ids binary"
 
 
-def quantised(df: DataFrame, scale: int, vector: str, id: str) -> DataFrame:
+def quantised(df: DataFrame, scale: int, vector: str, id: str, whole: bool = False) -> DataFrame:
     """``(vec_id, x)`` with x = floor(scale * component) of the rows that take part.
 
     Those are the rows with an id and a vector without null, NaN or infinite
-    components. Integers beyond 2 ** 24 count as that, with their sign.
+    components. Integers beyond 2 ** 24 count as that, with their sign, and rows with
+    empty vectors are left out. With ``whole`` neither holds: integers stay as they are,
+    one beyond a long is an error, and an empty vector's scores are 0.
     """
     given = df.select(column_of(df, id).cast("long").alias("vec_id"), column_of(df, vector).alias("v"))
-    whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
-    given = given.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(whole)
+    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
+    given = given.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(finite)
+    if whole:
+        fits = lambda x: F.abs(x.cast("double") * scale) < float(1 << 63)
+        error = F.raise_error(F.lit("a quantised component exceeds a long")).cast("long")
+        number = lambda x: F.when(fits(x), F.floor(x.cast("double") * scale).cast("long")).otherwise(error)
+        return given.select("vec_id", F.transform("v", number).alias("x"))
+    given = given.where(F.size("v") > 0)
     whole_number = lambda x: F.floor(
         F.greatest(F.lit(-float(_LARGEST)), F.least(F.lit(float(_LARGEST)), x.cast("double") * scale))
     ).cast("long")
@@ -70,14 +79,15 @@ def slices(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def build_index(
-    df: DataFrame, scale: int = 64, vector: str = "embedding", id: str = "vec_id", block_rows: int = BLOCK_ROWS
+    df: DataFrame, scale: int = 64, vector: str = "embedding", id: str = "vec_id", block_rows: int = BLOCK_ROWS,
+    whole: bool = False,
 ) -> DataFrame:
     """The index: a row of bitmaps per block of about ``block_rows`` vectors.
 
     Vectors are dealt to blocks by a hash of the id and the vector. Shorter vectors
     count as filled up with zeros. Repeated rows are rows of their own.
     """
-    rows = quantised(df, scale, vector, id)
+    rows = quantised(df, scale, vector, id, whole)
     rows = store(rows, "quantised")
     blocks = max(1, -(-rows.count() // block_rows))
     place = F.pmod(F.xxhash64("vec_id", "x"), F.lit(blocks))
@@ -171,12 +181,14 @@ class Block:
                     break
         rows = np.flatnonzero(np.unpackbits((sure | left).view(np.uint8), bitorder="little"))
         word, place = rows // 64, (rows % 64).astype(np.uint64)
-        exact = np.zeros(len(rows), np.int64)
+        # Sums may pass a long, so they are held in limbs.
+        exact = np.zeros((-(-len(total) // _LIMB), len(rows)), np.int64)
         for bit, plane in enumerate(total):
-            exact += ((plane[word] >> place & np.uint64(1)) << np.uint64(bit)).astype(np.int64)
+            exact[bit // _LIMB] += ((plane[word] >> place & np.uint64(1)) << np.uint64(bit % _LIMB)).astype(np.int64)
         ids = self.ids[rows]
-        order = np.lexsort((ids, -exact))[:k]
-        return [(base + int(exact[i]), int(ids[i])) for i in order]
+        order = np.lexsort((ids, *-exact))[:k]
+        sums = [sum(int(x) << _LIMB * limb for limb, x in enumerate(exact[:, i])) for i in order]
+        return [(base + score, int(ids[i])) for score, i in zip(sums, order, strict=True)]
 
 
 def _count(columns: list[list[np.ndarray]], place: int, bits: np.ndarray) -> None:
@@ -242,13 +254,15 @@ def search(
 
 
 def top_k(
-    df: DataFrame, k: int = 20, scale: int = 64, every: int = 20, vector: str = "embedding", id: str = "vec_id"
+    df: DataFrame, k: int = 20, scale: int = 64, every: int = 20, vector: str = "embedding", id: str = "vec_id",
+    whole: bool = False,
 ) -> DataFrame:
     """Index all vectors and search it with those whose id ``every`` divides.
 
     See :func:`quantised` for the rows that take part, :func:`search` for the result.
+    A score beyond a long among the best of a block is an error.
     An empty table gives no rows.
     """
-    index = store(build_index(df, scale, vector, id), "index")
-    queries = quantised(df, scale, vector, id).where(F.pmod("vec_id", F.lit(every)) == 0)
+    index = store(build_index(df, scale, vector, id, whole=whole), "index")
+    queries = quantised(df, scale, vector, id, whole).where(F.pmod("vec_id", F.lit(every)) == 0)
     return search(index, queries, k)

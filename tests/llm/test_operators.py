@@ -364,6 +364,34 @@ def test_top_k(spark):
     assert sorted(tuple(r) for r in topk.search(index, queries, group_queries=4).collect()) == sorted(want)
 
 
+def test_top_k_of_large_components(spark):
+    """Scores by the contract: no component is held to a bound, empty vectors take part."""
+    rng = np.random.default_rng(16)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** rng.integers(0, 7)).tolist()) for i in range(120)]
+    # Differences within a dimension that pass a long, under queries that are zero there.
+    rows += [(200, [0.0] * 6), (221, [1.4e17, 0.0]), (222, [-1.4e17, 0.0]), (240, []), (301, [])]
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    small = {i: x for i, x in whole.items() if i not in (221, 222)}
+
+    def best(held, asked):
+        want = []
+        for q in asked:
+            scored = sorted((-sum(a * b for a, b in zip(held[q], y, strict=False)), i) for i, y in held.items() if i != q)
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:20])]
+        return sorted(want)
+
+    made = topk.top_k(frame.where("vec_id not in (221, 222)"), whole=True)
+    assert sorted(map(tuple, made.collect())) == best(small, [q for q in small if q % 20 == 0])
+    index = topk.build_index(frame, whole=True)
+    zero = topk.quantised(frame, 64, "embedding", "vec_id", whole=True).where("vec_id in (200, 240)")
+    assert sorted(map(tuple, topk.search(index, zero).collect())) == best(whole, [200, 240])
+    x = np.array([[v[0]] for v in ([9 << 58], [-(9 << 58)], [5])], np.int64)
+    least, widths, planes = topk.slices(x)
+    block = topk.Block(3, 1, planes.tobytes(), widths.tobytes(), least.tobytes(), np.arange(3, dtype="<i8").tobytes())
+    assert block.best(9, np.array([-(1 << 62)]), 3) == [(9 << 120, 1), (-(5 << 62), 2), (-(9 << 120), 0)]
+
+
 @pytest.mark.parametrize("hot", [20_000, 2])
 def test_suffix_dedup(documents, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT_RUNS", hot)
