@@ -171,6 +171,31 @@ def test_bpe_equals_the_rank_library(spark, documents):
     assert all(bytes(r["decoded"]) == (r["text"] or "").encode() for r in made.select("decoded", "text").collect())
 
 
+def test_ids_of_long_texts_equal_the_rank_library(documents, monkeypatch):
+    """Long pre-tokens, and texts that are taken a part at a time."""
+    import public_tokenizers
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = bpe.read_ranks(path)
+    known = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={b: i for i, b in enumerate(ranks)}, special_tokens={}
+    )
+    encoder = lambda: bpe.PieceEncoder(bpe.piece_model(ranks), ranks, public_tokenizers.PATTERN)
+    texts = [t or "" for _, t in pairs(documents)]
+    letters = np.random.default_rng(11).choice(list("etaoinshrdlu"), 30_000)
+    texts += ["".join(letters), "\u00e9" * 20_000, "a b" + " " * 5000 + "c"]
+    want = [known.encode_ordinary(t) for t in texts]
+    ids = lambda packed: [np.frombuffer(x, "<u4").tolist() for x in packed]
+    assert max(map(len, texts)) >= 100_000 and ids(encoder().encode(texts)) == want
+    monkeypatch.setattr(bpe, "_TOGETHER", 50)
+    monkeypatch.setattr(bpe, "_AT_ONCE", 7)
+    taken = []
+    long = bpe.PieceEncoder._long
+    monkeypatch.setattr(bpe.PieceEncoder, "_long", lambda self, text: taken.append(text) or long(self, text))
+    assert ids(encoder().encode(texts)) == want and len(taken) == sum(len(t) > 50 for t in texts)
+
+
 def test_quality_separates_lines(spark):
     rng = np.random.default_rng(1)
     word = lambda: "".join(rng.choice(list("aeinrst"), rng.integers(2, 8)))
