@@ -335,7 +335,7 @@ def test_every_word_seen_often_has_weights(spark):
         every = np.arange(learnt.tree.sizes[open_] + 1)
         same = np.repeat(hashes[:, 7:8], len(every), axis=1)
         assert math.isclose(np.exp(learnt.tree.log_chances(same, np.full(len(every), open_), every)).sum(), 1, rel_tol=1e-5)
-    assert lm._size(lm._ROWS, lm._ROWS_PER_WORD * 100_000) > lm._ROWS
+    assert lm._size(lm._ROWS, lm._ROWS_PER_WORD * 1_000_000) > lm._ROWS
 
 
 def test_sharding(documents):
