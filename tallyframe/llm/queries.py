@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, line_dedup, lm, mixing, quality, sharding, simhash, suffix_dedup, topk, winnowing
+from tallyframe.llm import bpe, line_dedup, lm, mixing, periodic, quality, sharding, simhash, suffix_dedup, topk, winnowing
 from tallyframe.llm.rows import small_batches
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +227,31 @@ def op9_winnowing(spark, folder):
 def op10_simhash(spark, folder):
     """SimHash fingerprints of 3-word shingles, linked at two bits."""
     return simhash.near_copies(table(spark, folder, "documents"), shingle=3, radius=2)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents, of every tenth hash of ids the words from some place on repeating those there."""
+    id_hash = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    n, g = F.size("_words"), F.floor(F.col("_hash") / 10)
+    first = (g % n).cast("int")
+    period = (F.floor((n - F.col("_first")) / (g % 8 + 3)) + 1).cast("int")
+    place = lambda i: F.when(i < F.col("_first"), i).otherwise(F.col("_first") + (i - F.col("_first")) % F.col("_period"))
+    planted = F.concat_ws(" ", F.transform("_words", lambda w, i: F.get("_words", place(i))))
+    held = docs.withColumn("_hash", id_hash).withColumn("_words", F.when(F.col("_hash") % 10 == 0, words))
+    held = held.withColumn("_first", F.when(n > 0, first)).withColumn("_period", F.when(n > 0, period))
+    return held.withColumn("text", F.when(F.col("_period").isNotNull(), planted).otherwise(F.col("text"))).select(*docs.columns)
+
+
+@registered
+def op12_periodic_runs(spark, folder):
+    """Periodic runs of words in documents, some of them planted, and what is left without them."""
+    docs = with_planted_runs(table(spark, folder, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs, least=12).withColumn("best", periodic.greatest_run("runs"))
+    line = lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", line)).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
