@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, line_dedup, lm, mixing, periodic, quality, sharding, simhash, suffix_dedup, topk, winnowing
+from tallyframe.llm import bpe, crosspolytope, line_dedup, lm, mixing, periodic, quality, sharding, simhash, suffix_dedup, topk, winnowing
 from tallyframe.llm.rows import small_batches
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -255,3 +255,32 @@ def op12_periodic_runs(spark, folder):
         F.sha2(F.concat_ws("", F.transform("runs", line)).cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@registered
+def op11_cross_polytope(spark, folder):
+    """Groups of vectors that links at a cosine of 0.9 join."""
+    return crosspolytope.near_vectors(table(spark, folder, "embeddings"), cosine=0.9)
+
+
+_SQL["op11_cross_polytope"] = """
+with recursive good as (
+  select vec_id, cast(embedding as double[]) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from good a join good b on a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= 0.9
+), reach as (
+  select distinct a as node, a as other from links
+  union
+  select r.node, l.b as other from reach r join links l on r.other = l.a
+), counted as (
+  select a, count(*) as n from links group by a
+), least as (
+  select node, min(other) as least from reach group by node
+)
+select e.vec_id, coalesce(c.n, 0) as n_links, coalesce(l.least, e.vec_id) as component_id,
+  e.vec_id = coalesce(l.least, e.vec_id) as kept
+from embeddings e left join counted c on c.a = e.vec_id left join least l on l.node = e.vec_id
+"""
