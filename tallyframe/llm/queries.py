@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, crosspolytope, line_dedup, lm, mixing, periodic, quality, sharding, simhash, suffix_dedup, topk, winnowing
+from tallyframe.llm import bpe, crosspolytope, line_dedup, lm, mixing, periodic, quality, sharding, simhash, suffix_dedup, topk, whitening, winnowing
 from tallyframe.llm.rows import small_batches
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -284,3 +284,16 @@ select e.vec_id, coalesce(c.n, 0) as n_links, coalesce(l.least, e.vec_id) as com
   e.vec_id = coalesce(l.least, e.vec_id) as kept
 from embeddings e left join counted c on c.a = e.vec_id left join least l on l.node = e.vec_id
 """
+
+
+@registered
+def op13_whitening(spark, folder):
+    """Vectors whitened by the eight leading eigenvectors of their covariance, a row each."""
+    rows, model, error = whitening.whiten(table(spark, folder, "embeddings"), components=8, scale=1024, offset=100_000)
+    shares = F.lit([v / model.trace for v in model.values.tolist()] if model else []).cast("array<double>")
+    return rows.select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")
+    ).select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.mean.n if model else 0).cast("long").alias("n"),
+        "deviation", "whitened", F.get(shares, F.col("place")).alias("explained"), F.lit(error).alias("identity_error"),
+    )
