@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyframe.functions.columns import split_columns
+from tallyframe.functions.columns import column_of, find_field, split_columns
 from tallyframe.operators.quality import null_value_check, repeated_values, value_counts
 from tallyframe.results import COUNT, UNIQUE, Names, result_row, spread, union_all
 
@@ -44,21 +44,27 @@ def check_stream(
     checks, values = _folders(results_path)
 
     def check_batch(batch: DataFrame, batch_id: int) -> None:
-        counted = result_row(
-            COUNT, names, "0", ",".join(keys) or "*", target_records="records"
-        )
-        parts = [spread(batch.selectExpr("count(1) as records"), [counted])]
-        if null_columns:
-            parts.append(null_value_check(batch, null_columns, names))
-        union_all(parts).coalesce(1).write.mode("overwrite").parquet(
-            f"{checks}/batch_id={batch_id}"
-        )
-        held = (
-            value_counts(batch, unique_columns)
-            if unique_columns
-            else batch.sparkSession.createDataFrame([], _VALUE_COUNTS)
-        )
-        held.write.mode("overwrite").parquet(f"{values}/batch_id={batch_id}")
+        # Read once, whatever the number of checks.
+        batch = batch.select(*{find_field(batch, c).name: column_of(batch, c) for c in [*null_columns, *unique_columns]}.values())
+        held = batch.persist()
+        try:
+            counted = result_row(
+                COUNT, names, "0", ",".join(keys) or "*", target_records="records"
+            )
+            parts = [spread(held.selectExpr("count(1) as records"), [counted])]
+            if null_columns:
+                parts.append(null_value_check(held, null_columns, names))
+            union_all(parts).coalesce(1).write.mode("overwrite").parquet(
+                f"{checks}/batch_id={batch_id}"
+            )
+            values_of = (
+                value_counts(held, unique_columns)
+                if unique_columns
+                else held.sparkSession.createDataFrame([], _VALUE_COUNTS)
+            )
+            values_of.write.mode("overwrite").parquet(f"{values}/batch_id={batch_id}")
+        finally:
+            held.unpersist()
 
     return (
         stream.writeStream.foreachBatch(check_batch)

@@ -460,4 +460,23 @@ target_records, failed_records from (
 {null_row('events', 'props', NULL_TEXT, 'events')} union all
 {unique_row('events', 'event_id', 'events')} union all
 {unique_row('events', 'user_id', 'events')})""",
+        "stream_duplicate_keys": """with e as (
+  select *, ts - lag(ts) over (partition by user_id, event_type order by ts) as gap from events
+), placed as (
+  select *, sum(case when gap <= interval 2 hour then 0 else 1 end) over (
+    partition by user_id, event_type order by ts, event_id rows unbounded preceding) as stretch
+  from e
+)
+select user_id, event_type, min(ts) as first, max(ts) as last, count(*) as rows
+from placed group by user_id, event_type, stretch
+having count(*) > 1
+  and max(ts) + interval 2 hour <= (select max(ts) from events) - interval 1 hour""",
+        "stream_only_in_source_keys": """with e as (
+  select *, cast(date_trunc('day', ts) as timestamp) as window_start, event_id % 2 = 0 as even from events
+), closed as (
+  select least(max(ts) filter (where even), max(ts) filter (where not even)) - interval 1 hour as until from e
+)
+select window_start, user_id, count(*) filter (where even) as source_count
+from e where window_start + interval 1 day <= (select until from closed)
+group by window_start, user_id having count(*) filter (where not even) = 0""",
     }

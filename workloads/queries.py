@@ -51,7 +51,13 @@ from tallyframe.sources import (
     write_results,
 )
 from tallyframe.sources.scratch import fresh_path, stored
-from tallyframe.streaming import check_stream, stream_totals
+from tallyframe.streaming import (
+    check_stream,
+    publish_stream,
+    stream_duplicate_keys,
+    stream_only_in_source,
+    stream_totals,
+)
 from workloads import inputs
 from workloads.inputs import line_pair, order_pair, sql, table
 
@@ -593,3 +599,48 @@ def stream_batch_checks(spark, folder):
         names=Names(target="events"),
     ).awaitTermination()
     return stream_totals(spark, results, source_records=events.count())
+
+
+def _in_two_deliveries(spark, frames, found):
+    """What a check finds on streams of these frames, first half of the month first.
+
+    Each delivery lands in the folder of its stream and is processed by a run of its own,
+    the second of which goes on with the state that the first one left.
+    """
+    folders = [fresh_path(spark, "stream-source") for _ in frames]
+    results, checkpoint = fresh_path(spark, "stream-results"), fresh_path(spark, "stream-checkpoint")
+    middle = F.lit("2024-01-16").cast("timestamp")
+    for delivery in (F.col("ts") < middle, F.col("ts") >= middle):
+        for frame, folder in zip(frames, folders):
+            frame.filter(delivery).write.mode("append").parquet(folder)
+        streams = [
+            spark.readStream.schema(frame.schema).parquet(folder)
+            for frame, folder in zip(frames, folders)
+        ]
+        publish_stream(found(*streams), results, checkpoint).awaitTermination()
+    return spark.read.parquet(results)
+
+
+@registered("stream_duplicate_keys")
+def stream_duplicate_users(spark, folder):
+    """Users with several events of a type, each within two hours of the one before."""
+    return _in_two_deliveries(
+        spark,
+        [table(spark, folder, "events")],
+        lambda events: stream_duplicate_keys(
+            events, "user_id, event_type", "ts", within="2 hours", delay="1 hour"
+        ),
+    )
+
+
+@registered("stream_only_in_source_keys")
+def stream_only_in_source_users(spark, folder):
+    """Users of a day with even events and without odd ones."""
+    events = table(spark, folder, "events")
+    return _in_two_deliveries(
+        spark,
+        [events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1")],
+        lambda source, target: stream_only_in_source(
+            source, target, "user_id", "ts", window="1 day", delay="1 hour"
+        ),
+    )
