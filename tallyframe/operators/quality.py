@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +17,7 @@ from tallyframe.functions.columns import (
 )
 from tallyframe.functions.rules import null_like
 from tallyframe.results import NULLS, UNIQUE, Names, result_row, spread, union_all
+from tallyframe.sources.scratch import stored
 
 # Every column adds a row per row and a slot per row to the expanded input, so
 # wide lists are split over several scans that each read their own columns.
@@ -64,41 +67,105 @@ def _grouping_number(position: int, width: int) -> int:
     return (2**width - 1) - 2 ** (width - 1 - position)
 
 
-def uniqueness_check(df: DataFrame, columns, names: Names = Names()) -> DataFrame:
-    """One result row per column with its number of repeated values."""
+# Types whose values can be long, so that digests stand for them where rows are dealt.
+_LONG_TYPES = (T.StringType, T.BinaryType, T.ArrayType, T.StructType)
+
+
+def value_digest(value: Column) -> Column:
+    """128 bits of a value, null for null."""
+    halves = F.struct(F.xxhash64(F.lit(1), value).alias("a"), F.xxhash64(F.lit(2), value).alias("b"))
+    return F.when(value.isNotNull(), halves)
+
+
+def uniqueness_check(
+    df: DataFrame, columns, names: Names = Names(), *, digest: Callable[[Column], Column] = value_digest
+) -> DataFrame:
+    """One result row per column with its number of repeated values.
+
+    Values of fixed size are counted as they are. Of long ones (text, bytes, arrays,
+    structs) only digests are, and a second pass counts the values whose digest repeats,
+    whole, so that digests that clash change nothing; where none repeats there is no
+    second pass. The figures of long columns so take a job while the frame is built.
+    """
     columns = require_columns(columns, "column to check for uniqueness")
+    long = [c for c in columns if isinstance(find_field(df, c).dataType, _LONG_TYPES)]
+    fixed = [c for c in columns if c not in long]
     parts = []
-    for start in range(0, len(columns), _COLUMNS_PER_SCAN):
-        chunk = columns[start : start + _COLUMNS_PER_SCAN]
-        numbers = [_grouping_number(i, len(chunk)) for i in range(len(chunk))]
-        totals = _value_counts(df, chunk).selectExpr(
-            *[
-                f"coalesce(sum(if(which = {number}, rows, null)), 0) as records_{i}"
-                for i, number in enumerate(numbers)
-            ],
-            *[
-                f"count_if(which = {number} and rows > 1) as repeated_{i}"
-                for i, number in enumerate(numbers)
-            ],
-        )
-        parts.append(
-            spread(
-                totals,
-                [
-                    result_row(
-                        UNIQUE,
-                        names,
-                        f"repeated_{i}",
-                        name,
-                        target_records=f"records_{i}",
-                    )
-                    for i, name in enumerate(chunk)
-                ],
+    for start in range(0, len(fixed), _COLUMNS_PER_SCAN):
+        chunk = fixed[start : start + _COLUMNS_PER_SCAN]
+        parts.append(_repeated_as_given(df, chunk, names))
+    for start in range(0, len(long), _COLUMNS_PER_SCAN):
+        chunk = long[start : start + _COLUMNS_PER_SCAN]
+        parts.append(_repeated_by_digest(df, chunk, names, digest))
+    return union_all(parts)
+
+
+def _repeated_as_given(df: DataFrame, columns: list[str], names: Names) -> DataFrame:
+    numbers = [_grouping_number(i, len(columns)) for i in range(len(columns))]
+    totals = _value_counts(df, columns).selectExpr(
+        *[
+            f"coalesce(sum(if(which = {number}, rows, null)), 0) as records_{i}"
+            for i, number in enumerate(numbers)
+        ],
+        *[
+            f"count_if(which = {number} and rows > 1) as repeated_{i}"
+            for i, number in enumerate(numbers)
+        ],
+    )
+    return spread(
+        totals,
+        [
+            result_row(UNIQUE, names, f"repeated_{i}", name, target_records=f"records_{i}")
+            for i, name in enumerate(columns)
+        ],
+    )
+
+
+def _repeated_by_digest(
+    df: DataFrame, columns: list[str], names: Names, digest: Callable[[Column], Column]
+) -> DataFrame:
+    slots = [f"c{i}" for i in range(len(columns))]
+    digests = df.select(*[digest(column_of(df, c)).alias(slot) for c, slot in zip(columns, slots)])
+    suspects, records = _suspects(_value_counts(digests, slots))
+    repeating = {row["which"] for row in suspects.select("which").distinct().collect()}
+    parts = []
+    for i, (column, slot) in enumerate(zip(columns, slots)):
+        number = _grouping_number(i, len(columns))
+        counted = df.sparkSession.range(1).selectExpr("bigint(0) as repeated")
+        if number in repeating:
+            suspected = suspects.filter(F.col("which") == number).select(ref(slot).alias("suspect"))
+            value = column_of(df, column)
+            counted = (
+                df.select(value.alias("value"))
+                .join(suspected, digest(F.col("value")).eqNullSafe(F.col("suspect")), "left_semi")
+                .groupBy("value")
+                .agg(F.count(F.lit(1)).alias("rows"))
+                .selectExpr("count_if(rows > 1) as repeated")
             )
+        parts.append(
+            spread(counted, [result_row(UNIQUE, names, "repeated", column, target_records=f"{records}L")])
         )
     return union_all(parts)
 
 
+def _suspects(counts: DataFrame) -> tuple[DataFrame, int]:
+    """The stored groups of several rows, and the number of rows of each column.
+
+    Spark broadcasts them to the second pass as long as they are small; beyond that the
+    rows meet them on a shuffle of the values.
+    """
+    seen = Observation()
+    total = F.sum(F.when(F.col("which") == F.col("first_set"), F.col("rows")))
+    observed = counts.withColumn("first_set", F.lit(_first_set(counts))).observe(seen, total.alias("records"))
+    suspects = stored(observed.filter("rows > 1").drop("first_set", "rows"))
+    return suspects, seen.get["records"] or 0
+
+
+def _first_set(counts: DataFrame) -> int:
+    """The grouping number of the first column of value counts."""
+    return _grouping_number(0, len(counts.columns) - 2)
+
+
 def _telling_text(df: DataFrame, name: str, slot: str) -> str:
     """A value as text that differs whenever values of the column do."""
     kind = find_field(df, name).dataType

@@ -1,8 +1,11 @@
 import datetime
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
 from tallyframe.operators import null_value_check, uniqueness_check
-from tallyframe.operators.quality import _COLUMNS_PER_SCAN
+from tallyframe.operators.quality import _COLUMNS_PER_SCAN, _value_counts, value_digest
 from tallyframe.results import Names
 from tests.helpers import results
 
@@ -81,3 +84,70 @@ def test_uniqueness_reads_once_and_shuffles_once(spark, tmp_path):
     plan = uniqueness_check(df, "a, b")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+LONG = "a string, b binary, c array<double>, d struct<x:int,y:string>, e int"
+LONG_ROWS = [
+    ("x", b"\x00", [0.0], (1, "p"), 1),
+    ("x", b"\x00", [-0.0], (1, None), 1),
+    ("xy", b"", [float("nan"), None], (1, None), 2),
+    (None, None, [float("nan"), None], None, None),
+    (None, b"\x01", [], None, None),
+    ("", None, None, (None, None), 3),
+    ("X", None, [0.0, 0.0], (2, "p"), 4),
+]
+LONG_REPEATS = {"a": 2, "b": 2, "c": 2, "d": 2, "e": 2}
+
+
+@pytest.mark.parametrize(
+    "digest",
+    [
+        value_digest,
+        # Digests of few values, so that nearly all rows clash.
+        lambda value: F.when(value.isNotNull(), F.length(F.hex(F.xxhash64(value)))),
+        lambda value: F.when(value.isNotNull(), F.lit(0)),
+        lambda value: F.lit(0),
+    ],
+)
+def test_uniqueness_of_long_values_by_digest(spark, digest):
+    df = spark.createDataFrame(LONG_ROWS, LONG).repartition(3)
+    checked = results(uniqueness_check(df, "e, a, b, c, d", digest=digest))
+    assert {name: figures[1:3] for (_, name), figures in checked.items()} == {
+        name: (7, repeated) for name, repeated in LONG_REPEATS.items()
+    }
+    alone = results(uniqueness_check(df, "c", digest=digest))
+    assert alone[3, "c"][1:3] == (7, 2)
+    assert results(uniqueness_check(df.filter("e > 9"), "a", digest=digest)) == {(3, "a"): (None, 0, 0, "pass")}
+
+
+def test_uniqueness_of_a_hot_text_without_broadcast(spark, never_broadcast):
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as a", "cast(id as string) as b")
+    assert results(uniqueness_check(df, "a, b")) == {
+        (3, "a"): (None, 3000, 1, "fail"),
+        (3, "b"): (None, 3000, 0, "pass"),
+    }
+
+
+def exchanged(df):
+    """What the exchanges of a plan get, as texts."""
+    plan = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    parts = [part for part in plan.split("\n\n") if "Exchange\n" in part and "Input" in part]
+    assert parts
+    return [line for part in parts for line in part.splitlines() if line.startswith("Input")]
+
+
+def test_uniqueness_deals_out_digests_only(spark, tmp_path):
+    spark.range(100).selectExpr("cast(id as string) as a", "if(id < 2, 'again', cast(id as string)) as b").write.parquet(f"{tmp_path}/x")
+    df = spark.read.parquet(f"{tmp_path}/x")
+    digests = df.select(value_digest(F.col("a")).alias("c0"), value_digest(F.col("b")).alias("c1"))
+    plan = _value_counts(digests, ["c0", "c1"])
+    assert all("a#" not in line and "b#" not in line for line in exchanged(plan))
+    assert [f.dataType.simpleString() for f in plan.schema.fields[:2]] == ["struct<a:bigint,b:bigint>"] * 2
+    # Without a repeated digest nothing is read again; with one, only rows that have it go on.
+    checked = uniqueness_check(df, "a")
+    assert "FileScan" not in checked._jdf.queryExecution().executedPlan().toString()
+    assert results(uniqueness_check(df, "b")) == {(3, "b"): (None, 100, 1, "fail")}
+    second = uniqueness_check(df, "b")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in second and second.index("HashAggregate") < second.index("BroadcastHashJoin")
