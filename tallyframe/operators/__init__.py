@@ -21,15 +21,18 @@ from tallyframe.operators.keys import (
 )
 from tallyframe.operators.quality import null_value_check, uniqueness_check
 from tallyframe.operators.transforms import flatten, trim_columns, unpivot_history
+from tallyframe.operators.tree import TreeComparison, data_compare_tree
 from tallyframe.results import union_all
 
 __all__ = [
     "CompareOptions",
     "Comparison",
+    "TreeComparison",
     "compare_columns",
     "compare_one_column",
     "count_validation",
     "data_compare",
+    "data_compare_tree",
     "data_validation",
     "drill_down",
     "duplicate_keys",

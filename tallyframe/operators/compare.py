@@ -248,10 +248,10 @@ class Comparison:
         )
 
     def _may_broadcast_repeated(self) -> bool:
-        return self._repeated.size <= _broadcast_limit(self._session)
+        return self._repeated.size <= broadcast_limit(self._session)
 
     def _may_broadcast_hot(self) -> bool:
-        return 0 < self._repeated.hot_size <= _broadcast_limit(self._session)
+        return 0 < self._repeated.hot_size <= broadcast_limit(self._session)
 
     def _meet_hot(self, df: DataFrame, hot: DataFrame, how: str) -> DataFrame:
         """Joins the rows of one side with hot keys, no task getting all rows of one."""
@@ -722,7 +722,7 @@ class Comparison:
         )
 
 
-def _broadcast_limit(session) -> int:
+def broadcast_limit(session) -> int:
     """Bytes up to which Spark itself broadcasts; negative where it never does."""
     setting = session.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
     number = setting.rstrip("bkmgt")

@@ -370,6 +370,9 @@ group by ok, ln""",
         "data_compare": f"{order_j} {differences('k', ORDER_COLUMNS)}",
         "data_compare_repeated_keys": f"{line_j} "
         + factored_differences("ok,ln", LINE_COLUMNS),
+        "data_compare_tree": f"{order_j} {differences('k', ORDER_COLUMNS)}",
+        "data_compare_tree_repeated_keys": f"{line_j} "
+        + factored_differences("ok,ln", LINE_COLUMNS),
         "data_validation": f"{order_j} "
         + data_row(ORDER_NAMES, "k", ORDER_COLUMNS),
         "data_validation_repeated_keys": f"{line_j} "

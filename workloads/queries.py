@@ -13,6 +13,7 @@ from tallyframe.operators import (
     compare_one_column,
     count_validation,
     data_compare,
+    data_compare_tree,
     data_validation,
     drill_down,
     duplicate_keys,
@@ -342,6 +343,16 @@ def data_compare_repeated_keys(spark, folder):
     return data_compare(source, target, LINE_KEY)
 
 
+@registered("data_compare_tree")
+def data_compare_tree_orders(spark, folder):
+    return data_compare_tree(*order_pair(spark, folder), "k")
+
+
+@registered("data_compare_tree_repeated_keys")
+def data_compare_tree_repeated_keys(spark, folder):
+    return data_compare_tree(*line_pair(spark, folder), LINE_KEY)
+
+
 @registered("data_validation")
 def data_validation_orders(spark, folder):
     source, target = order_pair(spark, folder)
