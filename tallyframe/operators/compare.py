@@ -42,14 +42,17 @@ from tallyframe.functions.columns import (
 )
 from tallyframe.operators.keys import key_rows, tally
 from tallyframe.results import DATA, Check, Names, inline_rows, spread
-from tallyframe.sources.scratch import ready_for_checkpoints
+from tallyframe.sources.scratch import ready_for_checkpoints, stored
 
 Normalizer = Callable[[Column], Column]
 
 _CELL = ("c", "source_value", "target_value", "kind")
 _LARGEST = 2**63 - 1
 _DEFAULT_SCALE = 18
-# Digits of a number held exactly; two more are left to sums with a tolerance.
+# A number is a whole one and a fraction from 0 on below 1, each exact, so that its size
+# does not take fraction digits away. Whole ones of so many digits leave room for sums.
+_WHOLE, _WHOLE_DIGITS = "decimal(38,0)", 36
+# Digits of a tolerance, and of a number in exponent notation, with the fraction's.
 _NUMBER_DIGITS = 37
 # A broadcast key costs more than its own bytes once it sits in a hash table.
 _KEY_OVERHEAD = 64
@@ -68,8 +71,8 @@ class CompareOptions:
     tolerance    per column, the largest difference of numbers that still counts
                  as equal; equal texts are equal whatever they hold
     scale        fraction digits of the numbers that a tolerance is applied to. No
-                 value is rounded: one that is finer, or has more than
-                 ``36 - scale`` digits before the point, is compared as text
+                 value is rounded: one that is finer, or has more than 36 digits
+                 before the point, is compared as text
     """
 
     columns: str | Sequence[str] | None = None
@@ -139,6 +142,7 @@ class Comparison:
 
         key_forms = [shared_form(source, target, key) for key in self.keys]
         forms = [self._value_form(source, target, name) for name in self.columns]
+        self._exact_columns = [self._is_exact(source, target, name) for name in self.columns]
         self._native_keys = [is_native(source, target, key) for key in self.keys]
         self._given = (source, target)
 
@@ -169,27 +173,93 @@ class Comparison:
 
     @property
     def _bound(self) -> Decimal:
-        """What numbers stay below, so that sums with a tolerance are exact."""
+        """What tolerances, and numbers in exponent notation, stay below."""
         return Decimal(1).scaleb(_NUMBER_DIGITS - 1 - self.options.scale)
 
     def _held(self, number: str) -> str:
         return f"cast({number} as decimal({_NUMBER_DIGITS},{self.options.scale}))"
 
-    def _number(self, text: str) -> str:
-        """A text as number if that takes no rounding, else null."""
+    def _in_exponents(self, text: str) -> tuple[str, str]:
+        """A text in exponent notation as number with a fraction, and as a whole one, each
+        null if that takes rounding."""
         scale = self.options.scale
         number = f"try_{self._held(text)}"
         fraction = f"regexp_replace(regexp_extract({text}, '[.]([0-9]*)', 1), '0+$', '')"
         exponent = f"regexp_extract({text}, '[eE]([+-]?[0-9]+)$', 1)"
         digits = f"length({fraction}) - coalesce(try_cast({exponent} as int), 0)"
         return (
-            f"if({digits} <= {scale} and abs({number}) < {self._bound:f}BD, {number}, null)"
+            f"if({digits} <= {scale} and abs({number}) < {self._bound:f}BD, {number}, null)",
+            f"if({digits} <= 0, try_cast({text} as {_WHOLE}), null)",
         )
 
+    @property
+    def _fraction(self) -> str:
+        return f"decimal({self.options.scale + 1},{self.options.scale})"
+
+    def _parts(self, tolerance: Decimal) -> tuple[str, str]:
+        """A tolerance as whole number and fraction."""
+        whole = int(tolerance)
+        return f"cast({whole}BD as {_WHOLE})", f"cast({tolerance - whole:f}BD as {self._fraction})"
+
+    def _with_numbers(self, df: DataFrame, prefix: str = "") -> DataFrame:
+        """With ``w`` and ``f`` of the columns that have a tolerance: the whole number not
+        above a value, and what is left; null where a value is no number."""
+        for i, slot in enumerate(self._slots):
+            if self._allowed[i] is not None:
+                value, w, f = f"{prefix}{slot}", f"{prefix}w{i}", f"{prefix}f{i}"
+                add = self._add_exact if self._exact_columns[i] else self._add_from_text
+                df = add(df, value, w, f)
+        return df
+
+    def _bounded(self, w: str, f: str) -> tuple[str, str]:
+        """Both parts, or null for both if one is or the whole is too large."""
+        good = f"abs({w}) < 1{'0' * _WHOLE_DIGITS}BD and {f} is not null"
+        return f"if({good}, {w}, null)", f"if({good}, {f}, null)"
+
+    def _add_exact(self, df: DataFrame, value: str, w: str, f: str) -> DataFrame:
+        rest = f"({value} - floor({value}))"
+        held = f"try_cast({rest} as {self._fraction})"
+        df = df.selectExpr(
+            "*", f"cast(floor({value}) as {_WHOLE}) as __w", f"if({held} = {rest}, {held}, null) as __f"
+        )
+        return self._kept(df, w, f, ["__w", "__f"])
+
+    def _add_from_text(self, df: DataFrame, value: str, w: str, f: str) -> DataFrame:
+        number, whole_number = self._in_exponents(value)
+        df = df.selectExpr(
+            "*",
+            f"{value} rlike '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$' as __plain",
+            f"{value} like '-%' as __minus",
+            f"trim(leading '+' from trim(leading '-' from {value})) as __digits",
+        ).selectExpr(
+            "*",
+            "substring_index(__digits, '.', 1) as __ones",
+            "if(__digits like '%.%', trim(trailing '0' from substring_index(__digits, '.', -1)), '') as __decimals",
+            f"if(__plain, null, {number}) as __odd",
+            f"if(__plain, null, {whole_number}) as __large",
+        ).selectExpr(
+            "*",
+            f"if(__plain, try_cast(if(__ones = '', '0', __ones) as {_WHOLE}), null) as __a",
+            f"if(__plain and length(__decimals) <= {self.options.scale}, "
+            f"try_cast(concat('0.', __decimals, '0') as {self._fraction}), null) as __b",
+        )
+        whole = f"""case when not __plain then coalesce(cast(floor(__odd) as {_WHOLE}), __large)
+            when not __minus then __a
+            else cast(-__a - if(__b > 0, 1BD, 0BD) as {_WHOLE}) end"""
+        rest = f"""case when not __plain
+            then cast(coalesce(__odd - floor(__odd), __large - __large) as {self._fraction})
+            when __minus and __b > 0 then cast(1BD - __b as {self._fraction}) else __b end"""
+        df = df.selectExpr("*", f"{whole} as __w", f"{rest} as __f")
+        return self._kept(df, w, f, [c for c in df.columns if c.startswith("__")])
+
+    def _kept(self, df: DataFrame, w: str, f: str, temporary: list[str]) -> DataFrame:
+        whole, rest = self._bounded("__w", "__f")
+        return df.selectExpr("*", f"{whole} as {w}", f"{rest} as {f}").drop(*temporary)
+
     def _value_form(self, source, target, name: str) -> tuple[Column, Column]:
         normalizer = _by_name(self.options.normalizers, name)
         tolerated = _by_name(self.options.tolerance, name) is not None
-        if normalizer is None and not tolerated:
+        if normalizer is None and (not tolerated or self._is_exact(source, target, name)):
             return shared_form(source, target, name)
 
         def form(df: DataFrame) -> Column:
@@ -200,12 +270,27 @@ class Comparison:
 
         return form(source), form(target)
 
+    def _is_exact(self, source, target, name: str) -> bool:
+        """Whether a column holds whole or decimal numbers as they are, not as text."""
+        if _by_name(self.options.normalizers, name) is not None:
+            return False
+        kind = find_field(source, name).dataType
+        return is_native(source, target, name) and isinstance(kind, (T.IntegralType, T.DecimalType))
+
     def _equal(self, position: int) -> str:
+        """Equality of a pair's values; with a tolerance d, m - n <= d and n - m <= d."""
         slot, allowed = self._slots[position], self._allowed[position]
         equal = f"m_{slot} = n_{slot}"
         if allowed is not None:
-            apart = f"{self._number(f'm_{slot}')} - {self._number(f'n_{slot}')}"
-            equal += f" or abs({apart}) <= {allowed:f}BD"
+            dw, df = self._parts(allowed)
+
+            def at_most(one: str, other: str) -> str:
+                # Whole parts in full, and fractions that make up for one of them at most.
+                over = f"({one}_w{position} - {other}_w{position} - {dw})"
+                rest = f"({one}_f{position} - {other}_f{position} - {df})"
+                return f"({over} < 0 or ({over} = 0 and {rest} <= 0) or ({over} = 1 and {rest} <= -1))"
+
+            equal += f" or ({at_most('m', 'n')} and {at_most('n', 'm')})"
         return f"coalesce({equal}, false)"
 
     # -- repeated keys ------------------------------------------------------
@@ -318,12 +403,13 @@ class Comparison:
         same_key = [f"m_{slot} {equals} n_{slot}" for slot in self._key_slots]
         if equals == "<=>":
             same_key.append("m_lone = n_lone")
-        return source.join(target, F.expr(" and ".join(same_key)), "full_outer").selectExpr(
+        met = source.join(target, F.expr(" and ".join(same_key)), "full_outer").selectExpr(
             *[f"coalesce(m_{slot}, n_{slot}) as {slot}" for slot in self._key_slots],
             "m",
             "n",
             *[f"{side}_{slot}" for side in "mn" for slot in self._slots],
         )
+        return self._with_numbers(self._with_numbers(met, "m_"), "n_")
 
     # -- repeated keys, counted by value ------------------------------------
 
@@ -333,13 +419,21 @@ class Comparison:
         ``s_hits`` is the number of target rows of the key whose value equals
         this one, ``t_hits`` the number of source rows.
         """
-        cells = [
-            f"struct({i} as c, cast({slot} as string) as v)"
-            for i, slot in enumerate(self._slots)
-        ]
+        tolerated = any(limit is not None for limit in self._allowed)
+
+        def cell(i: int, slot: str) -> str:
+            parts = ["w", "f"] if tolerated else []
+            named = [
+                f"{part}{i} as {part}" if self._allowed[i] is not None
+                else f"cast(null as {_WHOLE if part == 'w' else self._fraction}) as {part}"
+                for part in parts
+            ]
+            return f"struct({', '.join([f'{i} as c', f'cast({slot} as string) as v', *named])})"
+
+        cells = [cell(i, slot) for i, slot in enumerate(self._slots)]
 
         def side(df: DataFrame, rows: str) -> DataFrame:
-            return self._rows_of_repeated(df, rows).selectExpr(
+            return self._with_numbers(self._rows_of_repeated(df, rows)).selectExpr(
                 *self._key_slots,
                 "parts",
                 f"if({self._incomplete()}, '{rows}', null) as lone",
@@ -348,89 +442,103 @@ class Comparison:
                 inline_rows(cells),
             )
 
+        value = ["v", "w", "f"] if tolerated else ["v"]
         counted = (
             side(self._source, "m")
             .unionByName(side(self._target, "n"))
-            .groupBy(*self._key_slots, "lone", "parts", "c", "v")
+            .groupBy(*self._key_slots, "lone", "parts", "c", *value)
             .agg(F.expr("sum(s) as s"), F.expr("sum(t) as t"))
         )
-        exact = counted.selectExpr(
-            "*", "if(v is null, 0, t) as s_hits", "if(v is null, 0, s) as t_hits"
-        )
-        tolerated = [str(i) for i, limit in enumerate(self._allowed) if limit is not None]
+        alike = ["if(v is null, 0, t) as s_hits", "if(v is null, 0, s) as t_hits"]
         if not tolerated:
-            return exact
-        number = f"if(c in ({', '.join(tolerated)}), {self._number('v')}, null)"
-        return exact.filter(f"{number} is null").unionByName(
-            self._hits_within_tolerance(
-                counted.selectExpr("*", f"{number} as x").filter("x is not null")
-            )
-        )
+            return counted.selectExpr("*", *alike)
+        words = counted.filter("w is null").selectExpr("* except (w, f)", *alike)
+        probes = self._probes(counted.filter("w is not null"))
+        if not self._repeated.hot_size:
+            return words.unionByName(self._hits(probes, []))
+        few = self._hits(probes.filter("parts = 1"), [])
+        return words.unionByName(few).unionByName(self._hits_of_hot(probes.filter("parts > 1")))
 
-    def _hits_within_tolerance(self, counted: DataFrame) -> DataFrame:
-        """``s_hits`` and ``t_hits`` where a difference up to a limit is equality.
+    @property
+    def _group(self) -> list[str]:
+        return [*self._key_slots, "lone", "parts", "c"]
 
-        The number ``x`` of a value is a whole number of units of the last fraction
-        digit. Stretches of the limit and one unit hold only values that are equal
-        to each other, so a value hits its own stretch whole, the end of the stretch
-        before and the start of the one after. A window over one stretch thus sees
-        a number of values bounded by the limit.
+    def _probes(self, counted: DataFrame) -> DataFrame:
+        """Each value at its own place, and where the values begin and end that equal it.
+
+        In the order of ``w, f, role`` all rows up to the end (role 2), less those before
+        the beginning (role 0), are the ones within the tolerance.
         """
-        group = [*self._key_slots, "lone", "parts", "c"]
-        limits = " ".join(
-            f"when {i} then {self._held(f'{limit:f}BD')}"
-            for i, limit in enumerate(self._allowed)
-            if limit is not None
-        )
-        unit = f"{Decimal(1).scaleb(-self.options.scale):f}BD"
-        placed = (
-            counted.selectExpr("*", f"case c {limits} end as d")
-            .selectExpr("*", f"{self._held(f'd + {unit}')} as w")
-            .selectExpr("*", f"{self._held('x - pmod(x, w)')} as g")
+        whole, rest = (
+            " ".join(
+                f"when {i} then {self._parts(limit)[part]}"
+                for i, limit in enumerate(self._allowed)
+                if limit is not None
+            )
+            for part in (0, 1)
         )
+        placed = counted.selectExpr("*", f"case c {whole} end as dw", f"case c {rest} end as df")
 
-        def look(role: str, stretch: str, at: str, weighs: int) -> str:
+        def probe(role: int, w: str, f: str, weighs: int) -> str:
             return (
-                f"struct('{role}' as role, {self._held(stretch)} as stretch, "
-                f"{self._held(at)} as at, s * {weighs} as s_here, t * {weighs} as t_here)"
+                f"struct({role} as role, cast({w} as {_WHOLE}) as w, cast({f} as {self._fraction}) as f, "
+                f"s * {weighs} as s_here, t * {weighs} as t_here)"
             )
 
-        looks = placed.selectExpr(
-            *group,
+        return placed.selectExpr(
+            *self._group,
             "v",
             "s",
             "t",
             inline_rows(
                 [
-                    look("own", "g", "x", 1),
-                    look("before", "g - w", "x - d", 0),
-                    look("after", "g + w", "x + d", 0),
+                    probe(0, "w - dw - if(f < df, 1BD, 0BD)", "f - df + if(f < df, 1BD, 0BD)", 0),
+                    probe(1, "w", "f", 1),
+                    probe(2, "w + dw + if(f + df >= 1, 1BD, 0BD)", "f + df - if(f + df >= 1, 1BD, 0BD)", 0),
                 ]
             ),
         )
-        whole = f"partition by {', '.join([*group, 'stretch'])}"
-        onwards = "range between current row and unbounded following"
-        so_far = "range between unbounded preceding and current row"
 
-        def seen(rows: str) -> str:
-            return (
-                f"case role when 'own' then sum({rows}) over ({whole}) "
-                f"when 'before' then sum({rows}) over ({whole} order by at {onwards}) "
-                f"else sum({rows}) over ({whole} order by at {so_far}) end"
-            )
+    def _hits(self, probes: DataFrame, piece: list[str], before: tuple[str, str] = ("0", "0")) -> DataFrame:
+        """``s_hits`` and ``t_hits`` of the values by running sums over each group, or over
+        each ``piece`` of one, with what stands before it."""
+        so_far = (
+            f"over (partition by {', '.join([*self._group, *piece])} order by w, f, role "
+            "rows between unbounded preceding and current row)"
+        )
+        summed = probes.selectExpr(
+            *self._group, "v", "s", "t", "role",
+            f"sum(t_here) {so_far} + {before[1]} as t_run",
+            f"sum(s_here) {so_far} + {before[0]} as s_run",
+        )
+        return summed.groupBy(*self._group, "v", "s", "t").agg(
+            F.expr("sum((role - 1) * t_run) as s_hits"), F.expr("sum((role - 1) * s_run) as t_hits")
+        )
 
-        return (
-            looks.selectExpr(
-                *group,
-                "v",
-                "s",
-                "t",
-                f"{seen('t_here')} as s_hits",
-                f"{seen('s_here')} as t_hits",
-            )
-            .groupBy(*group, "v", "s", "t")
-            .agg(F.expr("sum(s_hits) as s_hits"), F.expr("sum(t_hits) as t_hits"))
+    def _pieces(self, probes: DataFrame) -> DataFrame:
+        """Probes in ranges of group and number, stored with the number of their range.
+
+        A hot key's values so are in many tasks, each of which sorts only its own.
+        """
+        ranged = probes.repartitionByRange(*[F.col(c) for c in [*self._group, "w", "f", "role"]])
+        return stored(ranged.selectExpr("*", "spark_partition_id() as piece"))
+
+    def _hits_of_hot(self, probes: DataFrame) -> DataFrame:
+        pieces = self._pieces(probes)
+        earlier = (
+            f"over (partition by {', '.join(self._group)} order by piece "
+            "rows between unbounded preceding and 1 preceding)"
+        )
+        sums = pieces.groupBy(*self._group, "piece").agg(
+            F.expr("sum(s_here) as s_sum"), F.expr("sum(t_here) as t_sum")
+        )
+        offsets = sums.selectExpr(
+            *[f"{name} as o_{name}" for name in [*self._group, "piece"]],
+            f"coalesce(sum(s_sum) {earlier}, 0) as s_before",
+            f"coalesce(sum(t_sum) {earlier}, 0) as t_before",
         )
+        same = " and ".join(f"{name} <=> o_{name}" for name in [*self._group, "piece"])
+        return self._hits(pieces.join(offsets, F.expr(same)), ["piece"], ("s_before", "t_before"))
 
     # -- figures ------------------------------------------------------------
 
@@ -442,14 +550,21 @@ class Comparison:
         A source row is unsound in a column if it has no partner or differs from
         one of them.
         """
+        # Each column's equality is a column of its own, so that it is found once a pair.
+        compared = self._singles().selectExpr(
+            "m", "n",
+            *[f"m_{slot} is null as m_none_{i}" for i, slot in enumerate(self._slots)],
+            *[f"n_{slot} is null as n_none_{i}" for i, slot in enumerate(self._slots)],
+            *[f"{self._equal(i)} as same_{i}" for i in range(len(self._slots))],
+        )
         summed = []
-        for i, slot in enumerate(self._slots):
+        for i in range(len(self._slots)):
             summed += [
-                f"count_if((m_{slot} is null) = (n_{slot} is null)) as kept_{i}",
-                f"count_if({self._equal(i)}) as equal_{i}",
-                f"count_if(m is not null and not {self._equal(i)}) as unsound_{i}",
+                f"count_if(m_none_{i} = n_none_{i}) as kept_{i}",
+                f"count_if(same_{i}) as equal_{i}",
+                f"count_if(m is not null and not same_{i}) as unsound_{i}",
             ]
-        singles = self._singles().selectExpr(
+        singles = compared.selectExpr(
             "count(m) as source_records",
             "count(n) as target_records",
             "count_if(n is null) as source_only",

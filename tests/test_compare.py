@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -208,6 +209,18 @@ TEXT_PAIRS = [  # source, target, equal within 0.5
     ("-0.25", "0.250000000000000001", False),
     ("1e-30", "0", False),  # finer than the scale, hence compared as text
     ("999999999999999999", "999999999999999999.5", True),
+    ("100000000000000000000", "100000000000000000000.25", True),
+    ("-100000000000000000000.25", "-100000000000000000000.75", True),
+    ("-100000000000000000000.25", "-100000000000000000000.750000000000000001", False),
+    ("1E+20", "+100000000000000000000.5", True),
+    ("-1.5e20", "-149999999999999999999.5", True),
+    ("9" * 36, "9" * 35 + "8.5", True),
+    ("1" + "0" * 36, "1" + "0" * 36 + ".25", False),  # too large, hence text
+    ("5.", "5.5", True),
+    ("-.5", "-1", True),
+    ("-0", "0.5", True),
+    ("--1", "-1", False),
+    ("1.2.3", "1.2", False),
     ("", "", True),
     ("NaN", "NaN", True),
     (None, "1", False),
@@ -239,6 +252,56 @@ def test_tolerance_keeps_what_is_no_number(spark, repeats):
     }
 
 
+def test_tolerance_on_decimals_needs_no_text(spark):
+    """Whole and decimal columns are compared as they are, fractions finer than the scale as text."""
+    schema = "k int, n decimal(38,2), fine decimal(30,20), whole long"
+    left, right = frames(
+        spark,
+        [(1, Decimal("9" * 30 + ".25"), Decimal("0.5"), 7), (2, Decimal("-0.25"), Decimal("1e-20"), 2**62), (2, Decimal(3), None, 1)],
+        [(1, Decimal("9" * 30 + ".75"), Decimal("1"), 9), (2, Decimal("0.26"), Decimal("0"), 2**62 + 1), (2, Decimal(3), None, 4)],
+        schema,
+    )
+    options = CompareOptions(tolerance={"n": "0.5", "fine": "0.5", "whole": 2})
+    summary = compare_columns(left, right, "k", options=options)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan.lower() and "RLIKE" not in plan
+    assert {r["column"]: r["match_count"] for r in summary.collect()} == {"n": 2, "fine": 1, "whole": 2}
+
+
+def spread_hot_side(seed, count):
+    rng = random.Random(seed)
+    return [("hot", "x", Decimal(rng.randint(-400, 400)) / 8) for _ in range(count)]
+
+
+@pytest.mark.parametrize("tolerance", ["0.125", "30"])
+def test_large_tolerance_over_a_hot_key(spark, never_broadcast, monkeypatch, tolerance):
+    """Running sums in pieces of a hot key's values give what one window would."""
+    monkeypatch.setattr(compare, "_HOT_ROWS", 20)
+    schema = "k string, a string, n decimal(10,3)"
+    source = spread_hot_side(1, 90) + [("few", "x", Decimal(1)), ("few", "y", Decimal(2)), ("one", "z", None)]
+    target = spread_hot_side(2, 80) + [("few", "x", Decimal("1.125")), ("hot", "x", None)]
+    left, right = frames(spark, source, target, schema)
+    options = CompareOptions(columns="n", tolerance={"n": tolerance})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        comparison = Comparison(left, right, "k", options)
+        made = comparison.pair_figures().collect()
+        held, pieces = [], Comparison._pieces
+
+        def seen(self, probes):
+            ranged = pieces(self, probes)
+            held.extend(r["count"] for r in ranged.groupBy("piece").count().collect())
+            return ranged
+
+        monkeypatch.setattr(Comparison, "_pieces", seen)
+        Comparison(left, right, "k", options).pair_figures()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(held) > 1 and max(held) < sum(held) / 2
+    match, mismatch, kept = figures(source, target, 2, 1, tolerance)
+    assert [tuple(r) for r in made] == [("n", match, mismatch, kept)]
+
+
 def unsound_rows(source, target, position, tolerance=None):
     """Source rows without a partner or unlike one of them, by plain Python."""
     pairs = every_pair(source, target)

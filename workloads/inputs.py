@@ -112,6 +112,8 @@ select o_custkey as k,
                         case when o_orderstatus = 'F' then '00000' else '00002' end)
             when o_orderpriority = '4-NOT SPECIFIED' and o_orderstatus = 'F'
             then concat('9', lpad(cast(o_orderkey as string), 33, '0'))
+            when o_orderpriority = '4-NOT SPECIFIED' and o_orderstatus = 'O'
+            then concat('9', lpad(cast(o_orderkey as string), 33, '0'), '.25')
             when o_orderpriority = '4-NOT SPECIFIED'
             then concat('9', lpad(cast(o_orderkey + 1 as string), 33, '0'))
             when o_orderstatus = 'F'

@@ -292,6 +292,8 @@ target_transformation_query_path, key_col_list, null_col_list, unique_col_list""
     )
     views = ("order_source", "order_target")
     within = "abs(cast(s_{c} as decimal(18,2)) - cast(t_{c} as decimal(18,2))) <= "
+    whole = "try_cast(split_part({}_{{c}}, '.', 1) as decimal(38,0))".format
+    part = "try_cast('0.' || split_part({}_{{c}}, '.', 2) || '0' as decimal(19,18))".format
 
     return {
         "scan_csv": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -395,8 +397,9 @@ from orders), {joined('o_orderkey', ['o_orderpriority'])}
         f"tgt as ({MIXED_TARGET}), {joined('k', ['amount'])} "
         + pair_figures(
             "amount",
-            "(s_{c} = t_{c} or coalesce(abs(try_cast(s_{c} as decimal(38,18)) "
-            "- try_cast(t_{c} as decimal(38,18))) <= 0.5, false))",
+            # Whole numbers and fractions apart: together they can exceed a decimal.
+            f"(s_{{c}} = t_{{c}} or coalesce(case when abs({whole('s')} - {whole('t')}) <= 1 then "
+            f"abs(cast({whole('s')} - {whole('t')} as decimal(20,18)) + {part('s')} - {part('t')}) <= 0.5 end, false))",
         ),
         "drill_down": f"""{order_j} select k, status,
 cast(price as varchar) as price from tgt where k in (
