@@ -12,10 +12,12 @@ from tallyframe.sources.readers import (
     register_view,
     schema_from_json,
 )
+from tallyframe.sources.rejects import Split, split_csv, split_json
 from tallyframe.sources.writers import write_csv, write_results, write_table
 
 __all__ = [
     "MissingConnector",
+    "Split",
     "read_avro",
     "read_csv",
     "read_data",
@@ -27,6 +29,8 @@ __all__ = [
     "read_text",
     "register_view",
     "schema_from_json",
+    "split_csv",
+    "split_json",
     "write_csv",
     "write_results",
     "write_table",

@@ -122,6 +122,37 @@ select o_custkey as k,
 from {orders}
 """
 
+# -- lines of files, some of which do not fit a schema ---------------------------
+
+ORDER_LINES = """
+select concat(cast(o_orderkey as string), ',',
+              case when o_orderpriority = '1-URGENT' and o_orderstatus = 'F' then 'n/a'
+                   when o_orderstatus = 'P' then ''
+                   else cast(cast(o_totalprice as decimal(18,2)) as string) end, ',',
+              case when o_orderpriority = '4-NOT SPECIFIED' and o_orderstatus = 'F'
+                   then '2024-13-45' else cast(cast(o_orderdate as date) as string) end,
+              case when o_orderpriority = '3-MEDIUM' and o_orderstatus = 'F' then ''
+                   else concat(',', o_orderpriority) end,
+              case when o_orderpriority = '2-HIGH' and o_orderstatus = 'O' then ',more'
+                   else '' end) as line,
+       o_orderstatus = 'F' and o_orderpriority in ('1-URGENT', '3-MEDIUM', '4-NOT SPECIFIED')
+       or o_orderpriority = '2-HIGH' and o_orderstatus = 'O' as broken
+from {orders}
+"""
+
+EVENT_LINES = """
+select concat('[[id]]:', cast(event_id as string),
+              case when event_type = 'view' then '' else concat(',[[user]]:',
+                case when event_type = 'error' and event_id % 2 = 0
+                     then '[[nobody]]' else cast(user_id as string) end) end,
+              ',[[type]]:[[', event_type, ']]',
+              case when event_type = 'click' and event_id % 3 = 0 then '' else '!' end) as line,
+       event_type = 'error' and event_id % 2 = 0
+       or event_type = 'click' and event_id % 3 = 0 as broken,
+       event_id, case when event_type = 'view' then null else user_id end as user_id, event_type
+from {events}
+"""
+
 # -- contacts: the medallion pipeline ------------------------------------------
 
 CONTACT_RAW = """

@@ -303,6 +303,12 @@ from orders""",
         "scan_csv_schema": "select * from part",
         "scan_json": "select doc_id, text, lang, source, n_chars from documents",
         "scan_json_multiline": "select * from customer",
+        "scan_csv_rejects": f"select line, broken from ({bare(inputs.ORDER_LINES)})",
+        "scan_json_rejects": f"""select case when not broken then event_id end as event_id,
+case when not broken then user_id end as user_id,
+case when not broken then event_type end as event_type,
+case when broken then '{{{{' || replace(replace(replace(line, '[[', '"'), ']]', '"'), '!', '}}}}')
+end as record from ({bare(inputs.EVENT_LINES)})""".replace("{{", "{").replace("}}", "}"),
         "scan_parquet": "select * from part",
         "sink_csv_append": both_rows,
         "sink_csv_overwrite": customer_rows,

@@ -48,6 +48,8 @@ from tallyframe.sources import (
     read_parquet,
     register_view,
     schema_from_json,
+    split_csv,
+    split_json,
     write_csv,
     write_results,
 )
@@ -156,6 +158,36 @@ def scan_json_multiline(spark, folder):
     )
 
 
+@registered("scan_csv_rejects")
+def scan_csv_rejects(spark, folder):
+    """Orders as lines, some with cells too many, too few or of no type: the rows that fit
+    the schema, written as lines again, and the others as they stand."""
+    path = fresh_path(spark, "lines")
+    sql(spark, folder, inputs.ORDER_LINES).select("line").write.text(path)
+    read = split_csv(
+        spark, path, "id long, price decimal(18,2), placed date, priority string", header=False
+    )
+    line = F.concat_ws(",", "id", F.coalesce(F.col("price").cast("string"), F.lit("")), "placed", "priority")
+    return read.rows.select(line.alias("line"), F.lit(False).alias("broken")).unionByName(
+        read.rejects.select(F.col("record").alias("line"), F.lit(True).alias("broken"))
+    )
+
+
+@registered("scan_json_rejects")
+def scan_json_rejects(spark, folder):
+    """Events as JSON lines, some cut off and some with words for numbers."""
+    path = fresh_path(spark, "lines")
+    lines = sql(spark, folder, inputs.EVENT_LINES)
+    # Marks stand for quotes and the closing brace, which the two engines write alike so.
+    text = F.translate(F.regexp_replace("line", r"\[\[|\]\]", '"'), "!", "}")
+    lines.select(F.concat(F.lit("{"), text)).write.text(path)
+    read = split_json(spark, path, "id long, user long, type string")
+    kept = read.rows.selectExpr(
+        "id as event_id", "user as user_id", "type as event_type", "cast(null as string) as record"
+    )
+    return kept.unionByName(read.rejects.select("record"), allowMissingColumns=True)
+
+
 @registered("scan_parquet")
 def scan_parquet(spark, folder):
     return read_parquet(spark, f"{folder}/part.parquet")
