@@ -7,11 +7,12 @@ from tallyframe.plans.runner import (
     run_cases,
     run_plan,
 )
-from tallyframe.plans.suite import ALL_CHECKS, validate
+from tallyframe.plans.suite import ALL_CHECKS, Figures, validate
 
 __all__ = [
     "ALL_CHECKS",
     "Environment",
+    "Figures",
     "active_cases",
     "bronze_to_silver",
     "grouped_cases",

@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions.columns import ref
+from tallyframe.functions.columns import column_of, find_field, ref, split_columns
+from tallyframe.functions.rules import null_like
 from tallyframe.operators.compare import CompareOptions
-from tallyframe.plans.suite import validate
-from tallyframe.results import Names, union_all
+from tallyframe.plans.suite import Figures, checks_named, validate
+from tallyframe.results import NULLS, Names, union_all
 from tallyframe.schema import (
     PLAN_ACTIVE_COLUMN,
     PLAN_CHECK_COLUMN,
@@ -66,8 +67,8 @@ class Environment:
     readers      reader options of a dataset, such as ``delimiter``, ``multiline`` or
                  ``schema``, under the name by which the plan calls it
     store_rows   keep a stored copy of datasets whose format has to be read whole
-                 by every check, so that each is read once; by default for cases
-                 with several checks
+                 by every check, so that each is read once, whatever the number of
+                 cases; by default for datasets with several checks
     """
 
     connections: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
@@ -83,23 +84,65 @@ def _under(root: str, path: str | None) -> str | None:
     return f"{root.rstrip('/')}/{path}"
 
 
-def _read_side(spark: SparkSession, case: Row, side: str, env: Environment) -> DataFrame:
-    kind, place = case[f"{side}_type"].strip().lower(), case[side]
-    df = read_data(
-        spark,
-        kind,
-        place if kind in ("table", "view") else _under(env.data_root, place),
-        connections=env.connections,
-        database=case[f"{side}_db_name"],
-        query_path=_under(
-            env.query_root, case[f"{side}_transformation_query_path"]
-        ),
-        **env.readers.get(place, {}),
+def _place_of(case: Row, side: str) -> tuple:
+    """What tells the datasets of a plan apart."""
+    return (
+        case[f"{side}_type"].strip().lower(),
+        *(case[f"{side}{rest}"] for rest in ("", "_db_name", "_transformation_query_path")),
     )
-    store = env.store_rows
-    if store is None:
-        store = len(case[PLAN_CHECK_COLUMN]) > 1
-    return stored(df) if store and kind in _WHOLE_ROW_TYPES else df
+
+
+class _Datasets:
+    """The datasets of a plan's cases, each read once if its format has to be read whole.
+
+    Such a dataset is stored when the first case asks for it, if several checks of all
+    cases do, and its rows and missing values are counted while it is written.
+    """
+
+    def __init__(self, spark: SparkSession, cases: Sequence[Row], env: Environment):
+        self._spark, self._env = spark, env
+        self._held: dict[tuple, tuple[DataFrame, Figures | None]] = {}
+        self._checks: dict[tuple, int] = {}
+        self._null_columns: dict[tuple, list[str]] = {}
+        for case in cases:
+            checks = checks_named(case[PLAN_CHECK_COLUMN])
+            for place in {_place_of(case, side) for side in ("source", "target")}:
+                self._checks[place] = self._checks.get(place, 0) + len(checks)
+            if NULLS in checks:
+                asked = self._null_columns.setdefault(_place_of(case, "target"), [])
+                asked += [c for c in split_columns(case["null_col_list"]) if c not in asked]
+
+    def read(self, case: Row, side: str) -> tuple[DataFrame, Figures | None]:
+        place = _place_of(case, side)
+        if place not in self._held:
+            self._held[place] = self._read(place)
+        return self._held[place]
+
+    def _read(self, place: tuple) -> tuple[DataFrame, Figures | None]:
+        kind, name, database, query_path = place
+        df = read_data(
+            self._spark,
+            kind,
+            name if kind in ("table", "view") else _under(self._env.data_root, name),
+            connections=self._env.connections,
+            database=database,
+            query_path=_under(self._env.query_root, query_path),
+            **self._env.readers.get(name, {}),
+        )
+        store = self._env.store_rows
+        if store is None:
+            store = self._checks[place] > 1
+        if not store or kind not in _WHOLE_ROW_TYPES:
+            return df, None
+        columns = self._null_columns.get(place, [])
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("records")]
+        for i, column in enumerate(columns):
+            missing = null_like(column_of(df, column), find_field(df, column).dataType)
+            counts.append(F.count_if(missing).alias(f"missing_{i}"))
+        held = stored(df.observe(seen, *counts))
+        found = seen.get
+        return held, Figures(found["records"], {c: found[f"missing_{i}"] for i, c in enumerate(columns)})
 
 
 OptionsOfCase = CompareOptions | Callable[[Row], CompareOptions]
@@ -117,10 +160,11 @@ def run_cases(
     case, append each result table as it comes.
     """
     spark = plan.sparkSession
-    cases = grouped_cases(active_cases(plan)).orderBy(*PLAN_LOCATION_COLUMNS)
-    for case in cases.collect():
-        source = _read_side(spark, case, "source", env)
-        target = _read_side(spark, case, "target", env)
+    cases = grouped_cases(active_cases(plan)).orderBy(*PLAN_LOCATION_COLUMNS).collect()
+    datasets = _Datasets(spark, cases, env)
+    for case in cases:
+        source, source_figures = datasets.read(case, "source")
+        target, target_figures = datasets.read(case, "target")
         yield (
             case,
             validate(
@@ -132,6 +176,8 @@ def run_cases(
                 checks=case[PLAN_CHECK_COLUMN],
                 names=Names(case["source"], case["target"]),
                 options=options(case) if callable(options) else options,
+                source_figures=source_figures,
+                target_figures=target_figures,
             ),
         )
 

@@ -271,7 +271,60 @@ def test_plan_reads_each_side_by_its_own_options(spark, tmp_path):
 def test_a_file_is_read_once_for_several_checks(spark, plan_folder):
     plan = read_plan(spark, "csv", str(plan_folder / "plan.csv"))
     env = Environment(data_root=str(plan_folder / "data"))
-    for case, checked in run_cases(plan, env):
-        text = checked._jdf.queryExecution().optimizedPlan().toString()
-        several = len(case["validation_Type"]) > 1
-        assert (" csv" not in text) == several
+    texts = [
+        checked._jdf.queryExecution().optimizedPlan().toString()
+        for _, checked in run_cases(plan, env)
+    ]
+    # The second case has one check, on files that the first one reads for several.
+    assert len(texts) == 2 and not any(" csv" in text for text in texts)
+    alone = plan.filter("validation_Type = 'count_validation'")
+    [(_, checked)] = run_cases(alone, env)
+    assert " csv" in checked._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cases_on_one_file_share_one_scan(spark, tmp_path, monkeypatch):
+    """Three cases and two null lists: one read of the file, and figures from that read."""
+    import tallyframe.plans.runner as runner
+
+    (tmp_path / "s.csv").write_text("id,v\n1,a\n2,\n2,None\n")
+    (tmp_path / "t.csv").write_text("id,v\n1,a\n2,x\n")
+    pair = ("s.csv", "csv", None, None, "s.csv", "csv", None, None)
+    other = ("t.csv", "csv", None, None, "s.csv", "csv", None, None)
+    cases = [
+        (*pair, "id", "id, v", "", "count_validation", "Y"),
+        (*pair, "id", "id, v", "", "Null_value_check", "Y"),
+        (*pair, "id", "v", "id", "Uniquess_check", "Y"),
+        (*pair, "id", "v", "id", "Null_value_check", "Y"),
+        (*other, "id", "", "", "count_validation", "Y"),
+        (*other, "id", "", "", "records_present_only_in_target", "Y"),
+    ]
+    asked = []
+    read = runner.read_data
+    monkeypatch.setattr(runner, "read_data", lambda *a, **b: asked.append(a[2]) or read(*a, **b))
+    made = run_cases(spark.createDataFrame(cases, PLAN_SCHEMA), Environment(data_root=str(tmp_path)))
+    found = []
+    for _, frame in made:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan csv" not in plan
+        found.append(sorted((r["tc_id"], r["column"], r["source_records"], r["target_records"], r["failed_records"]) for r in frame.collect()))
+    assert sorted(asked) == [str(p) for p in (tmp_path / "s.csv", tmp_path / "t.csv")]
+    assert found == [
+        [(1, "id", 3, 3, 0), (4, "id", None, 3, 0), (4, "v", None, 3, 2)],
+        [(3, "id", None, 3, 1), (4, "v", None, 3, 2)],
+        [(1, "id", 2, 3, 1), (5, "id", 2, 3, 0)],
+    ]
+
+
+def test_known_figures_need_no_scan(spark, tmp_path):
+    from tallyframe.plans import Figures
+
+    spark.range(5).selectExpr("id", "cast(null as string) v").write.parquet(f"{tmp_path}/x")
+    df = spark.read.parquet(f"{tmp_path}/x")
+    known = Figures(5, {"id": 0, "v": 5})
+    checked = validate(
+        df, df, keys="id", null_columns="v, id", checks=["count_validation", "Null_value_check"],
+        source_figures=known, target_figures=known,
+    )
+    assert "FileScan" not in checked._jdf.queryExecution().executedPlan().toString()
+    plain = validate(df, df, keys="id", null_columns="v, id", checks=["count_validation", "Null_value_check"])
+    assert rows(checked) == rows(plain)

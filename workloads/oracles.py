@@ -291,6 +291,7 @@ target_transformation_query_path, key_col_list, null_col_list, unique_col_list""
         ORDER_NAMES, "k", ORDER_COLUMNS, order_nulls, ("k", "price")
     )
     views = ("order_source", "order_target")
+    files = ("source.csv", "target.csv")
     within = "abs(cast(s_{c} as decimal(18,2)) - cast(t_{c} as decimal(18,2))) <= "
     whole = "try_cast(split_part({}_{{c}}, '.', 1) as decimal(38,0))".format
     part = "try_cast('0.' || split_part({}_{{c}}, '.', 2) || '0' as decimal(19,18))".format
@@ -340,6 +341,18 @@ from ({active}) group by {plan_group}""",
                 ),
             ]
         ),
+        "plan_run_shared": f"with {ORDER_CTE} "
+        + " union all ".join(
+            [
+                count_row(files, "k"),
+                null_row(files[1], "status", NULL_TEXT),
+                null_row(files[1], "price", NULL_OTHER),
+                null_row(files[1], "k", NULL_OTHER),
+                duplicate_row(files, "k"),
+                unique_row(files[1], "k"),
+                only_in_target_row(files, "k"),
+            ]
+        ),
         "count_validation": f"with {ORDER_CTE} {count_row(ORDER_NAMES, 'k')}",
         "duplicate_keys": """select l_orderkey, l_linenumber, count(*) as count
 from lineitem group by l_orderkey, l_linenumber having count(*) > 1""",

@@ -290,6 +290,24 @@ def plan_run(spark, folder):
     return run_plan(plan, Environment(data_root=folder))
 
 
+@registered("plan_run_shared")
+def plan_run_shared(spark, folder):
+    """Three cases on one pair of CSV files, which is read once for all of them."""
+    root = fresh_path(spark, "shared")
+    for name, rows in zip(("source", "target"), order_pair(spark, folder)):
+        write_csv(rows, f"{root}/{name}.csv")
+    pair = ("source.csv", "csv", "NA", None, "target.csv", "csv", "NA", None, "k")
+    cases = [
+        (*pair, "status, price", "k", "count_validation", "Y"),
+        (*pair, "status, price", "k", "Null_value_check", "Y"),
+        (*pair, "k", "NA", "Null_value_check", "Y"),
+        (*pair, "NA", "k", "duplicate", "Y"),
+        (*pair, "NA", "k", "Uniquess_check", "Y"),
+        (*pair, "NA", "k", "records_present_only_in_target", "Y"),
+    ]
+    return run_plan(spark.createDataFrame(cases, PLAN_SCHEMA), Environment(data_root=root))
+
+
 # -- checks on keys ----------------------------------------------------------------
 
 
