@@ -292,6 +292,12 @@ target_transformation_query_path, key_col_list, null_col_list, unique_col_list""
     )
     views = ("order_source", "order_target")
     files = ("source.csv", "target.csv")
+    marked_rules = {
+        "k": NULL_OTHER,
+        "note": NULL_TEXT,
+        "price": NULL_DOUBLE,
+        "placed": NULL_OTHER,
+    }
     within = "abs(cast(s_{c} as decimal(18,2)) - cast(t_{c} as decimal(18,2))) <= "
     whole = "try_cast(split_part({}_{{c}}, '.', 1) as decimal(38,0))".format
     part = "try_cast('0.' || split_part({}_{{c}}, '.', 2) || '0' as decimal(19,18))".format
@@ -378,15 +384,15 @@ group by ok, ln""",
             unique_row("documents", c, "documents")
             for c in ("doc_id", "text", "lang", "n_chars")
         ),
+        "sink_rerun_once": f"with marked as ({MARKED_TEXT}), checked as ("
+        + " union all ".join(
+            null_row("orders", c, rule, "marked") for c, rule in marked_rules.items()
+        )
+        + """) select * from checked, (values ('first'), ('second')) as r(run_id)
+where run_id = 'second' or "column" <> 'placed'""",
         "null_value_check": f"with marked as ({MARKED_TEXT}) "
         + " union all ".join(
-            null_row("orders", c, rule, "marked")
-            for c, rule in {
-                "k": NULL_OTHER,
-                "note": NULL_TEXT,
-                "price": NULL_DOUBLE,
-                "placed": NULL_OTHER,
-            }.items()
+            null_row("orders", c, rule, "marked") for c, rule in marked_rules.items()
         ),
         "data_compare": f"{order_j} {differences('k', ORDER_COLUMNS)}",
         "data_compare_repeated_keys": f"{line_j} "

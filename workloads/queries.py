@@ -43,9 +43,11 @@ from tallyframe.plans import (
 from tallyframe.results import Names, as_published
 from tallyframe.schema import PLAN_SCHEMA, PUBLISHED_HEADINGS, RESULT_SCHEMA
 from tallyframe.sources import (
+    publish_run,
     read_csv,
     read_data,
     read_parquet,
+    read_runs,
     register_view,
     schema_from_json,
     split_csv,
@@ -233,6 +235,20 @@ def sink_csv_overwrite(spark, folder):
     return _typed_balances(read_csv(spark, path))
 
 
+@registered("sink_rerun_once")
+def sink_rerun_once(spark, folder):
+    """Two runs of the null check, the first of which is published three times, and
+    last with fewer rows; as CSV, under the schema of result tables."""
+    path = fresh_path(spark, "runs")
+    checked = null_value_check(
+        sql(spark, folder, inputs.MARKED_TEXT), "k, note, price, placed", Names(target="orders")
+    )
+    again = (checked, checked, checked.filter("column <> 'placed'"))
+    for run_id, results in (*(("first", rows) for rows in again), ("second", checked)):
+        publish_run(results, path, run_id, format_name="csv")
+    return read_runs(spark, path, RESULT_SCHEMA, format_name="csv")
+
+
 @registered("union_all")
 def union_of_all_rows(spark, folder):
     return union_all(list(_names_and_balances(spark, folder)))
