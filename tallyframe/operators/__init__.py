@@ -20,6 +20,7 @@ from tallyframe.operators.keys import (
     only_in_target_validation,
 )
 from tallyframe.operators.quality import null_value_check, uniqueness_check
+from tallyframe.operators.shred import Tables, flatten_tables
 from tallyframe.operators.transforms import flatten, trim_columns, unpivot_history
 from tallyframe.operators.tree import TreeComparison, data_compare_tree
 from tallyframe.results import union_all
@@ -27,6 +28,7 @@ from tallyframe.results import union_all
 __all__ = [
     "CompareOptions",
     "Comparison",
+    "Tables",
     "TreeComparison",
     "compare_columns",
     "compare_one_column",
@@ -39,6 +41,7 @@ __all__ = [
     "duplicate_validation",
     "failing_keys",
     "flatten",
+    "flatten_tables",
     "key_checks",
     "key_counts",
     "null_value_check",

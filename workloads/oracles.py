@@ -474,6 +474,10 @@ label from embeddings""",
         "flatten_nested": """select doc_id, lang, line as line_text,
 cast(length(line) as integer) as line_size
 from (select doc_id, lang, unnest(string_split(text, chr(10))) as line from documents)""",
+        "flatten_tables": """select doc_id, cast(unnest(range(len(lines))) as integer) as place,
+unnest(lines) as line, cast(unnest(list_transform(lines, lambda x: len(string_split(x, ' ')))) as integer) as words
+from (select doc_id, string_split(text, chr(10)) as lines from documents)""",
+        "flatten_tables_rebuilt": "select doc_id, text, lang, source, n_chars from documents",
         "trim_columns": f"""with {ORDER_CTE}
 select cast(k as varchar) as k, trim(status) as status, cast(price as varchar) as price
 from tgt""",

@@ -19,6 +19,7 @@ from tallyframe.operators import (
     duplicate_keys,
     duplicate_validation,
     flatten,
+    flatten_tables,
     key_counts,
     null_value_check,
     only_in_source,
@@ -617,6 +618,39 @@ def flatten_nested(spark, folder):
     return flatten(documents.select("doc_id", "lang", lines.alias("line")))
 
 
+def _nested_documents(spark, folder):
+    """Documents with two arrays beside one another, one of structs, and a map."""
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda line: F.struct(line.alias("text"), F.split(line, " ").alias("words")),
+    )
+    marks = F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source"))
+    return table(spark, folder, "documents").select(
+        "doc_id", lines.alias("lines"), marks.alias("marks"), F.struct("n_chars").alias("size")
+    )
+
+
+@registered("flatten_tables")
+def flatten_tables_lines(spark, folder):
+    """The lines of the documents, as the table of an array that has arrays inside and beside it."""
+    tables = flatten_tables(_nested_documents(spark, folder), "doc_id")
+    return tables["lines"].selectExpr(
+        "cast(get_json_object(_parent, '$.doc_id') as bigint) as doc_id",
+        "_place as place", "`value.text` as line", "`value.words` as words",
+    )
+
+
+@registered("flatten_tables_rebuilt")
+def flatten_tables_rebuilt(spark, folder):
+    """The documents again, out of five flat tables."""
+    rebuilt = flatten_tables(_nested_documents(spark, folder), "doc_id").rebuilt()
+    lines = F.transform("lines", lambda line: F.array_join(line["words"], " "))
+    return rebuilt.select(
+        "doc_id", F.array_join(lines, "\n").alias("text"), F.col("marks")["lang"].alias("lang"),
+        F.col("marks")["source"].alias("source"), "size.n_chars",
+    )
+
+
 @registered("trim_columns")
 def trim_columns_orders(spark, folder):
     _, target = order_pair(spark, folder)
