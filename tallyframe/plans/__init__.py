@@ -1,3 +1,4 @@
+from tallyframe.plans.increment import Changes, read_derived, update_derived
 from tallyframe.plans.medallion import bronze_to_silver, raw_to_bronze
 from tallyframe.plans.runner import (
     Environment,
@@ -11,14 +12,17 @@ from tallyframe.plans.suite import ALL_CHECKS, Figures, validate
 
 __all__ = [
     "ALL_CHECKS",
+    "Changes",
     "Environment",
     "Figures",
     "active_cases",
     "bronze_to_silver",
     "grouped_cases",
     "raw_to_bronze",
+    "read_derived",
     "read_plan",
     "run_cases",
     "run_plan",
+    "update_derived",
     "validate",
 ]

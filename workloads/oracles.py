@@ -466,6 +466,8 @@ tgt as ({STORED_SILVER}), {joined('Identifier,Current_ind', SILVER_COMPARED)} ""
         "raw_to_bronze": f"""with {BRONZE_CTE} select * replace
 (cast(Identifier as bigint) as Identifier) from bronze""",
         "bronze_to_silver": f"""with {SILVER_CTE} select * replace
+(cast(Identifier as bigint) as Identifier) from silver""",
+        "silver_increment": f"""with {SILVER_CTE} select * replace
 (cast(Identifier as bigint) as Identifier) from silver""",
         "flatten_struct": """select event_id, cast(props->>'k' as integer) as props_k
 from events""",

@@ -37,8 +37,10 @@ from tallyframe.plans import (
     bronze_to_silver,
     grouped_cases,
     raw_to_bronze,
+    read_derived,
     read_plan,
     run_plan,
+    update_derived,
     validate,
 )
 from tallyframe.results import Names, as_published
@@ -593,6 +595,22 @@ def bronze_to_silver_contacts(spark, folder):
     return _plain_number(bronze_to_silver(contact_bronze(spark, folder)))
 
 
+@registered("silver_increment")
+def silver_increment(spark, folder):
+    """The silver table after a first build and two deliveries with new, changed and gone
+    contacts, the last of which is the whole bronze table."""
+    bronze = contact_bronze(spark, folder)
+    moved = F.when(F.expr("Identifier % 7 = 0"), "elsewhere").otherwise(F.col("city"))
+    path = fresh_path(spark, "silver")
+    for delivered in (
+        bronze.filter("Identifier % 5 <> 0"),
+        bronze.filter("Identifier % 11 <> 0").withColumn("city", moved),
+        bronze,
+    ):
+        update_derived(delivered, path, "Identifier", bronze_to_silver)
+    return _plain_number(read_derived(spark, path))
+
+
 @registered("flatten_struct")
 def flatten_struct(spark, folder):
     events = table(spark, folder, "events").select(
