@@ -206,8 +206,10 @@ def _dealt(classes: DataFrame, tile: int) -> DataFrame:
     """A row for each class and bucket, of buckets beyond ``tile`` one for each pair of tiles."""
     placed = classes.select("node", F.explode("codes").alias("bucket"))
     large = placed.groupBy("bucket").count().where(F.col("count") > tile)
-    large = large.select("bucket", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
-    dealt = classes.withColumn("bucket", F.explode("codes")).join(large, "bucket", "left")
+    large = store(large.select("bucket", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), "large-buckets")
+    dealt = classes.withColumn("bucket", F.explode("codes"))
+    # Vectors are dealt once, unless some buckets have to be found among theirs.
+    dealt = dealt.withColumn("tiles", F.lit(1)) if large.isEmpty() else dealt.join(large, "bucket", "left")
     dealt = dealt.withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("tiles")).cast("int"))
     own = F.col("own")
