@@ -319,7 +319,9 @@ def near_vectors(
     roots = components(found.where("b is not null").select("a", "b"))
     info = classes.select("node", "n", "least").join(sums.withColumnRenamed("a", "node"), "node", "left")
     info = info.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    group = info.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Stored, as a join on what is grouped by its key could not split the classes of one root.
+    info = store(info, "vector-roots")
+    group = store(info.groupBy("root").agg(F.min("least").alias("component_id")), "vector-groups")
     info = info.join(group, "root").select(
         "node", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
     )
