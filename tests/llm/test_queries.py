@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test table
 
 def test_all_are_registered():
     assert llm_queries().keys() <= contract.queries().keys()
-    assert [n for n in range(1, 11) if any(q.startswith(f"op{n}_") for q in contract.queries())] == list(range(1, 11))
+    assert [n for n in range(1, 14) if any(q.startswith(f"op{n}_") for q in contract.queries())] == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
