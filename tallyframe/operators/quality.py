@@ -126,14 +126,13 @@ def _repeated_by_digest(
 ) -> DataFrame:
     slots = [f"c{i}" for i in range(len(columns))]
     digests = df.select(*[digest(column_of(df, c)).alias(slot) for c, slot in zip(columns, slots)])
-    suspects, records = _suspects(_value_counts(digests, slots))
-    repeating = {row["which"] for row in suspects.select("which").distinct().collect()}
+    numbers = [_grouping_number(i, len(columns)) for i in range(len(columns))]
+    suspects, records, repeating = _suspects(_value_counts(digests, slots), numbers)
     parts = []
     for i, (column, slot) in enumerate(zip(columns, slots)):
-        number = _grouping_number(i, len(columns))
         counted = df.sparkSession.range(1).selectExpr("bigint(0) as repeated")
-        if number in repeating:
-            suspected = suspects.filter(F.col("which") == number).select(ref(slot).alias("suspect"))
+        if repeating[i]:
+            suspected = suspects.filter(F.col("which") == numbers[i]).select(ref(slot).alias("suspect"))
             value = column_of(df, column)
             counted = (
                 df.select(value.alias("value"))
@@ -148,22 +147,20 @@ def _repeated_by_digest(
     return union_all(parts)
 
 
-def _suspects(counts: DataFrame) -> tuple[DataFrame, int]:
-    """The stored groups of several rows, and the number of rows of each column.
+def _suspects(counts: DataFrame, numbers: list[int]) -> tuple[DataFrame, int, list[int]]:
+    """The stored groups of several rows, the number of rows, and how many such groups each
+    column has, by its grouping number; counted while they are stored.
 
     Spark broadcasts them to the second pass as long as they are small; beyond that the
     rows meet them on a shuffle of the values.
     """
     seen = Observation()
-    total = F.sum(F.when(F.col("which") == F.col("first_set"), F.col("rows")))
-    observed = counts.withColumn("first_set", F.lit(_first_set(counts))).observe(seen, total.alias("records"))
-    suspects = stored(observed.filter("rows > 1").drop("first_set", "rows"))
-    return suspects, seen.get["records"] or 0
-
-
-def _first_set(counts: DataFrame) -> int:
-    """The grouping number of the first column of value counts."""
-    return _grouping_number(0, len(counts.columns) - 2)
+    which, rows = F.col("which"), F.col("rows")
+    several = [F.count_if((which == n) & (rows > 1)).alias(f"several_{n}") for n in numbers]
+    observed = counts.observe(seen, F.sum(F.when(which == numbers[0], rows)).alias("records"), *several)
+    suspects = stored(observed.filter("rows > 1").drop("rows"))
+    found = seen.get
+    return suspects, found["records"] or 0, [found[f"several_{n}"] for n in numbers]
 
 
 def _telling_text(df: DataFrame, name: str, slot: str) -> str:
