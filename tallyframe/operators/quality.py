@@ -78,7 +78,12 @@ def value_digest(value: Column) -> Column:
 
 
 def uniqueness_check(
-    df: DataFrame, columns, names: Names = Names(), *, digest: Callable[[Column], Column] = value_digest
+    df: DataFrame,
+    columns,
+    names: Names = Names(),
+    *,
+    digest: Callable[[Column], Column] = value_digest,
+    whole_bytes: int = 0,
 ) -> DataFrame:
     """One result row per column with its number of repeated values.
 
@@ -86,6 +91,8 @@ def uniqueness_check(
     structs) only digests are, and a second pass counts the values whose digest repeats,
     whole, so that digests that clash change nothing; where none repeats there is no
     second pass. The figures of long columns so take a job while the frame is built.
+    Texts and bytes of at most ``whole_bytes`` stand for themselves in place of a digest
+    and take no second pass.
     """
     columns = require_columns(columns, "column to check for uniqueness")
     long = [c for c in columns if isinstance(find_field(df, c).dataType, _LONG_TYPES)]
@@ -96,7 +103,7 @@ def uniqueness_check(
         parts.append(_repeated_as_given(df, chunk, names))
     for start in range(0, len(long), _COLUMNS_PER_SCAN):
         chunk = long[start : start + _COLUMNS_PER_SCAN]
-        parts.append(_repeated_by_digest(df, chunk, names, digest))
+        parts.append(_repeated_by_digest(df, chunk, names, digest, whole_bytes))
     return union_all(parts)
 
 
@@ -122,45 +129,63 @@ def _repeated_as_given(df: DataFrame, columns: list[str], names: Names) -> DataF
 
 
 def _repeated_by_digest(
-    df: DataFrame, columns: list[str], names: Names, digest: Callable[[Column], Column]
+    df: DataFrame, columns: list[str], names: Names, digest: Callable[[Column], Column], whole_bytes: int
 ) -> DataFrame:
     slots = [f"c{i}" for i in range(len(columns))]
-    digests = df.select(*[digest(column_of(df, c)).alias(slot) for c, slot in zip(columns, slots)])
+    # Collated texts of unlike sizes can be equal, so theirs do not tell them apart.
+    plain = [find_field(df, c).dataType in (T.StringType(), T.BinaryType()) for c in columns]
+    split = [whole_bytes > 0 and p for p in plain]
+
+    def mark(value: Column, is_split: bool) -> Column:
+        if not is_split:
+            return digest(value)
+        fits = F.octet_length(value) <= whole_bytes
+        return F.struct(F.when(fits, value).alias("whole"), F.when(~fits, digest(value)).alias("digest"))
+
+    marks = df.select(*[mark(column_of(df, c), s).alias(slot) for c, s, slot in zip(columns, split, slots)])
     numbers = [_grouping_number(i, len(columns)) for i in range(len(columns))]
-    suspects, records, repeating = _suspects(_value_counts(digests, slots), numbers)
+    by_digest = [
+        f"(which = {n} and {slot}.digest is not null)" if s else f"which = {n}"
+        for n, s, slot in zip(numbers, split, slots)
+    ]
+    suspects, found = _suspects(_value_counts(marks, slots), numbers, by_digest)
+    records = f"{found['records'] or 0}L"
     parts = []
     for i, (column, slot) in enumerate(zip(columns, slots)):
-        counted = df.sparkSession.range(1).selectExpr("bigint(0) as repeated")
-        if repeating[i]:
-            suspected = suspects.filter(F.col("which") == numbers[i]).select(ref(slot).alias("suspect"))
-            value = column_of(df, column)
+        counted = df.sparkSession.range(1).selectExpr(f"{found[f'whole_{i}']}L as repeated")
+        if found[f"suspects_{i}"]:
+            suspected = suspects.filter(by_digest[i])
+            values = df.select(column_of(df, column).alias("value"))
+            if split[i]:
+                suspected = suspected.select(F.col(f"{slot}.digest").alias("suspect"))
+                values = values.filter(F.octet_length("value") > whole_bytes)
+            else:
+                suspected = suspected.select(ref(slot).alias("suspect"))
             counted = (
-                df.select(value.alias("value"))
-                .join(suspected, digest(F.col("value")).eqNullSafe(F.col("suspect")), "left_semi")
+                values.join(suspected, digest(F.col("value")).eqNullSafe(F.col("suspect")), "left_semi")
                 .groupBy("value")
                 .agg(F.count(F.lit(1)).alias("rows"))
-                .selectExpr("count_if(rows > 1) as repeated")
+                .selectExpr(f"count_if(rows > 1) + {found[f'whole_{i}']}L as repeated")
             )
-        parts.append(
-            spread(counted, [result_row(UNIQUE, names, "repeated", column, target_records=f"{records}L")])
-        )
+        parts.append(spread(counted, [result_row(UNIQUE, names, "repeated", column, target_records=records)]))
     return union_all(parts)
 
 
-def _suspects(counts: DataFrame, numbers: list[int]) -> tuple[DataFrame, int, list[int]]:
-    """The stored groups of several rows, the number of rows, and how many such groups each
-    column has, by its grouping number; counted while they are stored.
+def _suspects(counts: DataFrame, numbers: list[int], by_digest: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """The stored digests of several rows, and what is counted while they are stored.
 
-    Spark broadcasts them to the second pass as long as they are small; beyond that the
-    rows meet them on a shuffle of the values.
+    That is ``records``, and by column the digests of several rows (``suspects_``) and the
+    values of several rows that stand for themselves (``whole_``). Spark broadcasts the
+    digests to the second pass as long as they are small; beyond that the rows meet them
+    on a shuffle of the values.
     """
     seen = Observation()
-    which, rows = F.col("which"), F.col("rows")
-    several = [F.count_if((which == n) & (rows > 1)).alias(f"several_{n}") for n in numbers]
-    observed = counts.observe(seen, F.sum(F.when(which == numbers[0], rows)).alias("records"), *several)
-    suspects = stored(observed.filter("rows > 1").drop("rows"))
-    found = seen.get
-    return suspects, found["records"] or 0, [found[f"several_{n}"] for n in numbers]
+    counted = [F.expr(f"sum(if(which = {numbers[0]}, rows, null))").alias("records")]
+    for i, (number, wanted) in enumerate(zip(numbers, by_digest)):
+        counted.append(F.expr(f"count_if(rows > 1 and {wanted})").alias(f"suspects_{i}"))
+        counted.append(F.expr(f"count_if(rows > 1 and which = {number} and not ({wanted}))").alias(f"whole_{i}"))
+    suspects = stored(counts.observe(seen, *counted).filter(f"rows > 1 and ({' or '.join(by_digest)})").drop("rows"))
+    return suspects, seen.get
 
 
 def _telling_text(df: DataFrame, name: str, slot: str) -> str:

@@ -48,6 +48,9 @@ ALL_CHECKS = (
     "data_compare",
 )
 
+# Values up to twice the size of a digest go without one.
+_WHOLE_BYTES = 32
+
 
 def checks_named(names: Iterable[str]) -> list[Check]:
     """The checks of these names, each once, in the order of their numbers."""
@@ -113,7 +116,7 @@ def validate(
     elif on_keys:
         parts.append(key_checks(source, target, keys, on_keys, names))
     if UNIQUE in asked:
-        parts.append(uniqueness_check(target, unique_columns, names))
+        parts.append(uniqueness_check(target, unique_columns, names, whole_bytes=_WHOLE_BYTES))
     if NULLS in asked:
         columns = require_columns(null_columns, "column to check for nulls")
         if target_figures and target_figures.missing.keys() >= set(columns):

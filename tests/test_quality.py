@@ -151,3 +151,27 @@ def test_uniqueness_deals_out_digests_only(spark, tmp_path):
     assert results(uniqueness_check(df, "b")) == {(3, "b"): (None, 100, 1, "fail")}
     second = uniqueness_check(df, "b")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in second and second.index("HashAggregate") < second.index("BroadcastHashJoin")
+
+
+@pytest.mark.parametrize("digest", [value_digest, lambda value: F.lit(0)])
+@pytest.mark.parametrize("whole_bytes", [1, 2, 32])
+def test_uniqueness_of_short_values_as_they_are(spark, digest, whole_bytes):
+    df = spark.createDataFrame(LONG_ROWS, LONG).repartition(3)
+    checked = results(uniqueness_check(df, "e, a, b, c, d", digest=digest, whole_bytes=whole_bytes))
+    assert {name: figures[1:3] for (_, name), figures in checked.items()} == {
+        name: (7, repeated) for name, repeated in LONG_REPEATS.items()
+    }
+    # Repeated values on both sides of the bound, a null, and one value that is its own.
+    texts = ["é", "é", "abc", "abc", "abcd", None, None, "", ""]
+    df = spark.createDataFrame([(t, None if t is None else t.encode()) for t in texts], "a string, b binary")
+    assert results(uniqueness_check(df, "a, b", digest=digest, whole_bytes=whole_bytes)) == {
+        (3, "a"): (None, 9, 4, "fail"),
+        (3, "b"): (None, 9, 4, "fail"),
+    }
+
+
+def test_short_repeated_values_take_no_second_pass(spark, tmp_path):
+    spark.range(100).selectExpr("if(id < 2, 'again', cast(id as string)) as b").write.parquet(f"{tmp_path}/x")
+    checked = uniqueness_check(spark.read.parquet(f"{tmp_path}/x"), "b", whole_bytes=8)
+    assert "FileScan" not in checked._jdf.queryExecution().executedPlan().toString()
+    assert results(checked) == {(3, "b"): (None, 100, 1, "fail")}

@@ -388,6 +388,7 @@ def uniqueness_check_documents(spark, folder):
         table(spark, folder, "documents"),
         "doc_id, text, lang, n_chars",
         Names(target="documents"),
+        whole_bytes=32,
     )
 
 
