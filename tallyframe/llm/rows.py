@@ -90,6 +90,29 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_whole_number(kind: T.DataType) -> bool:
+    """Whether values of a type are longs as they stand."""
+    return isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+
+
+def with_place(df: DataFrame, id: str) -> DataFrame:
+    """The rows with ``place``, a long that is in the order of their ids; null where those are.
+
+    Whole numbers stand for themselves. Ids of any other type that can be sorted (texts
+    by their bytes, decimals, dates) are sorted in a distributed way, each once, into a
+    stored table of places, which meets the rows by id. Rows without an id take no part
+    in that join, and adaptive execution splits the rows of an id that has very many.
+    """
+    own = column_of(df, id)
+    if is_whole_number(df.schema[id].dataType):
+        return df.withColumn("place", own.cast("long"))
+    known = df.where(own.isNotNull())
+    order = known.select(own.alias(id)).distinct().repartitionByRange(F.col(f"`{id}`")).sortWithinPartitions(F.col(f"`{id}`"))
+    places = store(order.withColumn("place", F.monotonically_increasing_id()), "places")
+    unknown = df.where(own.isNull()).withColumn("place", F.lit(None).cast("long"))
+    return known.join(places, id).select(*unknown.columns).unionByName(unknown)
+
+
 def range_buckets(df: DataFrame, place: str, wanted: int) -> Column:
     """The number of a row's range of ``place``, a long, among about ``wanted`` like ones."""
     shares = [i / wanted for i in range(1, wanted)]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.rows import binary_parts, column_of, range_buckets, store, text_bytes
+from tallyframe.llm.rows import binary_parts, column_of, range_buckets, store, text_bytes, with_place
 
 _GRAM = 20
 _SHALLOW = 16
@@ -597,16 +597,16 @@ def remove_repeats(df: DataFrame, length: int = 50, text: str = "text", id: str
 
     ``length`` is from 20 to 64. Null texts are empty; texts shorter than ``length``
     keep all. Rows that share an id are one document's and none is earlier than
-    another; null ids come before all others and share an id too. An empty table
-    gives no rows.
+    another; null ids come before all others and share an id too. Ids may be of any type
+    that can be sorted; texts go by their bytes. An empty table gives no rows.
     """
     if not _GRAM <= length <= 64:
         raise ValueError("the length must be from 20 to 64 bytes")
     spark = df.sparkSession
     given = df.select(
-        column_of(df, id).alias("doc_id"), text_bytes(df, text).alias("text"),
-        F.coalesce(column_of(df, id).cast("long"), F.lit(-(1 << 63))).alias("place"),
+        column_of(df, id).alias("doc_id"), text_bytes(df, text).alias("text")
     )
+    given = with_place(given, "doc_id").withColumn("place", F.coalesce("place", F.lit(-(1 << 63))))
     size = given.agg(F.sum(F.length("text"))).first()[0] or 0
     wanted = -(-size // _BLOCK_BYTES)
     given = given.withColumn(

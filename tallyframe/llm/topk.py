@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.rows import column_of, store
+from tallyframe.llm.rows import column_of, is_whole_number, store, with_place
 
 BLOCK_ROWS = 1 << 15
 GROUP_QUERIES = 256
@@ -261,8 +261,26 @@ def top_k(
 
     See :func:`quantised` for the rows that take part, :func:`search` for the result.
     A score beyond a long among the best of a block is an error.
+    Ids may be of any type that can be sorted; ties go by that order, texts by their
+    bytes. Ids that do not read as whole numbers of up to 20 digits are no queries, but
+    are found by others.
     An empty table gives no rows.
     """
+    if not is_whole_number(df.schema[id].dataType):
+        return _top_k_of_any_ids(df.select(column_of(df, id).alias("id"), column_of(df, vector).alias("v")), k, scale, every, whole)
     index = store(build_index(df, scale, vector, id, whole=whole), "index")
     queries = quantised(df, scale, vector, id, whole).where(F.pmod("vec_id", F.lit(every)) == 0)
     return search(index, queries, k)
+
+
+def _top_k_of_any_ids(given: DataFrame, k: int, scale: int, every: int, whole: bool) -> DataFrame:
+    """:func:`top_k` by the places of ids in their order, which give way to the ids at the end."""
+    placed = store(with_place(given, "id"), "placed")
+    number = F.expr("try_cast(cast(id as string) as decimal(38, 18))")
+    index = store(build_index(placed, scale, "v", "place", whole=whole), "index")
+    queries = quantised(placed.where(number % every == 0), scale, "v", "place", whole)
+    names = placed.where("id is not null").select("id", "place").distinct()
+    found = search(index, queries, k)
+    found = found.join(names.select(F.col("id").alias("one"), F.col("place").alias("query_id")), "query_id")
+    found = found.join(names.select(F.col("id").alias("other"), F.col("place").alias("vec_id")), "vec_id")
+    return found.select(F.col("one").alias("query_id"), "rank", F.col("other").alias("vec_id"), "score")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.rows import column_of, range_buckets, texts, with_results
+from tallyframe.llm.rows import column_of, range_buckets, texts, with_place, with_results
 
 K = 16
 WINDOW = 16
@@ -117,14 +117,15 @@ def in_order(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame
     Ranges of ids are buckets, and the rows of a partition are sorted by bucket,
     tail, id and text. The document after a bucket's last one stands in it once more
     as its tail; after the last bucket comes the first. One shuffle of the texts; the
-    ranges follow the ids' quantiles, of which there are at most 1,024. Null ids come
-    first, and equal ids are ordered by text.
+    ranges follow the ids' quantiles, of which there are at most 1,024. Ids may be of any
+    type that can be sorted; texts go by their bytes. Null ids come first, and equal ids
+    are ordered by text.
     """
     spark = df.sparkSession
     given = df.select(
-        column_of(df, id).alias("doc_id"), F.coalesce(column_of(df, text), F.lit("")).alias("text"),
-        F.coalesce(column_of(df, id).cast("long"), F.lit(-(1 << 63))).alias("place"),
+        column_of(df, id).alias("doc_id"), F.coalesce(column_of(df, text), F.lit("")).alias("text")
     )
+    given = with_place(given, "doc_id").withColumn("place", F.coalesce("place", F.lit(-(1 << 63))))
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     wanted = min(_MOST_BUCKETS, max(3 * spark.sparkContext.defaultParallelism, size // _BUCKET_BYTES))
     bucket = range_buckets(given, "place", wanted)
