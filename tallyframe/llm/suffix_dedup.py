@@ -608,14 +608,11 @@ def remove_repeats(df: DataFrame, length: int = 50, text: str = "text", id: str
     )
     given = with_place(given, "doc_id").withColumn("place", F.coalesce("place", F.lit(-(1 << 63))))
     size = given.agg(F.sum(F.length("text"))).first()[0] or 0
-    wanted = -(-size // _BLOCK_BYTES)
-    given = given.withColumn(
-        "block", range_buckets(given, "place", int(min(_MOST_BLOCKS, max(wanted, spark.sparkContext.defaultParallelism)))).cast("long")
-    )
+    blocks = int(min(_MOST_BLOCKS, max(-(-size // _BLOCK_BYTES), spark.sparkContext.defaultParallelism)))
+    given = given.withColumn("block", range_buckets(given, "place", blocks).cast("long"))
     shift = 32 - int(size // _RANGE_BYTES).bit_length()
     codes = store(judge(anchor_entries(given, length, shift)), "anchors")
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     zero, none = F.lit(0).cast("long"), F.lit(None).cast("binary")
     no_id = F.lit(None).cast(df.schema[id].dataType).alias("doc_id")
     texts = given.select(
@@ -626,7 +623,11 @@ def remove_repeats(df: DataFrame, length: int = 50, text: str = "text", id: str
         "block", F.lit(0).alias("kind"), F.col("range").alias("a"), zero.alias("b"), zero.alias("c"), zero.alias("d"),
         F.col("keys").alias("one"), F.col("codes").alias("two"), no_id,
     )
-    stream = lambda rows: rows.repartition(parts, "block").sortWithinPartitions("block", "kind", "a")
+
+    def stream(rows: DataFrame) -> DataFrame:
+        """A task for each block."""
+        return rows.repartitionById(blocks, F.col("block").cast("int")).sortWithinPartitions("block", "kind", "a")
+
     runs = mixed_runs(stream(known.unionByName(texts)), length, shift)
     answers = sort_runs(store(runs, "mixed-runs"), length).select(
         "block", F.lit(1).alias("kind"), F.col("key").alias("a"), F.col("hash").alias("b"), F.col("bits").alias("c"),

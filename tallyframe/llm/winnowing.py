@@ -22,8 +22,9 @@ from tallyframe.llm.rows import column_of, range_buckets, texts, with_place, wit
 K = 16
 WINDOW = 16
 _STEP = 0x9E3779B97F4A7C15
-_BUCKET_BYTES = 64 << 20
-_MOST_BUCKETS = 1024
+_BUCKET_BYTES = 16 << 20
+#: Buckets are tasks, and their borders a list on the driver.
+_MOST_BUCKETS = 1 << 16
 
 
 def _gram_hashes(codes: np.ndarray, k: int) -> np.ndarray:
@@ -117,7 +118,8 @@ def in_order(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame
     Ranges of ids are buckets, and the rows of a partition are sorted by bucket,
     tail, id and text. The document after a bucket's last one stands in it once more
     as its tail; after the last bucket comes the first. One shuffle of the texts; the
-    ranges follow the ids' quantiles, of which there are at most 1,024. Ids may be of any
+    ranges follow the ids' quantiles, of which there are at most 65,536; each is a task
+    of its own, which sorts what does not fit into memory on disk. Ids may be of any
     type that can be sorted; texts go by their bytes. Null ids come first, and equal ids
     are ordered by text.
     """
@@ -139,8 +141,8 @@ def in_order(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame
     given = given.select(
         F.explode(F.when(is_first, F.array(own, earlier)).otherwise(F.array(own))).alias("at"), "place", "doc_id", "text"
     ).select("at.*", "place", "doc_id", "text")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(rows))
-    given = given.repartition(parts, "bucket").sortWithinPartitions("bucket", "tail", "place", "text")
+    parts = max(before, default=0) + 1
+    given = given.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "tail", "place", "text")
     return given.drop("place")
 
 
