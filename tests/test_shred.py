@@ -1,5 +1,7 @@
 """Nested data as tables, and back."""
 
+from datetime import timedelta
+
 import pytest
 
 from tallyframe.operators import flatten, flatten_tables
@@ -61,3 +63,20 @@ def test_names_that_repeat_are_an_error(spark):
     df = spark.createDataFrame([(1, (2,))], "`s.a` int, s struct<a:int>")
     with pytest.raises(ValueError, match="repeat"):
         flatten_tables(df)
+
+
+def test_rebuilding_deals_each_table_once(spark):
+    data = [(f"{i}/0", [[f"a b/{i}", None], [], None], {"k": [timedelta(seconds=i), None]}) for i in range(20)]
+    df = spark.createDataFrame(data, "id string, xs array<array<string>>, m map<string,array<interval day to second>>")
+    tables = flatten_tables(df, "id")
+    again = tables.rebuilt()
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert exactly(again) == exactly(df)
+    assert plan.count("Exchange ") == len(tables.frames) == 5 and "Join" not in plan
+
+
+def test_rows_of_one_key_share_their_elements(spark):
+    df = spark.createDataFrame([(1, [5, None]), (1, [5, None]), (None, [7])], "id int, xs array<int>").repartition(3)
+    assert rows(flatten_tables(df, "id").rebuilt()) == rows(
+        spark.createDataFrame([(1, [5, 5, None, None]), (1, [5, 5, None, None]), (None, [7])], df.schema)
+    )
