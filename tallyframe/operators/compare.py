@@ -791,22 +791,25 @@ class Comparison:
     def _repeated_differences(self) -> DataFrame:
         group = [*self._key_slots, "lone", "parts", "c"]
         counted = self._value_counts()
-        stats = counted.groupBy(*group).agg(
-            F.expr("sum(s) as m"),
-            F.expr("sum(t) as n"),
-            F.expr("count_if(s > 0) as s_values"),
-            F.expr("count_if(t > 0) as t_values"),
-            F.expr("max(if(s > 0, v, null)) as s_value"),
-            F.expr("max(if(t > 0, v, null)) as t_value"),
-        )
-        stats = stats.withColumnsRenamed({name: f"g_{name}" for name in group})
-        same_group = [f"{name} <=> g_{name}" for name in group]
+        stats = {
+            "m": "sum(s)",
+            "n": "sum(t)",
+            "s_values": "count_if(s > 0)",
+            "t_values": "count_if(t > 0)",
+            "s_value": "max(if(s > 0, v, null))",
+            "t_value": "max(if(t > 0, v, null))",
+        }
         if self._repeated.hot_size:
             # The values of a hot key meet their figures in several tasks.
-            counted = counted.selectExpr("*", "pmod(xxhash64(v), parts) as part")
-            stats = stats.selectExpr("*", "explode(sequence(0, g_parts - 1)) as g_part")
-            same_group.append("part = g_part")
-        met = counted.join(stats, F.expr(" and ".join(same_group)))
+            figures = counted.groupBy(*group).agg(*[F.expr(f"{what} as {name}") for name, what in stats.items()])
+            figures = figures.withColumnsRenamed({name: f"g_{name}" for name in group})
+            same_group = " and ".join(f"{name} <=> g_{name}" for name in [*group, "part"])
+            met = counted.selectExpr("*", "pmod(xxhash64(v), parts) as part").join(
+                figures.selectExpr("*", "explode(sequence(0, g_parts - 1)) as g_part"), F.expr(same_group)
+            )
+        else:
+            within = f"over (partition by {', '.join(group)})"
+            met = counted.selectExpr("*", *[f"{what} {within} as {name}" for name, what in stats.items()])
 
         def cell(kind: str, left: str, right: str, pairs: str) -> str:
             return (

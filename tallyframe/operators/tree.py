@@ -9,6 +9,9 @@ differ go through the exact comparison. Rows of equal ranges are read, but never
 What is different although the checksums are equal counts as a difference too, as in the
 exact comparison: keys with a null part, and missing values on both sides. Repeated keys
 stand for pairs of rows; they are found first and compared by their values as always.
+Where they are too many to broadcast, their rows count in the checksums too, which may
+open more ranges but never closes one, and saves a shuffle of all rows in each pass. The
+second pass is left out where missing values and row counts alike show that it cannot help.
 
 A difference is overlooked if both halves of the summed 64-bit hashes of a range agree by
 chance, about once in 2 ** 64 differing ranges.
@@ -41,9 +44,9 @@ class TreeComparison(Comparison):
         self._ranges = ranges
 
     def _placed(self, df: DataFrame, rows: str) -> DataFrame:
-        """One side's single keys with the range ``r`` of a row and the part ``p`` in it."""
+        """Rows of one side with their range ``r`` and the part ``p`` in it."""
         keys = ", ".join(f"{rows}_{slot}" for slot in self._key_slots)
-        return super()._single_rows(df, rows).selectExpr(
+        return df.selectExpr(
             "*",
             f"cast(pmod(xxhash64({keys}), {self._ranges}) as int) as r",
             f"cast(pmod(xxhash64(1, {keys}), {self._ranges}) as int) as p",
@@ -66,11 +69,20 @@ class TreeComparison(Comparison):
             *[f"empty_{i}" for i in range(len(values))],
         )
 
+    def _summed_rows(self, df: DataFrame, rows: str) -> DataFrame:
+        """The rows of one side that checksums are of: those of single keys, or all if that takes no shuffle."""
+        if self._repeated is None or self._may_broadcast_repeated():
+            return super()._single_rows(df, rows)
+        return df.withColumnsRenamed({slot: f"{rows}_{slot}" for slot in df.columns})
+
     def _differing(self, parts: list[str], within: DataFrame | None = None) -> DataFrame:
-        """The ranges, named by ``parts``, in which a checksum differs or a value is missing."""
+        """The ranges, named by ``parts``, in which a checksum differs or a value is missing.
+
+        ``least`` is a number of keys that surely differ, as far as rows of single keys go.
+        """
         sides = []
         for df, rows in ((self._source, "m"), (self._target, "n")):
-            placed = self._placed(df, rows)
+            placed = self._placed(self._summed_rows(df, rows), rows)
             if within is not None:
                 placed = placed.join(F.broadcast(within), "r", "left_semi")
             sides.append(self._sums(placed, rows))
@@ -78,7 +90,9 @@ class TreeComparison(Comparison):
         summed = sides[0].unionByName(sides[1]).groupBy(*parts).agg(
             *[F.sum(c).alias(c) for c in figures]
         )
-        return summed.filter(" or ".join(f"{c} <> 0" for c in figures)).select(*parts)
+        least = ", ".join(["abs(rows)", "0", *[f"{c} / 2" for c in figures if c.startswith("empty_")]])
+        differing = summed.filter(" or ".join(f"{c} <> 0" for c in figures))
+        return differing.selectExpr(*parts, f"greatest({least}) as least")
 
     @cached_property
     def _open(self) -> DataFrame | None:
@@ -87,18 +101,24 @@ class TreeComparison(Comparison):
         The parts of ranges if a broadcast of them is as small as Spark's own, and else
         the ranges, of which there are never more than the first pass has.
         """
-        ranges = stored(self._differing(["r"]))
-        if ranges.isEmpty():
+        found = stored(self._differing(["r"]))
+        # So many keys dealt over the parts of their range are in so many of them.
+        expected = found.selectExpr(f"sum({self._ranges} * (1 - exp(-least / {self._ranges}))) as parts").first()["parts"]
+        if expected is None:
             return None
-        parts = stored(self._differing(["r", "p"], within=ranges))
-        if parts.count() * _RANGE_BYTES <= broadcast_limit(self._session):
+        limit = broadcast_limit(self._session)
+        ranges = found.select("r")
+        if expected * _RANGE_BYTES > limit:
+            return ranges
+        parts = stored(self._differing(["r", "p"], within=ranges).drop("least"))
+        if parts.count() * _RANGE_BYTES <= limit:
             return parts
         return ranges
 
     def _single_rows(self, df: DataFrame, rows: str) -> DataFrame:
         if self._open is None:
             return super()._single_rows(df, rows).filter("false")
-        placed = self._placed(df, rows)
+        placed = self._placed(super()._single_rows(df, rows), rows)
         return placed.join(F.broadcast(self._open), self._open.columns, "left_semi").drop("r", "p")
 
 

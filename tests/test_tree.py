@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyframe.operators import CompareOptions, TreeComparison, data_compare, data_compare_tree
 from tests.helpers import rows
@@ -112,3 +113,34 @@ def test_swapped_values_are_found(spark):
 def test_null_keys_never_meet(spark):
     source = spark.createDataFrame([(None, "a")], "k int, a string")
     assert rows(data_compare_tree(source, source, "k"), "kind") == [("only_in_source",), ("only_in_target",)]
+
+
+def shuffles_and_joins(job):
+    """How many the plan of a frame that has not run has."""
+    plan = job._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange "), plan.count("Join")
+
+
+def test_checksums_shuffle_no_rows_where_repeated_keys_are_many(spark, never_broadcast):
+    source = side(spark, 300).unionByName(side(spark, 40).withColumn("a", F.lit("twice")))
+    target = side(spark, 300, moved).unionByName(side(spark, 30))
+    comparison = TreeComparison(source, target, "k, r", ranges=50)
+    assert comparison._repeated is not None and not comparison._may_broadcast_repeated()
+    assert shuffles_and_joins(comparison._differing(["r"])) == (1, 0)
+    assert rows(comparison.differences()) == rows(data_compare(source, target, "k, r"))
+
+
+def test_no_second_pass_where_missing_values_are_many(spark, monkeypatch):
+    source = side(spark, 4000).withColumn("n", F.lit(None).cast("long"))
+    made = []
+    plain = TreeComparison._differing
+    monkeypatch.setattr(TreeComparison, "_differing", lambda self, parts, **other: made.append(parts) or plain(self, parts, **other))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100k")
+    try:
+        found = data_compare_tree(source, source, "k, r")
+        assert rows(found) == rows(data_compare(source, source, "k, r")) and found.count() == 4000
+    finally:
+        spark.conf.set(name, before)
+    assert made == [["r"]]
